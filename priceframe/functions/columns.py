@@ -66,10 +66,21 @@ def decade_label(year: ColumnOrName) -> Column:
     return F.concat(decade.cast("string"), F.lit("s"))
 
 
+def round_scaled(c: ColumnOrName, digits: int) -> Column:
+    """Round half away from zero as ``round(x·10^d) / 10^d`` on the binary double.
+
+    ``F.round(x, d)`` rounds the double's decimal text instead, which differs on
+    values like 2.675 (stored just below); the scaled form is what most SQL
+    engines compute, so results agree bit for bit across engines.
+    """
+    m = float(10 ** digits)
+    return F.round(_col(c) * F.lit(m)) / F.lit(m) if digits else F.round(_col(c))
+
+
 def pct_round(c: ColumnOrName, digits: int = 1, half_even: bool = False) -> Column:
     """``c * 100`` rounded; ``half_even`` mimics numpy's banker's rounding."""
     scaled = _col(c) * F.lit(100.0)
-    return F.bround(scaled, digits) if half_even else F.round(scaled, digits)
+    return F.bround(scaled, digits) if half_even else round_scaled(scaled, digits)
 
 
 def fmt_pct(c: ColumnOrName, digits: int = 1) -> Column:

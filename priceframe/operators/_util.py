@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import round_scaled
 from ..session import scratch_path
 
 
@@ -40,7 +41,7 @@ def round_doubles(df: DataFrame, digits: int = 6, overrides: dict[str, int] | No
     for f in df.schema.fields:
         if f.dataType.typeName() in ("double", "float"):
             d = overrides.get(f.name, digits)
-            cols.append(F.round(F.col(f.name), d).alias(f.name))
+            cols.append(round_scaled(f.name, d).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

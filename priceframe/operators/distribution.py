@@ -15,12 +15,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import decade_label
+from ..functions.columns import decade_label, pct_round
 from .clean import existing
 
 GROUP = "__g"
-# Modulus and multiplier of the repeatable hash (Park–Miller MINSTD): integer
-# arithmetic any SQL engine can repeat, no overflow below 2^62.
+# Modulus and multiplier of the repeatable hash (two Park–Miller MINSTD steps,
+# so small consecutive keys are spread too): integer arithmetic any SQL engine
+# can repeat, every product stays below 2^62.
 HASH_MOD = 2147483647
 HASH_MUL = 48271
 
@@ -169,6 +170,7 @@ def violin_stats(df: DataFrame, year: str, value: str, grid: int = 200,
 def key_hash(key: str, seed: int = 42) -> F.Column:
     """Deterministic hash in [0, HASH_MOD) from an integer key: independent of partitioning."""
     k = F.pmod(F.col(key).cast("long") + F.lit(seed), F.lit(HASH_MOD))
+    k = F.pmod(k * F.lit(HASH_MUL), F.lit(HASH_MOD))
     return F.pmod(k * F.lit(HASH_MUL), F.lit(HASH_MOD))
 
 
@@ -210,5 +212,5 @@ def scatter_snapshot(df: DataFrame, year: int | None = None, x: str = "GDP_dolla
     d = df.na.drop(subset=[x, y])
     snap = snapshot_at(d, year_col, year)
     pts = snap.select(*existing(snap, [name, year_col, x, y, color, size]),
-                      F.round(F.col(y) * 100, 1).alias(f"{y}_pct"))
-    return pts, ols_line(snap.withColumn(f"{y}_pct", F.round(F.col(y) * 100, 1)), x, f"{y}_pct")
+                      pct_round(y, 1).alias(f"{y}_pct"))
+    return pts, ols_line(snap.withColumn(f"{y}_pct", pct_round(y, 1)), x, f"{y}_pct")

@@ -61,7 +61,7 @@ def model_coefficients(model: PipelineModel, features: Sequence[str]) -> DataFra
     std = list(scaler.std)
     rows = [("intercept", float(lr.intercept), None)]
     for f, c, s in zip(features, lr.coefficients, std):
-        rows.append((f, float(c), float(c) / s if s else None))
+        rows.append((f, float(c), float(c) / float(s) if s else None))
     spark = SparkSession.getActiveSession()
     schema = T.StructType([T.StructField("term", T.StringType()), T.StructField("coefficient", T.DoubleType()),
                            T.StructField("raw_coefficient", T.DoubleType())])

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import fmt_pct, fmt_usd, hover_text, pct_round, valuation_class
+from ..functions.columns import fmt_pct, fmt_usd, hover_text, pct_round, round_scaled, valuation_class
 from .clean import existing
 
 
@@ -84,7 +84,7 @@ def map_frame(df: DataFrame, year: str = "year", code: str = "iso_a3", name: str
          .groupBy(*keys).agg(F.avg(index).alias(index), F.avg(price).alias(price))
          .filter(F.col(index).isNotNull()))
     g = g.withColumn(f"{index}_pct", pct_round(index, 1))
-    return g.withColumn("hover", hover_text(name, f"{index}_pct", F.round(F.col(price), 2)))
+    return g.withColumn("hover", hover_text(name, f"{index}_pct", round_scaled(price, 2)))
 
 
 def kpi_summary(df: DataFrame, entity: str = "name", code: str = "iso_a3", index: str = "USD_raw",
@@ -133,7 +133,7 @@ def top_bottom(df: DataFrame, entity: str = "name", value: str = "USD_raw", n: i
     out = low.unionByName(high)
     if is_index:
         out = out.withColumn("color", valuation_class(value, inclusive=True)).withColumn(
-            "display", F.concat(F.format_string("%.1f", F.round(F.col(value) * 100, 1)), F.lit("%")))
+            "display", F.concat(F.format_string("%.1f", pct_round(value, 1)), F.lit("%")))
     else:
         out = out.withColumn("color", F.lit("neutral")).withColumn("display", fmt_usd(value))
     return out

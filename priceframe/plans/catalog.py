@@ -7,6 +7,7 @@ as ISO text, doubles rounded to about ten significant digits.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,7 @@ def norm(df: DataFrame, digits: dict[str, int] | None = None, default: int = 6)
         if isinstance(f.dataType, T.DateType):
             out.append(F.date_format(c, "yyyy-MM-dd").alias(f.name))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.round(c, digits.get(f.name, default)).alias(f.name))
+            out.append(C.round_scaled(c, digits.get(f.name, default)).alias(f.name))
         else:
             out.append(c.alias(f.name))
     return df.select(*out)
@@ -170,9 +171,9 @@ panel AS (
   GROUP BY 1, 2)"""
 
 
-@query("join_panel", W(", " + PANEL_SQL + " SELECT iso, year, round(per_capita, 6) AS per_capita FROM panel"))
+@query("join_panel", W(", " + PANEL_SQL + " SELECT iso, year, round(per_capita, 3) AS per_capita FROM panel"))
 def q_join_panel(spark, sf):
-    return norm(J.per_capita_panel(spark, sf))
+    return norm(J.per_capita_panel(spark, sf), {"per_capita": 3})
 
 
 QUERIES["guarded_ratio"] = q_join_panel
@@ -449,11 +450,11 @@ def q_map_frame(spark, sf):
 ok AS (SELECT * FROM g WHERE name IS NOT NULL AND iso_a3 IS NOT NULL AND m IS NOT NULL),
 hi AS (SELECT name, iso_a3, m FROM ok ORDER BY m DESC, name, iso_a3 LIMIT 1),
 lo AS (SELECT name, iso_a3, m FROM ok ORDER BY m ASC, name, iso_a3 LIMIT 1),
-glob AS (SELECT sum(si) / sum(ci) AS gi, sum(sp) / sum(cp) AS ap, count(DISTINCT name) AS ne FROM g)
+gl AS (SELECT sum(si) / sum(ci) AS gi, sum(sp) / sum(cp) AS ap, count(DISTINCT name) AS ne FROM g)
 SELECT hi.name AS top_name, hi.iso_a3 AS top_code, round(hi.m, 9) AS top_index,
        lo.name AS bottom_name, lo.iso_a3 AS bottom_code, round(lo.m, 9) AS bottom_index,
-       round(glob.gi, 9) AS global_index, round(glob.ap, 2) AS avg_price, glob.ne AS n_entities
-FROM hi, lo, glob"""))
+       round(gl.gi, 9) AS global_index, round(gl.ap, 2) AS avg_price, gl.ne AS n_entities
+FROM hi, lo, gl"""))
 def q_kpi_summary(spark, sf):
     k = S.kpi_summary(J.dashboard_filtered(spark, sf))
     k = k.drop("top_text", "bottom_text", "global_text", "price_text")
@@ -467,7 +468,7 @@ def q_kpi_summary(spark, sf):
 def q_describe_numeric(spark, sf):
     d = S.describe_numeric(B.facts(spark, sf), DESCRIBE_COLS)
     digits = {"local_price": 2, "dollar_price": 2, "dollar_ex": 6, "USD_raw": 9, "GDP_dollar": 3, "adj_price": 2}
-    r = lambda c: F.coalesce(*[F.when(F.col("column") == k, F.round(c, v)) for k, v in digits.items()])
+    r = lambda c: F.coalesce(*[F.when(F.col("column") == k, C.round_scaled(c, v)) for k, v in digits.items()])
     return d.select("column", "count", r(F.col("mean")).alias("mean"), r(F.col("stddev")).alias("stddev"),
                     r(F.col("min")).alias("min"), r(F.col("max")).alias("max"))
 
@@ -491,12 +492,12 @@ def q_null_counts(spark, sf):
 
 # ============================================================ windows / top-k
 @query("latest_per_entity", W("""
-, base AS (SELECT iso_a3, name, USD_raw, year FROM facts
+, lb AS (SELECT iso_a3, name, USD_raw, year FROM facts
            WHERE iso_a3 IS NOT NULL AND name IS NOT NULL AND USD_raw IS NOT NULL AND NOT isnan(USD_raw) AND year IS NOT NULL),
-py AS (SELECT year, count(*) AS n FROM base GROUP BY year),
+py AS (SELECT year, count(*) AS n FROM lb GROUP BY year),
 lt AS (SELECT max(year) AS y, arg_max(n, year) AS n FROM py),
-a AS (SELECT b.* FROM base b, lt WHERE b.year = lt.y AND lt.n >= 10),
-r AS (SELECT *, row_number() OVER (PARTITION BY iso_a3 ORDER BY year DESC, name DESC, USD_raw DESC) AS rn FROM base),
+a AS (SELECT b.* FROM lb b, lt WHERE b.year = lt.y AND lt.n >= 10),
+r AS (SELECT *, row_number() OVER (PARTITION BY iso_a3 ORDER BY year DESC, name DESC, USD_raw DESC) AS rn FROM lb),
 b AS (SELECT iso_a3, name, USD_raw, year FROM r, lt WHERE rn = 1 AND lt.n < 10),
 u AS (SELECT * FROM a UNION ALL SELECT * FROM b)
 SELECT iso_a3, name, round(USD_raw, 9) AS USD_raw, year, round(USD_raw * 100, 1) AS USD_raw_pct FROM u"""))
@@ -640,14 +641,14 @@ def q_box_outliers(spark, sf):
     return norm(out.select("obs_id", "year", "dollar_price"), PRICE)
 
 
-HASH = "(((({key} + 42) % 2147483647) * 48271) % 2147483647)"
+HASH = "(((((({key} + 42) % 2147483647) * 48271) % 2147483647) * 48271) % 2147483647)"
 
 
 @query("sample_rows", W("""
 , n AS (SELECT count(*) AS n FROM facts)
 SELECT obs_id, round(GDP_dollar, 2) AS GDP_dollar, round(dollar_price, 2) AS dollar_price
 FROM facts, n WHERE GDP_dollar IS NOT NULL AND """ + HASH.format(key="obs_id") +
-                                  " < least(1.0, 3000.0 / greatest(n.n, 1)) * 2147483647"))
+                                  " < least(1.0, CAST(3000 AS DOUBLE) / greatest(n.n, 1)) * 2147483647"))
 def q_sample_rows(spark, sf):
     d = B.facts(spark, sf).select("obs_id", "GDP_dollar", "dollar_price")
     return norm(D.sample_rows(d, "obs_id", 3000, 42, dropna=["GDP_dollar", "dollar_price"]), PRICE)
@@ -658,7 +659,7 @@ def q_sample_rows(spark, sf):
 SELECT obs_id, name, year, round(GDP_dollar, 2) AS GDP_dollar, round(USD_raw, 9) AS USD_raw,
        CAST(floor(year / 10) * 10 AS INTEGER) || 's' AS decade
 FROM facts, n WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL AND name IS NOT NULL AND """
-                                        + HASH.format(key="obs_id") + " < least(1.0, 3000.0 / greatest(n.n, 1)) * 2147483647"))
+                                        + HASH.format(key="obs_id") + " < least(1.0, CAST(3000 AS DOUBLE) / greatest(n.n, 1)) * 2147483647"))
 def q_scatter_by_decade(spark, sf):
     s = D.scatter_by_decade(B.facts(spark, sf))
     return norm(s, {"GDP_dollar": 2, "USD_raw": 9})
@@ -807,9 +808,14 @@ def q_apply_link(spark, sf):
     return link.apply_link(q, J.linked_names(spark, sf), "name", "code").select("p_partkey", "name", "code")
 
 
+def _positive_zero(sql: str) -> str:
+    """DuckDB keeps the sign of a rounded zero (-0.0); Spark's rounding does not. Add +0.0."""
+    return re.sub(r"(?<![\w.])round\(", "0.0 + round(", sql)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return {k: _positive_zero(v) for k, v in ORACLE.items()}
