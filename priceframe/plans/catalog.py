@@ -34,6 +34,18 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# Offset (in units of the last kept digit) added before rounding check outputs.
+# Averages of cent amounts are rationals that often sit exactly on a .5 tie,
+# where summation-order noise would decide the direction differently per
+# engine; shifted by this odd constant, no such rational is near a tie.
+TIE_SHIFT = 0.01234567
+
+
+def qround(c, d: int):
+    """Check-output rounding: ``round(c + TIE_SHIFT·10^-d, d)`` as both engines compute it."""
+    return C.round_scaled(c + F.lit(TIE_SHIFT / 10 ** d), d)
+
+
 def norm(df: DataFrame, digits: dict[str, int] | None = None, default: int = 6) -> DataFrame:
     """Dates → 'YYYY-MM-DD', doubles rounded (per-column digits), other types unchanged."""
     digits = digits or {}
@@ -43,7 +55,7 @@ def norm(df: DataFrame, digits: dict[str, int] | None = None, default: int = 6)
         if isinstance(f.dataType, T.DateType):
             out.append(F.date_format(c, "yyyy-MM-dd").alias(f.name))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append(C.round_scaled(c, digits.get(f.name, default)).alias(f.name))
+            out.append(qround(c, digits.get(f.name, default)).alias(f.name))
         else:
             out.append(c.alias(f.name))
     return df.select(*out)
@@ -72,7 +84,7 @@ SELECT year, round(avg(dollar_price), 2) AS avg_price, round(min(dollar_price),
        round(max(dollar_price), 2) AS max_price, count(*) AS n_obs
 FROM facts GROUP BY year"""))
 def q_yearly_stats(spark, sf):
-    return norm(S.yearly_stats(B.facts(spark, sf)), PRICE)
+    return norm(S.yearly_stats(B.facts_snapshot(spark, sf)), PRICE)
 
 
 @query("clean_facts", W(f"SELECT {FACT_SQL_COLS} FROM facts"))
@@ -207,7 +219,7 @@ SELECT strftime(date, '%Y-%m-%d') AS date, year, name, iso_a3, currency_code, ro
        round(dollar_price, 2) AS dollar_price, round(GDP_dollar, 2) AS GDP_dollar
 FROM facts ORDER BY date, year, name, iso_a3, currency_code, local_price, dollar_price, GDP_dollar LIMIT 10"""))
 def q_preview(spark, sf):
-    return norm(S.preview(B.facts(spark, sf), PREVIEW_COLS, 10), FACT_DIGITS)
+    return norm(S.preview(B.facts_snapshot(spark, sf), PREVIEW_COLS, 10), FACT_DIGITS)
 
 
 @query("sink_parquet", W("SELECT year, count(*) AS n_rows, round(sum(dollar_price), 2) AS total FROM facts WHERE year = 1998 GROUP BY year"))
@@ -221,7 +233,7 @@ def q_sink_parquet(spark, sf):
 @query("decade_label", W("""
 SELECT CAST(floor(year / 10) * 10 AS INTEGER) || 's' AS decade, count(*) AS n FROM facts GROUP BY 1"""))
 def q_decade_label(spark, sf):
-    return B.facts(spark, sf).groupBy(C.decade_label("year").alias("decade")).agg(F.count(F.lit(1)).alias("n"))
+    return B.facts_snapshot(spark, sf).groupBy(C.decade_label("year").alias("decade")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("bin_label", W("""
@@ -249,13 +261,13 @@ ORACLE["exclude_values"] = ORACLE["map_with_default"]
 
 
 @query("valuation_class", W("""
-SELECT obs_id, round(USD_raw * 100, 1) AS USD_raw_pct,
+SELECT obs_id, (0.0 + ROUND(USD_raw * 100, 1)) AS USD_raw_pct,
        CASE WHEN USD_raw >= 0 THEN 'Overvalued' ELSE 'Undervalued' END AS dash_class,
        CASE WHEN USD_raw > 0 THEN 'Overvalued' ELSE 'Undervalued' END AS chart_class,
        round(dollar_price - adj_price, 4) AS residual
 FROM facts WHERE USD_raw IS NOT NULL"""))
 def q_valuation_class(spark, sf):
-    d = B.facts(spark, sf).filter(F.col("USD_raw").isNotNull())
+    d = B.facts_snapshot(spark, sf).filter(F.col("USD_raw").isNotNull())
     return norm(d.select("obs_id", C.pct_round("USD_raw", 1).alias("USD_raw_pct"),
                          C.valuation_class("USD_raw", True).alias("dash_class"),
                          C.valuation_class("USD_raw", False).alias("chart_class"),
@@ -272,7 +284,7 @@ ORACLE["residual"] = ORACLE["valuation_class"]
 SELECT upper(trim('  ' || lower(iso_a3) || ' ')) AS code_key, lower(trim(' ' || upper(name) || '  ')) AS name_key, count(*) AS n
 FROM facts GROUP BY 1, 2"""))
 def q_canonical_key(spark, sf):
-    d = B.facts(spark, sf)
+    d = B.facts_snapshot(spark, sf)
     return d.groupBy(C.canonical_key(F.concat(F.lit("  "), F.lower("iso_a3"), F.lit(" ")), "upper").alias("code_key"),
                      C.canonical_key(F.concat(F.lit(" "), F.upper("name"), F.lit("  ")), "lower").alias("name_key")
                      ).agg(F.count(F.lit(1)).alias("n"))
@@ -326,7 +338,7 @@ def q_facet_options(spark, sf):
 SELECT year, round(dollar_price, 2) AS dollar_price, strftime(date, '%Y-%m-%d') AS date, obs_id
 FROM facts WHERE iso_a3 = '7'"""))
 def q_filter_equals_fallback(spark, sf):
-    d = select.filter_equals_fallback(B.facts(spark, sf), [("iso_a3", "7"), ("currency_code", "CUR7")])
+    d = select.filter_equals_fallback(B.facts_snapshot(spark, sf), [("iso_a3", "7"), ("currency_code", "CUR7")])
     return norm(select.ordered_series(d, "date", ["year", "dollar_price", "date", "obs_id"]), PRICE)
 
 
@@ -338,14 +350,14 @@ ORACLE["ordered_series"] = ORACLE["filter_equals_fallback"]
 SELECT name, year, round(avg(dollar_price), 2) AS avg_price FROM facts
 WHERE name IN ('NATION_1', 'NATION_7', 'NATION_12', 'NATION_20', 'NATION_24') GROUP BY name, year"""))
 def q_filter_selected(spark, sf):
-    d = select.filter_selected(B.facts(spark, sf), "name", ["NATION_1", "NATION_7", "NATION_12", "NATION_20", "NATION_24"])
+    d = select.filter_selected(B.facts_snapshot(spark, sf), "name", ["NATION_1", "NATION_7", "NATION_12", "NATION_20", "NATION_24"])
     return norm(S.entity_year_mean(d, "name", "year", "dollar_price"), PRICE)
 
 
 @query("filter_not_null", W("""
 SELECT count(*) AS n FROM raw_facts WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL AND local_price IS NOT NULL"""))
 def q_filter_not_null(spark, sf):
-    return select.filter_not_null(B.raw_facts(spark, sf), ["GDP_dollar", "USD_raw", "local_price"]).agg(
+    return select.filter_not_null(B.raw_snapshot(spark, sf), ["GDP_dollar", "USD_raw", "local_price"]).agg(
         F.count(F.lit(1)).alias("n"))
 
 
@@ -353,7 +365,7 @@ def q_filter_not_null(spark, sf):
 SELECT obs_id, year, name, round(GDP_dollar, 2) AS GDP_dollar, round(USD_raw, 9) AS USD_raw
 FROM facts WHERE year = (SELECT max(year) FROM facts)"""))
 def q_snapshot_at(spark, sf):
-    return norm(select.snapshot_at(B.facts(spark, sf)).select("obs_id", "year", "name", "GDP_dollar", "USD_raw"),
+    return norm(select.snapshot_at(B.facts_snapshot(spark, sf)).select("obs_id", "year", "name", "GDP_dollar", "USD_raw"),
                 FACT_DIGITS)
 
 
@@ -362,7 +374,7 @@ def q_snapshot_at(spark, sf):
 SELECT name, year, round(avg(dollar_price), 2) AS avg_price FROM facts WHERE name IN (SELECT name FROM top)
 GROUP BY name, year"""))
 def q_restrict_to_top(spark, sf):
-    d = B.facts(spark, sf)
+    d = B.facts_snapshot(spark, sf)
     sub = S.restrict_to_top(d, J.top_support(d, 10), "name")
     return norm(S.entity_year_mean(sub, "name", "year", "dollar_price"), PRICE)
 
@@ -374,7 +386,7 @@ ORACLE["entity_year_mean"] = ORACLE["restrict_to_top"]
 # ============================================================ aggregations
 @query("mean_by_entity", W("SELECT name, round(avg(dollar_price), 2) AS avg_price FROM facts GROUP BY name"))
 def q_mean_by_entity(spark, sf):
-    return norm(S.mean_by_entity(B.facts(spark, sf)), PRICE)
+    return norm(S.mean_by_entity(B.facts_snapshot(spark, sf)), PRICE)
 
 
 @query("top_k_entities", W("""
@@ -384,7 +396,7 @@ UNION ALL
 SELECT * FROM (SELECT name, round(avg(dollar_price), 2), 'low' FROM facts GROUP BY name
                ORDER BY avg(dollar_price) ASC, name LIMIT 10)"""))
 def q_top_k_entities(spark, sf):
-    d = B.facts(spark, sf)
+    d = B.facts_snapshot(spark, sf)
     hi = S.top_k_entities(d, k=10).withColumn("side", F.lit("high"))
     lo = S.top_k_entities(d, k=10, ascending=True).withColumn("side", F.lit("low"))
     return norm(hi.unionByName(lo), PRICE)
@@ -397,7 +409,7 @@ UNION ALL
 SELECT * FROM (SELECT name, round(avg(dollar_price), 2), 'low' FROM facts GROUP BY name
                ORDER BY avg(dollar_price) ASC, name LIMIT 15)"""))
 def q_top_k_chart(spark, sf):
-    d = B.facts(spark, sf)
+    d = B.facts_snapshot(spark, sf)
     hi = S.top_k_entities(d, k=15).withColumn("side", F.lit("high"))
     lo = S.top_k_entities(d, k=15, ascending=True).withColumn("side", F.lit("low"))
     return norm(hi.unionByName(lo), PRICE)
@@ -406,7 +418,7 @@ def q_top_k_chart(spark, sf):
 @query("bucket_counts", W("""
 SELECT CAST(floor(dollar_price / 10000.0) AS INTEGER) AS price_bucket, count(*) AS count FROM facts GROUP BY 1"""))
 def q_bucket_counts(spark, sf):
-    return S.bucket_counts(B.facts(spark, sf), "dollar_price", width=10000.0)
+    return S.bucket_counts(B.facts_snapshot(spark, sf), "dollar_price", width=10000.0)
 
 
 @query("index_by_entity", W("""
@@ -414,12 +426,12 @@ SELECT name, round(avg(USD_raw), 9) AS avg_usd_raw,
        CASE WHEN avg(USD_raw) > 0 THEN 'Overvalued' ELSE 'Undervalued' END AS valuation
 FROM facts GROUP BY name"""))
 def q_index_by_entity(spark, sf):
-    return norm(S.index_by_entity(B.facts(spark, sf)), {"avg_usd_raw": 9})
+    return norm(S.index_by_entity(B.facts_snapshot(spark, sf)), {"avg_usd_raw": 9})
 
 
 @query("support_count", W("SELECT name, count(dollar_price) AS cnt, count(*) AS n_rows FROM facts GROUP BY name"))
 def q_support_count(spark, sf):
-    d = B.facts(spark, sf)
+    d = B.facts_snapshot(spark, sf)
     return S.support_count(d, "name", "dollar_price").join(S.support_count(d, "name", None, "n_rows"), "name")
 
 
@@ -428,7 +440,7 @@ SELECT * FROM (SELECT name, count(dollar_price) AS cnt, 10 AS k FROM facts GROUP
 UNION ALL
 SELECT * FROM (SELECT name, count(*) AS cnt, 30 AS k FROM facts GROUP BY name ORDER BY cnt DESC, name LIMIT 30)"""))
 def q_top_k_support(spark, sf):
-    d = B.facts(spark, sf)
+    d = B.facts_snapshot(spark, sf)
     a = S.top_k_support(d, "name", 10, "dollar_price").withColumn("k", F.lit(10))
     b = S.top_k_support(d, "name", 30, None).withColumn("k", F.lit(30))
     return a.unionByName(b)
@@ -438,7 +450,7 @@ def q_top_k_support(spark, sf):
 , g AS (SELECT year, iso_a3, name, avg(USD_raw) AS USD_raw, avg(dollar_price) AS dollar_price FROM df
         WHERE year IS NOT NULL AND iso_a3 IS NOT NULL AND name IS NOT NULL GROUP BY 1, 2, 3)
 SELECT year, iso_a3, name, round(USD_raw, 9) AS USD_raw, round(dollar_price, 2) AS dollar_price,
-       round(USD_raw * 100, 1) AS USD_raw_pct FROM g WHERE USD_raw IS NOT NULL"""))
+       (0.0 + ROUND(USD_raw * 100, 1)) AS USD_raw_pct FROM g WHERE USD_raw IS NOT NULL"""))
 def q_map_frame(spark, sf):
     m = S.map_frame(J.dashboard_filtered(spark, sf))
     return norm(m.drop("hover"), {"USD_raw": 9, "dollar_price": 2, "USD_raw_pct": 1})
@@ -466,9 +478,9 @@ def q_kpi_summary(spark, sf):
     f"round(min({c}), {d}) AS min, round(max({c}), {d}) AS max FROM facts"
     for c, d in [("local_price", 2), ("dollar_price", 2), ("dollar_ex", 6), ("USD_raw", 9), ("GDP_dollar", 3), ("adj_price", 2)])))
 def q_describe_numeric(spark, sf):
-    d = S.describe_numeric(B.facts(spark, sf), DESCRIBE_COLS)
+    d = S.describe_numeric(B.facts_snapshot(spark, sf), DESCRIBE_COLS)
     digits = {"local_price": 2, "dollar_price": 2, "dollar_ex": 6, "USD_raw": 9, "GDP_dollar": 3, "adj_price": 2}
-    r = lambda c: F.coalesce(*[F.when(F.col("column") == k, C.round_scaled(c, v)) for k, v in digits.items()])
+    r = lambda c: F.coalesce(*[F.when(F.col("column") == k, qround(c, v)) for k, v in digits.items()])
     return d.select("column", "count", r(F.col("mean")).alias("mean"), r(F.col("stddev")).alias("stddev"),
                     r(F.col("min")).alias("min"), r(F.col("max")).alias("max"))
 
@@ -477,7 +489,7 @@ def q_describe_numeric(spark, sf):
 SELECT count(DISTINCT name) AS n_entities, count(*) FILTER (WHERE name IS NULL) AS n_entity_nulls,
        count(DISTINCT year) AS n_years, min(year) AS year_min, max(year) AS year_max, count(*) AS n_rows FROM facts"""))
 def q_overview(spark, sf):
-    return S.overview(B.facts(spark, sf))
+    return S.overview(B.facts_snapshot(spark, sf))
 
 
 @query("null_counts", W("""
@@ -487,7 +499,7 @@ SELECT * FROM (
   UNION ALL SELECT 'adj_price', count(*) FILTER (WHERE adj_price IS NULL) FROM raw_facts
   UNION ALL SELECT 'USD_raw', count(*) FILTER (WHERE USD_raw IS NULL) FROM raw_facts) WHERE n_null > 0"""))
 def q_null_counts(spark, sf):
-    return S.null_counts(B.raw_facts(spark, sf))
+    return S.null_counts(B.raw_snapshot(spark, sf))
 
 
 # ============================================================ windows / top-k
@@ -500,9 +512,9 @@ a AS (SELECT b.* FROM lb b, lt WHERE b.year = lt.y AND lt.n >= 10),
 r AS (SELECT *, row_number() OVER (PARTITION BY iso_a3 ORDER BY year DESC, name DESC, USD_raw DESC) AS rn FROM lb),
 b AS (SELECT iso_a3, name, USD_raw, year FROM r, lt WHERE rn = 1 AND lt.n < 10),
 u AS (SELECT * FROM a UNION ALL SELECT * FROM b)
-SELECT iso_a3, name, round(USD_raw, 9) AS USD_raw, year, round(USD_raw * 100, 1) AS USD_raw_pct FROM u"""))
+SELECT iso_a3, name, round(USD_raw, 9) AS USD_raw, year, (0.0 + ROUND(USD_raw * 100, 1)) AS USD_raw_pct FROM u"""))
 def q_latest_per_entity(spark, sf):
-    return norm(select.latest_per_entity(B.facts(spark, sf)), {"USD_raw": 9, "USD_raw_pct": 1})
+    return norm(select.latest_per_entity(B.facts_snapshot(spark, sf)), {"USD_raw": 9, "USD_raw_pct": 1})
 
 
 @query("top_bottom", W(DASH_SQL + """
@@ -523,7 +535,7 @@ SELECT name,
 FROM facts WHERE name IN (SELECT name FROM top) GROUP BY name"""))
 def q_pivot_entity_year(spark, sf):
     years = J.year_span(spark, sf)
-    p = S.pivot_entity_year(B.facts(spark, sf), "name", "year", "dollar_price", 30, years)
+    p = S.pivot_entity_year(B.facts_snapshot(spark, sf), "name", "year", "dollar_price", 30, years)
     return norm(p, default=2)
 
 
@@ -537,7 +549,7 @@ def q_raw_index(spark, sf):
 SELECT round(corr(GDP_dollar, dollar_price), 9) AS corr,
        count(*) FILTER (WHERE GDP_dollar IS NOT NULL AND dollar_price IS NOT NULL) AS n FROM facts"""))
 def q_pearson(spark, sf):
-    return norm(D.pearson(B.facts(spark, sf), "GDP_dollar", "dollar_price"), {"corr": 9})
+    return norm(D.pearson(B.facts_snapshot(spark, sf), "GDP_dollar", "dollar_price"), {"corr": 9})
 
 
 _CORR = ["local_price", "dollar_price", "dollar_ex", "USD_raw", "GDP_dollar", "adj_price"]
@@ -549,7 +561,7 @@ _CORR = ["local_price", "dollar_price", "dollar_ex", "USD_raw", "GDP_dollar", "a
     f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 9) AS corr FROM d"
     for a in _CORR for b in _CORR)))
 def q_corr_matrix(spark, sf):
-    return norm(D.corr_matrix(B.facts(spark, sf), CORR_COLS), {"corr": 9})
+    return norm(D.corr_matrix(B.facts_snapshot(spark, sf), CORR_COLS), {"corr": 9})
 
 
 @query("ols_line", W("""
@@ -558,7 +570,7 @@ SELECT round(regr_slope(dollar_price, GDP_dollar), 6) AS slope, round(regr_inter
        round(min(GDP_dollar), 2) AS x_min, round(max(GDP_dollar), 2) AS x_max
 FROM facts WHERE GDP_dollar IS NOT NULL AND dollar_price IS NOT NULL"""))
 def q_ols_line(spark, sf):
-    return norm(D.ols_line(B.facts(spark, sf), "GDP_dollar", "dollar_price"),
+    return norm(D.ols_line(B.facts_snapshot(spark, sf), "GDP_dollar", "dollar_price"),
                 {"slope": 6, "intercept": 4, "r2": 9, "x_min": 2, "x_max": 2})
 
 
@@ -598,7 +610,7 @@ GROUP BY pts.decade, pts.point, pts.x, n, h"""
 
 @query("kde_curve", W(KDE_SQL))
 def q_kde_curve(spark, sf):
-    d = B.facts(spark, sf).withColumn("decade", C.decade_label("year"))
+    d = B.facts_snapshot(spark, sf).withColumn("decade", C.decade_label("year"))
     k = D.kde_curve(d, "dollar_price", by="decade")
     return norm(k.select("decade", "point", "x", (F.col("density") * 1e6).alias("density_e6")),
                 {"x": 4, "density_e6": 6})
@@ -610,7 +622,7 @@ SELECT CAST(floor(year / 10) * 10 AS INTEGER) || 's' AS decade, count(*) AS n,
        round(quantile_cont(dollar_price, 0.75), 4) AS q3
 FROM facts GROUP BY 1"""))
 def q_violin_stats(spark, sf):
-    _, q = D.violin_stats(B.facts(spark, sf), "year", "dollar_price")
+    _, q = D.violin_stats(B.facts_snapshot(spark, sf), "year", "dollar_price")
     return norm(q, {"q1": 4, "median": 4, "q3": 4})
 
 
@@ -629,7 +641,7 @@ SELECT f.year, n, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) A
        round(fence_hi, 4) AS fence_hi, round(whisker_lo, 2) AS whisker_lo, round(whisker_hi, 2) AS whisker_hi, n_outliers
 FROM f JOIN w ON f.year = w.year"""))
 def q_box_stats(spark, sf):
-    stats, _ = D.box_stats(B.facts(spark, sf), "year", "dollar_price")
+    stats, _ = D.box_stats(B.facts_snapshot(spark, sf), "year", "dollar_price")
     return norm(stats, {"q1": 4, "median": 4, "q3": 4, "fence_lo": 4, "fence_hi": 4, "whisker_lo": 2, "whisker_hi": 2})
 
 
@@ -637,7 +649,7 @@ def q_box_stats(spark, sf):
 SELECT x.obs_id, x.year, round(x.dollar_price, 2) AS dollar_price FROM facts x JOIN f ON x.year = f.year
 WHERE NOT (x.dollar_price BETWEEN fence_lo AND fence_hi)"""))
 def q_box_outliers(spark, sf):
-    _, out = D.box_stats(B.facts(spark, sf).select("obs_id", "year", "dollar_price"), "year", "dollar_price")
+    _, out = D.box_stats(B.facts_snapshot(spark, sf).select("obs_id", "year", "dollar_price"), "year", "dollar_price")
     return norm(out.select("obs_id", "year", "dollar_price"), PRICE)
 
 
@@ -650,7 +662,7 @@ SELECT obs_id, round(GDP_dollar, 2) AS GDP_dollar, round(dollar_price, 2) AS dol
 FROM facts, n WHERE GDP_dollar IS NOT NULL AND """ + HASH.format(key="obs_id") +
                                   " < least(1.0, CAST(3000 AS DOUBLE) / greatest(n.n, 1)) * 2147483647"))
 def q_sample_rows(spark, sf):
-    d = B.facts(spark, sf).select("obs_id", "GDP_dollar", "dollar_price")
+    d = B.facts_snapshot(spark, sf).select("obs_id", "GDP_dollar", "dollar_price")
     return norm(D.sample_rows(d, "obs_id", 3000, 42, dropna=["GDP_dollar", "dollar_price"]), PRICE)
 
 
@@ -661,7 +673,7 @@ SELECT obs_id, name, year, round(GDP_dollar, 2) AS GDP_dollar, round(USD_raw, 9)
 FROM facts, n WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL AND name IS NOT NULL AND """
                                         + HASH.format(key="obs_id") + " < least(1.0, CAST(3000 AS DOUBLE) / greatest(n.n, 1)) * 2147483647"))
 def q_scatter_by_decade(spark, sf):
-    s = D.scatter_by_decade(B.facts(spark, sf))
+    s = D.scatter_by_decade(B.facts_snapshot(spark, sf))
     return norm(s, {"GDP_dollar": 2, "USD_raw": 9})
 
 
@@ -669,7 +681,7 @@ def q_scatter_by_decade(spark, sf):
 , s AS (SELECT * FROM df WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL),
 y AS (SELECT * FROM s WHERE year = (SELECT max(year) FROM s))
 SELECT name, year, round(GDP_dollar, 2) AS GDP_dollar, round(USD_raw, 9) AS USD_raw, region,
-       round(dollar_price, 2) AS dollar_price, round(USD_raw * 100, 1) AS USD_raw_pct FROM y"""))
+       round(dollar_price, 2) AS dollar_price, (0.0 + ROUND(USD_raw * 100, 1)) AS USD_raw_pct FROM y"""))
 def q_scatter_snapshot(spark, sf):
     pts, _ = D.scatter_snapshot(J.dashboard_filtered(spark, sf))
     return norm(pts, {"GDP_dollar": 2, "USD_raw": 9, "dollar_price": 2, "USD_raw_pct": 1})
@@ -679,7 +691,7 @@ def q_scatter_snapshot(spark, sf):
 SELECT CASE WHEN """ + HASH.format(key="obs_id") + """ < 0.8 * 2147483647 THEN 'train' ELSE 'test' END AS split,
        count(*) AS n FROM facts WHERE GDP_dollar IS NOT NULL GROUP BY 1"""))
 def q_split_train_test(spark, sf):
-    d = model.model_frame(B.facts(spark, sf), keep=["obs_id"])
+    d = model.model_frame(B.facts_snapshot(spark, sf), keep=["obs_id"])
     tr, te = D.split_train_test(d, "obs_id", 0.8, 42)
     return (tr.select(F.lit("train").alias("split")).unionByName(te.select(F.lit("test").alias("split")))
             .groupBy("split").agg(F.count(F.lit(1)).alias("n")))
@@ -698,7 +710,7 @@ SELECT round(sqrt(avg((dollar_price - prediction) * (dollar_price - prediction))
        round(1 - sum((dollar_price - prediction) * (dollar_price - prediction)) / (var_pop(dollar_price) * count(*)), 9) AS r2,
        round(avg(abs(dollar_price - prediction)), 4) AS mae, count(*) AS n FROM pred"""))
 def q_eval_regression(spark, sf):
-    d = model.model_frame(B.facts(spark, sf), keep=["obs_id"])
+    d = model.model_frame(B.facts_snapshot(spark, sf), keep=["obs_id"])
     tr, te = D.split_train_test(d, "obs_id", 0.8, 42)
     p = model.line_predictions(tr, te, "GDP_dollar", "dollar_price")
     return norm(model.eval_regression(p), {"rmse": 4, "r2": 9, "mae": 4})
@@ -708,7 +720,7 @@ def q_eval_regression(spark, sf):
 SELECT round(dollar_price, 2) AS dollar_price, round(prediction, 4) AS prediction,
        round(dollar_price - prediction, 4) AS residual FROM pred"""))
 def q_residual_frame(spark, sf):
-    d = model.model_frame(B.facts(spark, sf), keep=["obs_id"])
+    d = model.model_frame(B.facts_snapshot(spark, sf), keep=["obs_id"])
     tr, te = D.split_train_test(d, "obs_id", 0.8, 42)
     rows, _ = model.residual_frame(model.line_predictions(tr, te, "GDP_dollar", "dollar_price"))
     return norm(rows, {"dollar_price": 2, "prediction": 4, "residual": 4})
@@ -717,7 +729,7 @@ def q_residual_frame(spark, sf):
 @query("fit_price_model")
 def q_fit_price_model(spark, sf):
     """MLlib ridge pipeline (rows-only check): test-split predictions."""
-    d = model.model_frame(B.facts(spark, sf), keep=["obs_id"])
+    d = model.model_frame(B.facts_snapshot(spark, sf), keep=["obs_id"])
     tr, te = D.split_train_test(d, "obs_id", 0.8, 42)
     m = model.fit_price_model(tr)
     return model.predict(m, te).select("obs_id", "GDP_dollar", "dollar_ex", "year", "dollar_price", "prediction")
@@ -725,7 +737,7 @@ def q_fit_price_model(spark, sf):
 
 @query("model_coefficients")
 def q_model_coefficients(spark, sf):
-    d = model.model_frame(B.facts(spark, sf), keep=["obs_id"])
+    d = model.model_frame(B.facts_snapshot(spark, sf), keep=["obs_id"])
     tr, _ = D.split_train_test(d, "obs_id", 0.8, 42)
     return model.model_coefficients(model.fit_price_model(tr), ["GDP_dollar", "dollar_ex", "year"])
 
@@ -808,9 +820,40 @@ def q_apply_link(spark, sf):
     return link.apply_link(q, J.linked_names(spark, sf), "name", "code").select("p_partkey", "name", "code")
 
 
-def _positive_zero(sql: str) -> str:
-    """DuckDB keeps the sign of a rounded zero (-0.0); Spark's rounding does not. Add +0.0."""
-    return re.sub(r"(?<![\w.])round\(", "0.0 + round(", sql)
+def _oracle_rounding(sql: str) -> str:
+    """Rewrite every two-argument ``round(a, d)`` as ``(0.0 + round((a) + TIE_SHIFT·10^-d, d))``.
+
+    Same tie shift as ``qround``; ``0.0 +`` turns DuckDB's rounded -0.0 into 0.0
+    as Spark's rounding gives.  One-argument ``round(x)`` is left alone, and so
+    is upper-case ``ROUND``, which the oracles use where rounding is the
+    operator's own semantics (``pct_round``), not output normalisation.
+    """
+    out, i = [], 0
+    pat = re.compile(r"(?<![\w.])round\(")
+    while True:
+        m = pat.search(sql, i)
+        if not m:
+            out.append(sql[i:])
+            return "".join(out)
+        out.append(sql[i:m.start()])
+        j, depth, comma = m.end(), 1, None
+        while depth:
+            ch = sql[j]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = j
+            j += 1
+        inner = sql[m.end():j - 1]
+        if comma is None:
+            out.append("round(" + _oracle_rounding(inner) + ")")
+        else:
+            arg = _oracle_rounding(sql[m.end():comma])
+            d = int(sql[comma + 1:j - 1].strip())
+            out.append(f"(0.0 + round(({arg}) + {TIE_SHIFT / 10 ** d!r}, {d}))")
+        i = j
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -818,4 +861,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: _positive_zero(v) for k, v in ORACLE.items()}
+    return {k: _oracle_rounding(v) for k, v in ORACLE.items()}

@@ -29,16 +29,15 @@ YEAR_LO, YEAR_HI = 1995, 2001
 
 def year_span(spark: SparkSession, sf_dir: str) -> list[int]:
     """Calendar years covered by the orders (one scalar aggregate)."""
-    r = bindings.table(spark, sf_dir, "orders").agg(
-        F.min(F.year("o_orderdate")).alias("lo"), F.max(F.year("o_orderdate")).alias("hi")).first()
+    r = bindings.raw_snapshot(spark, sf_dir).agg(F.min("year").alias("lo"), F.max("year").alias("hi")).first()
     return list(range(r["lo"], r["hi"] + 1))
 
 
 def nation_year_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(n_name, year, total) with the total summed in integer cents (exact in any order)."""
-    j = bindings.order_panel(spark, sf_dir)
-    cents = F.round(F.col("o_totalprice") * 100).cast("long")
-    return (j.groupBy(F.col("n_name"), F.year("o_orderdate").alias("year"))
+    j = bindings.raw_snapshot(spark, sf_dir)
+    cents = F.round(F.col("dollar_price") * 100).cast("long")
+    return (j.groupBy(F.col("name").alias("n_name"), "year")
             .agg(F.sum(cents).alias("cents"))
             .select("n_name", "year", (F.col("cents") / F.lit(100.0)).alias("total")))
 
@@ -54,9 +53,9 @@ def gdp_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pop_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide snapshot matrix: CCA3, Country, '<year> Population' counts at snapshot years, and a
     'World Population Percentage' column that must not be taken for a snapshot."""
-    j = bindings.order_panel(spark, sf_dir).filter(F.year("o_orderdate").isin(*SNAPSHOT_YEARS))
-    counts = j.groupBy(F.col("n_nationkey").cast("string").alias("CCA3"), F.col("n_name").alias("Country"),
-                       F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("n"))
+    j = bindings.raw_snapshot(spark, sf_dir).filter(F.col("year").isin(*SNAPSHOT_YEARS))
+    counts = j.groupBy(F.col("iso_a3").alias("CCA3"), F.col("name").alias("Country"),
+                       "year").agg(F.count(F.lit(1)).alias("n"))
     w = counts.groupBy("CCA3", "Country").pivot("year", SNAPSHOT_YEARS).agg(F.format_number(F.first("n"), 0))
     w = w.toDF("CCA3", "Country", *[f"{y} Population" for y in SNAPSHOT_YEARS])
     return w.withColumn("World Population Percentage", F.lit("0.5"))
@@ -89,7 +88,7 @@ def pop_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def per_capita_panel(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
     """(iso, year, per_capita): GDP names linked to codes, joined to the population estimate."""
-    facts = facts if facts is not None else bindings.facts(spark, sf_dir)
+    facts = facts if facts is not None else bindings.facts_snapshot(spark, sf_dir)
     g = gdp_long(spark, sf_dir)
     links = link.link_names(g.select(F.col("country_name").alias("name")),
                             facts.select("name", F.col("iso_a3").alias("code")))
@@ -101,7 +100,7 @@ def per_capita_panel(spark: SparkSession, sf_dir: str, facts: DataFrame | None =
 
 def enrich_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts with missing ``GDP_dollar`` filled from the per-capita panel (row count unchanged)."""
-    facts = bindings.facts(spark, sf_dir)
+    facts = bindings.facts_snapshot(spark, sf_dir)
     panel = per_capita_panel(spark, sf_dir, facts)
     filled = enrich.join_fill(facts, panel, ["iso_a3", "year"], ["iso", "year"], "per_capita")
     return enrich.fill_from(filled, "GDP_dollar", "per_capita", zero_is_missing=True)
@@ -115,7 +114,7 @@ def region_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dashboard_frame(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
     """Facts without the duplicate-entity names, with region (default for unmapped) and income level."""
-    df = facts if facts is not None else bindings.facts(spark, sf_dir)
+    df = facts if facts is not None else bindings.facts_snapshot(spark, sf_dir)
     df = clean.exclude_values(df, "name", ["UAE", "Britain"])
     df = clean.map_with_default(df, "iso_a3", region_map(spark, sf_dir), "code", "region", "region",
                                 DEFAULT_REGION, broadcast_mapping=True)
@@ -161,12 +160,12 @@ def linked_names(spark: SparkSession, sf_dir: str, method: str = "levenshtein")
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched facts written as year-partitioned Parquet, read back (the saved snapshot)."""
     path = scratch_path(spark, f"snapshot-{uuid.uuid4().hex}")
-    writers.sink_parquet(bindings.facts(spark, sf_dir), path, partition_by=["year"])
+    writers.sink_parquet(bindings.facts_snapshot(spark, sf_dir), path, partition_by=["year"])
     return spark.read.parquet(path)
 
 
 def materialized_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(bindings.facts(spark, sf_dir), "facts")
+    return bindings.facts_snapshot(spark, sf_dir)
 
 
 def top_support(df: DataFrame, k: int = 10) -> DataFrame:
