@@ -37,6 +37,19 @@ def _unkey(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.drop(GROUP) if keys == [GROUP] else df
 
 
+def _attach(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+    """Join per-group statistics back onto the rows.
+
+    Ungrouped (constant key): the stats are one row, broadcast explicitly — a
+    shuffle on a constant key would send every row to one task.  Grouped: one
+    row per group; AQE turns the join into a broadcast once the runtime size of
+    the stats is known (and splits skewed partitions otherwise).
+    """
+    if keys == [GROUP]:
+        return rows.join(F.broadcast(stats), on=keys)
+    return rows.join(stats, on=keys)
+
+
 # ------------------------------------------------------------------ correlation / line
 def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
     """Pearson correlation with pairwise deletion (``F.corr``; nulls are skipped, not zeroed)."""
@@ -83,7 +96,7 @@ def histogram(df: DataFrame, value: str, bins: int = 40, by: str | None = None)
     idx = F.when(F.col("__hi") == F.col("__lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col(value) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * F.lit(bins)),
                 F.lit(bins - 1))).cast("int")
-    counts = d.join(st, on=keys).groupBy(*keys, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = _attach(d, st, keys).groupBy(*keys, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     grid = st.select(*keys, "__lo", "__hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     out = grid.join(counts, on=[*keys, "bin"], how="left").select(
         *keys, "bin",
@@ -106,7 +119,7 @@ def kde_curve(df: DataFrame, value: str, by: str | None = None, grid: int = 200,
     span = F.col("__hi") - F.col("__lo")
     cell = F.when(span == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(value) - F.col("__lo")) / span * F.lit(cells)), F.lit(cells - 1))).cast("int")
-    cell_stats = (d.join(st.select(*keys, "__lo", "__hi"), on=keys)
+    cell_stats = (_attach(d, st.select(*keys, "__lo", "__hi"), keys)
                   .groupBy(*keys, cell.alias("cell")).agg(F.count(F.lit(1)).alias("w"), F.avg(value).alias("m")))
     bw = F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2))
     pts = st.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"),
@@ -149,7 +162,7 @@ def box_stats(df: DataFrame, by: str | None, value: str, whisker: float = 1.5,
     fences = q.select(*keys, "n", "q1", "median", "q3",
                       (F.col("q1") - F.lit(whisker) * iqr).alias("fence_lo"),
                       (F.col("q3") + F.lit(whisker) * iqr).alias("fence_hi"))
-    j = d.join(fences.select(*keys, "fence_lo", "fence_hi"), on=keys)
+    j = _attach(d, fences.select(*keys, "fence_lo", "fence_hi"), keys)
     inside = (F.col(value) >= F.col("fence_lo")) & (F.col(value) <= F.col("fence_hi"))
     w = j.groupBy(*keys).agg(F.min(F.when(inside, F.col(value))).alias("whisker_lo"),
                              F.max(F.when(inside, F.col(value))).alias("whisker_hi"),
