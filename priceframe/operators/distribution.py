@@ -136,14 +136,96 @@ def kde_curve(df: DataFrame, value: str, by: str | None = None, grid: int = 200,
 
 
 # ------------------------------------------------------------------ box / violin
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: str | Sequence[str] | None = None,
+                    buckets: int = 4096, small: int = 4096, max_rounds: int = 200) -> DataFrame:
+    """Exact quantiles (linear interpolation, as ``percentile``) without holding a group in one task.
+
+    Each needed order statistic (ranks ⌊(n−1)p⌋ and ⌈(n−1)p⌉ per group) gets a
+    value window [lo, hi] and the count of values below it.  A round
+    histograms every window into ``buckets`` equal-width buckets — a partial
+    aggregate, so a hot group costs one small row per task — and keeps the
+    bucket holding the rank.  A window holding at most ``small`` values is
+    resolved by sorting just those values.  Windows shrink every round, so work
+    per group and per task stays bounded whatever the group's size.  The
+    driver loop only sees window counts.
+    Output: [by,] n, q0, q1, ... (one column per prob, in order).
+    """
+    from pyspark.sql import Window
+
+    from ._util import materialize
+
+    d, keys = _keyed(df.filter(F.col(value).isNotNull() & ~F.isnan(value)), by)
+    d = d.select(*keys, F.col(value).cast("double").alias("__v"))
+    st = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi"))
+    pos = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
+    rank_cols = [F.floor(x).cast("long") for x in pos] + [F.ceil(x).cast("long") for x in pos]
+    st = materialize(st, "quantile-stats")
+    state = (st.select(*keys, "lo", "hi", "n", F.explode(F.array_distinct(F.array(*rank_cols))).alias("k"))
+             .select(*keys, "k", "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("c")))
+    state = materialize(state, "quantile-state")
+    resolved = []
+    for _ in range(max_rounds):
+        done = state.filter(F.col("lo") == F.col("hi"))
+        resolved.append(done.select(*keys, "k", F.col("lo").alias("val")))
+        active = state.filter(F.col("lo") < F.col("hi"))
+        n_active = active.count()
+        if n_active == 0:
+            break
+        # windows: one row per (group, rank); broadcast when that list is small
+        act = F.broadcast(active) if n_active <= 2_000_000 else active
+        rows = d.join(act, on=keys).filter((F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi")))
+        wkeys = [*keys, "k"]
+        # small windows: sort their (≤ small) values and index
+        few = (rows.filter(F.col("c") <= small).groupBy(*wkeys, "below")
+               .agg(F.sort_array(F.collect_list("__v")).alias("__vs"))
+               .select(*wkeys, F.element_at("__vs", (F.col("k") - F.col("below") + 1).cast("int")).alias("val")))
+        resolved.append(materialize(few, "quantile-few"))
+        # large windows: histogram, then keep the bucket holding the rank
+        big = rows.filter(F.col("c") > small)
+        b = F.least(F.floor((F.col("__v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(buckets)),
+                    F.lit(buckets - 1)).cast("int")
+        hist = big.groupBy(*wkeys, "below", b.alias("__b")).agg(
+            F.count(F.lit(1)).alias("cnt"), F.min("__v").alias("bmin"), F.max("__v").alias("bmax"))
+        w = Window.partitionBy(*wkeys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        hist = hist.withColumn("__before", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
+        start = F.col("below") + F.col("__before")
+        chosen = hist.filter((start <= F.col("k")) & (F.col("k") < start + F.col("cnt")))
+        state = materialize(chosen.select(*wkeys, F.col("bmin").alias("lo"), F.col("bmax").alias("hi"),
+                                          start.alias("below"), F.col("cnt").alias("c")), "quantile-state")
+    else:
+        raise RuntimeError("exact_quantiles did not converge")
+    vals = resolved[0]
+    for r in resolved[1:]:
+        vals = vals.unionByName(r)
+    out = st.select(*keys, "n")
+    for i, p in enumerate(probs):
+        r = (F.col("n") - 1) * F.lit(float(p))
+        k0, k1 = F.floor(r).cast("long"), F.ceil(r).cast("long")
+        v0 = vals.select(*keys, F.col("k").alias(f"__k0_{i}"), F.col("val").alias(f"__v0_{i}"))
+        v1 = vals.select(*keys, F.col("k").alias(f"__k1_{i}"), F.col("val").alias(f"__v1_{i}"))
+        out = (out.withColumn(f"__k0_{i}", k0).withColumn(f"__k1_{i}", k1)
+               .join(v0, on=[*keys, f"__k0_{i}"]).join(v1, on=[*keys, f"__k1_{i}"]))
+        frac = r - F.col(f"__k0_{i}")
+        out = out.withColumn(f"q{i}", F.col(f"__v0_{i}") + frac * (F.col(f"__v1_{i}") - F.col(f"__v0_{i}")))
+        out = out.drop(f"__k0_{i}", f"__k1_{i}", f"__v0_{i}", f"__v1_{i}")
+    return _unkey(out, keys)
+
+
 def quartiles(df: DataFrame, value: str, by: str | None = None, approx: bool = False,
               accuracy: int = 100000) -> DataFrame:
-    """q1, median, q3 (linear interpolation) per group; ``approx`` uses a bounded-memory sketch."""
+    """q1, median, q3 (linear interpolation) per group.
+
+    Exact by default (``exact_quantiles``: bounded work per task even for a
+    hot group); ``approx`` uses the mergeable ``percentile_approx`` sketch.
+    """
+    if not approx:
+        q = exact_quantiles(df, value, [0.25, 0.5, 0.75], by)
+        return q.select(*[c for c in q.columns if c not in ("q0", "q1", "q2")],
+                        F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     d, keys = _keyed(df.filter(F.col(value).isNotNull() & ~F.isnan(value)), by)
     probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = (F.percentile_approx(value, probs, accuracy) if approx
-         else F.percentile(F.col(value).cast("double"), probs))
-    out = d.groupBy(*keys).agg(q.alias("__q"), F.count(F.lit(1)).alias("n")).select(
+    out = d.groupBy(*keys).agg(F.percentile_approx(value, probs, accuracy).alias("__q"),
+                               F.count(F.lit(1)).alias("n")).select(
         *keys, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"))
     return _unkey(out, keys)
 

@@ -185,3 +185,18 @@ def test_sample_and_split_are_partition_independent(spark):
     tr, te = D.split_train_test(df, "k", 0.8)
     n_tr, n_te = tr.count(), te.count()
     assert n_tr + n_te == 20000 and 15500 < n_tr < 16500
+
+
+def test_exact_quantiles_narrowing_rounds_hot_group(spark):
+    rng = np.random.default_rng(9)
+    hot = np.round(rng.lognormal(3, 1.5, 6000), 1)            # one group holds most rows, many ties
+    cold = rng.normal(0, 1, 300)
+    rows = [("hot", float(v)) for v in hot] + [("cold", float(v)) for v in cold] + [("one", 5.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = {r["g"]: r for r in D.exact_quantiles(df, "v", probs, "g", buckets=8, small=40).collect()}
+    for g, x in (("hot", hot), ("cold", cold), ("one", np.array([5.0]))):
+        want = np.percentile(x, [p * 100 for p in probs])
+        for i, w in enumerate(want):
+            assert abs(got[g][f"q{i}"] - w) <= 1e-9 * max(1.0, abs(w)), (g, probs[i])
+        assert got[g]["n"] == len(x)
