@@ -84,16 +84,19 @@ def pct_round(c: ColumnOrName, digits: int = 1, half_even: bool = False) -> Colu
 
 
 def fmt_pct(c: ColumnOrName, digits: int = 1) -> Column:
-    """0.1234 → '+12.3%', -0.05 → '-5.0%' (sign shown for non-negative values)."""
+    """0.1234 → '+12.3%', -0.05 → '-5.0%' (sign shown for non-negative values).
+
+    The value is rounded first, then printed with the same digits, so the text
+    does not depend on how an engine formats the unrounded double.
+    """
     c = _col(c)
-    body = F.format_string(f"%.{digits}f", c * F.lit(100.0))
-    return F.when(c.isNotNull(), F.concat(F.when(c >= 0, F.lit("+")).otherwise(F.lit("")), body, F.lit("%")))
+    return F.when(c.isNotNull(), signed_pct_text(pct_round(c, digits), digits))
 
 
 def fmt_usd(c: ColumnOrName, digits: int = 2) -> Column:
     """2.5 → '$2.50'. Fixed decimals keep the text identical across engines."""
     c = _col(c)
-    return F.when(c.isNotNull(), F.concat(F.lit("$"), F.format_string(f"%.{digits}f", c)))
+    return F.when(c.isNotNull(), F.concat(F.lit("$"), F.format_string(f"%.{digits}f", round_scaled(c, digits))))
 
 
 def signed_pct_text(pct: ColumnOrName, digits: int = 1) -> Column:

@@ -73,12 +73,22 @@ def clean_facts(df: DataFrame) -> DataFrame:
     return drop_incomplete(df)
 
 
-def fill_median(df: DataFrame, col: str, rel_err: float = 0.001) -> DataFrame:
-    """Null ``col`` → its approximate median (mergeable sketch; one scalar reaches the driver)."""
+def fill_median(df: DataFrame, col: str, rel_err: float | None = 0.01) -> DataFrame:
+    """Null ``col`` → its median; one scalar reaches the driver.
+
+    ``rel_err`` set: the approximate median of a mergeable sketch (the
+    reference's 1 % setting); ``rel_err=None``: the exact median (bounded-work
+    ``exact_quantiles``).
+    """
     if col not in df.columns:
         return df
-    accuracy = max(1, int(round(1.0 / rel_err)))
-    med = df.agg(F.percentile_approx(col, 0.5, accuracy).alias("m")).first()["m"]
+    if rel_err is None:
+        from .distribution import exact_quantiles
+
+        med = exact_quantiles(df, col, [0.5]).first()["q0"]
+    else:
+        accuracy = max(1, int(round(1.0 / rel_err)))
+        med = df.agg(F.percentile_approx(col, 0.5, accuracy).alias("m")).first()["m"]
     return df if med is None else df.na.fill({col: float(med)})
 
 

@@ -820,6 +820,100 @@ def q_apply_link(spark, sf):
     return link.apply_link(q, J.linked_names(spark, sf), "name", "code").select("p_partkey", "name", "code")
 
 
+# ============================================================ added sources / sinks / fills
+@query("scan_multipart", W("""
+SELECT year, count(*) AS n_rows, round(sum(dollar_price), 2) AS total FROM raw_facts GROUP BY year"""))
+def q_scan_multipart(spark, sf):
+    """Raw facts written as a multi-part CSV folder, read back through ``scan_multipart``."""
+    raw = B.raw_snapshot(spark, sf).select("obs_id", "year", "dollar_price").repartition(4)
+    path = J.write_wide(raw, "facts-parts")
+    schema = T.StructType([T.StructField("obs_id", T.LongType()), T.StructField("year", T.IntegerType()),
+                           T.StructField("dollar_price", T.DoubleType())])
+    df = readers.scan_multipart(spark, path, path + "-missing", schema=schema)
+    return norm(df.groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("dollar_price").alias("total")),
+                {"total": 2})
+
+
+@query("sink_metrics", W(LINE_SQL + """
+SELECT round(sqrt(avg((dollar_price - prediction) * (dollar_price - prediction))), 4) AS rmse,
+       round(1 - sum((dollar_price - prediction) * (dollar_price - prediction)) / (var_pop(dollar_price) * count(*)), 9) AS r2,
+       round(avg(abs(dollar_price - prediction)), 4) AS mae, count(*) AS n FROM pred"""))
+def q_sink_metrics(spark, sf):
+    """The metrics record written as JSON and read back."""
+    from ..session import scratch_path
+    import uuid
+
+    d = model.model_frame(B.facts_snapshot(spark, sf), keep=["obs_id"])
+    tr, te = D.split_train_test(d, "obs_id", 0.8, 42)
+    m = model.eval_regression(model.line_predictions(tr, te, "GDP_dollar", "dollar_price"))
+    path = scratch_path(spark, f"metrics-{uuid.uuid4().hex}")
+    writers.sink_metrics(m, path)
+    back = spark.read.schema(m.schema).json(path)
+    return norm(back, {"rmse": 4, "r2": 9, "mae": 4})
+
+
+@query("fill_median", W("""
+, med AS (SELECT quantile_cont(GDP_dollar, 0.5) AS m FROM facts)
+SELECT obs_id, round(coalesce(GDP_dollar, med.m), 4) AS GDP_dollar FROM facts, med"""))
+def q_fill_median(spark, sf):
+    d = clean.fill_median(B.facts_snapshot(spark, sf).select("obs_id", "GDP_dollar"), "GDP_dollar", rel_err=None)
+    return norm(d, {"GDP_dollar": 4})
+
+
+@query("residual_limits", W(LINE_SQL + """
+SELECT round(least(min(dollar_price), min(prediction)) - 0.5, 4) AS lim_lo,
+       round(greatest(max(dollar_price), max(prediction)) + 0.5, 4) AS lim_hi FROM pred"""))
+def q_residual_limits(spark, sf):
+    d = model.model_frame(B.facts_snapshot(spark, sf), keep=["obs_id"])
+    tr, te = D.split_train_test(d, "obs_id", 0.8, 42)
+    _, lim = model.residual_frame(model.line_predictions(tr, te, "GDP_dollar", "dollar_price"))
+    return norm(lim, {"lim_lo": 4, "lim_hi": 4})
+
+
+@query("scatter_line", W(DASH_SQL + """
+, s AS (SELECT * FROM df WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL),
+y AS (SELECT *, (0.0 + ROUND(USD_raw * 100, 1)) AS pct FROM s WHERE year = (SELECT max(year) FROM s))
+SELECT round(regr_slope(pct, GDP_dollar), 9) AS slope, round(regr_intercept(pct, GDP_dollar), 6) AS intercept,
+       round(regr_r2(pct, GDP_dollar), 9) AS r2, regr_count(pct, GDP_dollar) AS n,
+       round(min(GDP_dollar), 2) AS x_min, round(max(GDP_dollar), 2) AS x_max FROM y"""))
+def q_scatter_line(spark, sf):
+    _, line = D.scatter_snapshot(J.dashboard_filtered(spark, sf))
+    return norm(line, {"slope": 9, "intercept": 6, "r2": 9, "x_min": 2, "x_max": 2})
+
+
+QUERIES["violin_density"] = q_kde_curve
+ORACLE["violin_density"] = ORACLE["kde_curve"]
+QUERIES["predict"] = q_fit_price_model
+
+
+@query("hover_text", W(DASH_SQL + """
+, g AS (SELECT year, iso_a3, name, avg(USD_raw) AS USD_raw, avg(dollar_price) AS dollar_price FROM df
+        WHERE year IS NOT NULL AND iso_a3 IS NOT NULL AND name IS NOT NULL GROUP BY 1, 2, 3),
+h AS (SELECT *, (0.0 + ROUND(USD_raw * 100, 1)) AS pct FROM g WHERE USD_raw IS NOT NULL)
+SELECT year, iso_a3, name || '<br>Valuation: ' || CASE WHEN pct >= 0 THEN '+' ELSE '' END || printf('%.1f', pct)
+       || '%<br>Price: $' || printf('%.2f', (0.0 + ROUND(dollar_price, 2))) AS hover FROM h"""))
+def q_hover_text(spark, sf):
+    return S.map_frame(J.dashboard_filtered(spark, sf)).select("year", "iso_a3", "hover")
+
+
+@query("fmt_pct", W(DASH_SQL + """
+, g AS (SELECT name, iso_a3, avg(USD_raw) AS m FROM df GROUP BY name, iso_a3),
+ok AS (SELECT * FROM g WHERE name IS NOT NULL AND iso_a3 IS NOT NULL AND m IS NOT NULL)
+SELECT name, CASE WHEN p >= 0 THEN '+' ELSE '' END || printf('%.1f', p) || '%' AS index_text FROM (
+  SELECT name, (0.0 + ROUND(m * 100, 1)) AS p FROM ok)"""))
+def q_fmt_pct(spark, sf):
+    g = S.mean_by_entity(J.dashboard_filtered(spark, sf).filter(F.col("iso_a3").isNotNull()), "name", "USD_raw", "m")
+    return g.filter(F.col("name").isNotNull() & F.col("m").isNotNull()).select("name", C.fmt_pct("m").alias("index_text"))
+
+
+@query("fmt_usd", W(DASH_SQL + """
+SELECT name, '$' || printf('%.2f', (0.0 + ROUND(avg(dollar_price), 2))) AS price_text FROM df
+WHERE name IS NOT NULL GROUP BY name"""))
+def q_fmt_usd(spark, sf):
+    g = S.mean_by_entity(J.dashboard_filtered(spark, sf).filter(F.col("name").isNotNull()), "name", "dollar_price", "m")
+    return g.select("name", C.fmt_usd("m").alias("price_text"))
+
+
 def _oracle_rounding(sql: str) -> str:
     """Rewrite every two-argument ``round(a, d)`` as ``(0.0 + round((a) + TIE_SHIFT·10^-d, d))``.
 
