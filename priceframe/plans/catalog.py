@@ -914,6 +914,22 @@ def q_fmt_usd(spark, sf):
     return g.select("name", C.fmt_usd("m").alias("price_text"))
 
 
+@query("enrich_stream", ORACLE["join_fill"])
+def q_enrich_stream(spark, sf):
+    """Raw facts arrive as CSV files; the streaming enrichment appends the filled snapshot."""
+    from ..session import scratch_path
+    from ..streaming import enrich_stream
+    import uuid
+
+    raw = B.raw_snapshot(spark, sf)
+    src = J.write_wide(raw.repartition(3), "stream-src")
+    out = scratch_path(spark, f"stream-out-{uuid.uuid4().hex}")
+    panel = J.per_capita_panel(spark, sf)
+    q = enrich_stream(spark, src, panel, out, raw.schema, max_files_per_trigger=1)
+    q.awaitTermination()
+    return norm(spark.read.parquet(out).select(*FACT_COLS), FACT_DIGITS)
+
+
 def _oracle_rounding(sql: str) -> str:
     """Rewrite every two-argument ``round(a, d)`` as ``(0.0 + round((a) + TIE_SHIFT·10^-d, d))``.
 

@@ -1,0 +1 @@
+from .incremental import enrich_stream  # noqa: F401
