@@ -137,7 +137,7 @@ def kde_curve(df: DataFrame, value: str, by: str | None = None, grid: int = 200,
 
 # ------------------------------------------------------------------ box / violin
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: str | Sequence[str] | None = None,
-                    buckets: int = 4096, small: int = 4096, max_rounds: int = 200) -> DataFrame:
+                    buckets: int = 4096, small: int = 50000, max_rounds: int = 200) -> DataFrame:
     """Exact quantiles (linear interpolation, as ``percentile``) without holding a group in one task.
 
     Each needed order statistic (ranks ⌊(n−1)p⌋ and ⌈(n−1)p⌉ per group) gets a
@@ -162,34 +162,41 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: str |
     st = materialize(st, "quantile-stats")
     state = (st.select(*keys, "lo", "hi", "n", F.explode(F.array_distinct(F.array(*rank_cols))).alias("k"))
              .select(*keys, "k", "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("c")))
-    state = materialize(state, "quantile-state")
+    wkeys = [*keys, "k"]
     resolved = []
     for _ in range(max_rounds):
-        done = state.filter(F.col("lo") == F.col("hi"))
-        resolved.append(done.select(*keys, "k", F.col("lo").alias("val")))
+        resolved.append(state.filter(F.col("lo") == F.col("hi")).select(*wkeys, F.col("lo").alias("val")))
         active = state.filter(F.col("lo") < F.col("hi"))
-        n_active = active.count()
+        cnt = active.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("c") > small).alias("big")).first()
+        n_active, n_big = cnt["n"], cnt["big"]
         if n_active == 0:
             break
-        # windows: one row per (group, rank); broadcast when that list is small
-        act = F.broadcast(active) if n_active <= 2_000_000 else active
-        rows = d.join(act, on=keys).filter((F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi")))
-        wkeys = [*keys, "k"]
-        # small windows: sort their (≤ small) values and index
-        few = (rows.filter(F.col("c") <= small).groupBy(*wkeys, "below")
-               .agg(F.sort_array(F.collect_list("__v")).alias("__vs"))
-               .select(*wkeys, F.element_at("__vs", (F.col("k") - F.col("below") + 1).cast("int")).alias("val")))
-        resolved.append(materialize(few, "quantile-few"))
-        # large windows: histogram, then keep the bucket holding the rank
-        big = rows.filter(F.col("c") > small)
-        b = F.least(F.floor((F.col("__v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(buckets)),
-                    F.lit(buckets - 1)).cast("int")
-        hist = big.groupBy(*wkeys, "below", b.alias("__b")).agg(
-            F.count(F.lit(1)).alias("cnt"), F.min("__v").alias("bmin"), F.max("__v").alias("bmax"))
-        w = Window.partitionBy(*wkeys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        # Ranks whose windows coincide (all of a group's ranks in the first
+        # round) share one histogram: rows meet each distinct window once.
+        wins = active.select(*keys, "lo", "hi", "below", "c").distinct()
+        wins = F.broadcast(wins) if n_active <= 2_000_000 else wins
+        wk = [*keys, "lo", "hi", "below", "c"]
+        rows = d.join(wins, on=keys).filter((F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi")))
+        # one pass: small windows collect their (≤ small) values under bucket −1,
+        # large windows count per equal-width bucket
+        few = F.col("c") <= small
+        b = F.when(few, F.lit(-1)).otherwise(F.least(
+            F.floor((F.col("__v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(buckets)),
+            F.lit(buckets - 1))).cast("int")
+        agg = materialize(rows.groupBy(*wk, b.alias("__b")).agg(
+            F.count(F.lit(1)).alias("cnt"), F.min("__v").alias("bmin"), F.max("__v").alias("bmax"),
+            F.collect_list(F.when(few, F.col("__v"))).alias("__vs")), "quantile-round")
+        per_rank = active.select(*wk, "k").join(agg, on=wk)
+        resolved.append(per_rank.filter(F.col("__b") == -1).select(
+            *wkeys, F.element_at(F.sort_array("__vs"), (F.col("k") - F.col("below") + 1).cast("int")).alias("val")))
+        if n_big == 0:
+            break
+        hist = agg.filter(F.col("__b") >= 0).drop("__vs")
+        w = Window.partitionBy(*wk).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
         hist = hist.withColumn("__before", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
         start = F.col("below") + F.col("__before")
-        chosen = hist.filter((start <= F.col("k")) & (F.col("k") < start + F.col("cnt")))
+        chosen = active.select(*wk, "k").join(hist, on=wk).filter(
+            (start <= F.col("k")) & (F.col("k") < start + F.col("cnt")))
         state = materialize(chosen.select(*wkeys, F.col("bmin").alias("lo"), F.col("bmax").alias("hi"),
                                           start.alias("below"), F.col("cnt").alias("c")), "quantile-state")
     else:

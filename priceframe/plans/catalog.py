@@ -925,7 +925,7 @@ def q_enrich_stream(spark, sf):
     src = J.write_wide(raw.repartition(3), "stream-src")
     out = scratch_path(spark, f"stream-out-{uuid.uuid4().hex}")
     panel = J.per_capita_panel(spark, sf)
-    q = enrich_stream(spark, src, panel, out, raw.schema, max_files_per_trigger=1)
+    q = enrich_stream(spark, src, panel, out, raw.schema)
     q.awaitTermination()
     return norm(spark.read.parquet(out).select(*FACT_COLS), FACT_DIGITS)
 
