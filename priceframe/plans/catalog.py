@@ -930,6 +930,23 @@ def q_enrich_stream(spark, sf):
     return norm(spark.read.parquet(out).select(*FACT_COLS), FACT_DIGITS)
 
 
+# Ids whose operator runs inside another registered query get that query as their key.
+for _alias, _target in [("normalize_names", "scan_facts"), ("cast_numeric", "drop_incomplete"),
+                        ("parse_date_year", "scan_facts"), ("clamp_min", "trend_extrapolate"),
+                        ("project_existing", "preview"), ("sink_csv", "scan_multipart"),
+                        ("region_map", "map_with_default")]:
+    QUERIES[_alias] = QUERIES[_target]
+    if _target in ORACLE:
+        ORACLE[_alias] = ORACLE[_target]
+
+
+@query("link_fuzzy_ratio")
+def q_link_fuzzy_ratio(spark, sf):
+    """difflib-ratio scoring (parity mode). No SQL twin: checked against brute force in tests."""
+    q, d, _ = J.link_inputs(spark, sf)
+    return norm(link.link_fuzzy(q, d, 0.88, method="ratio").select("name", "code", "score"), {"score": 9})
+
+
 def _oracle_rounding(sql: str) -> str:
     """Rewrite every two-argument ``round(a, d)`` as ``(0.0 + round((a) + TIE_SHIFT·10^-d, d))``.
 
