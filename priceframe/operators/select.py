@@ -95,26 +95,25 @@ def latest_per_entity(df: DataFrame, code: str = "iso_a3", year: str = "year", m
                       tiebreak: Sequence[str] = ("name", "USD_raw"), index: str = "USD_raw") -> DataFrame:
     """Rows of the latest year; if that year has fewer than ``min_rows`` rows, the latest row per code.
 
-    Both branches are plans; the choice rides on a per-year count table
-    (bounded by the year span) joined by year, so nothing reaches the driver.
+    Both branches are plans; the choice rides on a one-row aggregate (latest
+    year, its row count) broadcast to both, so nothing reaches the driver.
     The per-code branch is a ``max_by`` aggregate (partial, skew-safe), not a
     window over a possibly huge code partition.  Ties: larger (tiebreak...) wins.
     """
     cols = existing(df, cols)
     base = df.select(*cols).na.drop()
-    per_year = base.groupBy(year).agg(F.count(F.lit(1)).alias("__n"))
-    from pyspark.sql import Window
-    w = Window.partitionBy()  # a per-year table: one row per calendar year
-    per_year = per_year.select(
-        year, (F.col(year) == F.max(year).over(w)).alias("__is_latest"),
-        F.max_by("__n", year).over(w).alias("__n_latest"))
-    per_year = F.broadcast(per_year)
-    in_latest = (base.join(per_year, on=year)
-                 .filter(F.col("__is_latest") & (F.col("__n_latest") >= min_rows)).select(*cols))
+    # one row: the latest year and its row count (a partial aggregate, then a
+    # global one over at most one row per calendar year)
+    latest = (base.groupBy(year).agg(F.count(F.lit(1)).alias("__n"))
+              .agg(F.max(year).alias("__latest"), F.max_by("__n", year).alias("__n_latest"))
+              .withColumn("__k", F.lit(0)))
+    latest = F.broadcast(latest)
+    in_latest = (base.withColumn("__k", F.lit(0)).join(latest, on="__k")
+                 .filter((F.col(year) == F.col("__latest")) & (F.col("__n_latest") >= min_rows)).select(*cols))
     order_key = F.struct(*[F.col(c) for c in [year, *[t for t in tiebreak if t in cols]]])
     per_code = (base.groupBy(code).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order_key).alias("__r"))
                 .select("__r.*"))
-    fallback = (per_code.join(per_year, on=year)
+    fallback = (per_code.withColumn("__k", F.lit(0)).join(latest, on="__k")
                 .filter(F.col("__n_latest") < min_rows).select(*cols))
     out = in_latest.unionByName(fallback)
     return out.withColumn(f"{index}_pct", pct_round(index, 1)) if index in cols else out

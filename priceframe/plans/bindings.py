@@ -108,6 +108,13 @@ def _input_signature(spark: SparkSession, sf_dir: str) -> tuple:
     return tuple(sorted(sig))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(
+        jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")))
+
+
 def raw_snapshot(spark: SparkSession, sf_dir: str, base: str = BASE_ENTITY) -> DataFrame:
     """``raw_facts`` materialized once, partitioned by year."""
     from ..session import scratch_path
@@ -115,6 +122,8 @@ def raw_snapshot(spark: SparkSession, sf_dir: str, base: str = BASE_ENTITY) -> D
     key = (spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", ""),
            os.path.abspath(sf_dir), base, _input_signature(spark, sf_dir))
     path = _SNAPSHOTS.get(key)
+    if path is not None and not _exists(spark, path):
+        path = None  # files removed underneath us: rebuild
     if path is None:
         path = scratch_path(spark, f"raw-facts-{uuid.uuid4().hex}")
         raw_facts(spark, sf_dir, base).write.mode("overwrite").partitionBy("year").parquet(path)

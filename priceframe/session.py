@@ -9,11 +9,16 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "priceframe") -> SparkSession:
+                  app_name: str = "priceframe", file_split_bytes: str = "256m",
+                  target_partition_bytes: str = "256m") -> SparkSession:
     """A session tuned for this library; on a cluster the master comes from spark-submit.
 
-    AQE is on so shuffle widths coalesce at runtime and small join sides are
-    converted to broadcast only after their real size is known.
+    AQE is on so shuffle widths coalesce at runtime toward
+    ``target_partition_bytes`` and small join sides are converted to broadcast
+    only after their real size is known; skewed shuffle partitions are split.
+    Scans cut files into ``file_split_bytes`` splits.  ``shuffle_partitions`` is
+    the initial shuffle width: on a cluster size it to about (largest shuffle
+    in bytes) / ``target_partition_bytes`` and let AQE coalesce.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -25,6 +30,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": file_split_bytes,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_partition_bytes,
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -76,3 +76,24 @@ def test_enrich_profile_model_dashboard(spark):
     assert dash["timeline"].count() == 1
     regions = {r["value"] for r in dash["options"].filter("facet = 'region'").collect()}
     assert regions == {"South America", "Asia", "North America"}
+
+
+def test_stream_matches_batch_over_several_triggers(spark):
+    import uuid
+
+    from priceframe.plans import bindings as B, jobs as J
+    from priceframe.session import scratch_path
+    from priceframe.streaming import enrich_stream
+    from conftest import SF_SMALL
+
+    raw = B.raw_snapshot(spark, SF_SMALL)
+    src = J.write_wide(raw.repartition(4), "stream-test-src")
+    out = scratch_path(spark, f"stream-test-out-{uuid.uuid4().hex}")
+    panel = J.per_capita_panel(spark, SF_SMALL)
+    q = enrich_stream(spark, src, panel, out, raw.schema, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert q.lastProgress is not None
+    cols = ["obs_id", "GDP_dollar", "year"]
+    streamed = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
+    batch = sorted(tuple(r) for r in J.enrich_facts(spark, SF_SMALL).select(*cols).collect())
+    assert streamed == batch
