@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import canonical_key
+from ._util import materialize
 
 PAD_START, PAD_END = "\u0002", "\u0003"
 
@@ -178,8 +179,11 @@ def link_names(names: DataFrame, dictionary: DataFrame, aliases: DataFrame | Non
         al = link_alias(rest, aliases, dictionary, "name", dict_name=dict_name, dict_code=dict_code)
         parts.append(al)
         rest = rest.join(al.select("name"), on="name", how="left_anti")
-    fz = link_fuzzy(rest, dictionary, cutoff, method, "name", dict_name, dict_code)
-    parts.append(fz)
+    # What is still unresolved is a list of distinct names: written once, it is
+    # not recomputed by the fuzzy tier, and an empty list skips that tier.
+    rest = materialize(rest, "link-unresolved")
+    if not rest.isEmpty():
+        parts.append(link_fuzzy(rest, dictionary, cutoff, method, "name", dict_name, dict_code))
     resolved = parts[0]
     for p in parts[1:]:
         resolved = resolved.unionByName(p)

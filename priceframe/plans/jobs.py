@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, enrich, link, reshape, select, summarize
 from ..operators._util import materialize
-from ..schemas import DEFAULT_REGION, GDP_BIN_EDGES, GDP_BIN_LABELS, NO_DATA_LABEL
+from ..schemas import DEFAULT_REGION, GDP_BIN_EDGES, GDP_BIN_LABELS, NO_DATA_LABEL, key_column, snapshot_columns
 from ..functions.columns import bin_label
 from ..session import scratch_path
 from ..sources import readers, writers
@@ -67,21 +67,31 @@ def write_wide(df: DataFrame, tag: str) -> str:
     return path
 
 
-def gdp_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide GDP text file → (country_name, year, gdp) through the CSV source and ``parse_thousands``."""
-    path = write_wide(gdp_wide(spark, sf_dir), "gdp-wide")
-    wide, years = readers.scan_wide_years(spark, path)
+def gdp_long(spark: SparkSession, sf_dir: str, via_files: bool = True) -> DataFrame:
+    """Wide GDP text matrix → (country_name, year, gdp) with ``parse_thousands``.
+
+    ``via_files`` writes the matrix as CSV and reads it back through the wide-file
+    source (the reference's input path); otherwise the derived frame is unpivoted directly.
+    """
+    wide = gdp_wide(spark, sf_dir)
+    if via_files:
+        wide, years = readers.scan_wide_years(spark, write_wide(wide, "gdp-wide"))
+    else:
+        wide, years = wide.withColumnRenamed("Country", "country_name"), wide.columns[1:]
     return reshape.unpivot_years(wide, "country_name", years, "gdp")
 
 
-def pop_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = write_wide(pop_wide(spark, sf_dir), "pop-wide")
-    wide, key, cols = readers.scan_wide_snapshots(spark, path, SNAPSHOT_YEARS)
+def pop_snapshots(spark: SparkSession, sf_dir: str, via_files: bool = True) -> DataFrame:
+    wide = pop_wide(spark, sf_dir)
+    if via_files:
+        wide, key, cols = readers.scan_wide_snapshots(spark, write_wide(wide, "pop-wide"), SNAPSHOT_YEARS)
+    else:
+        key, cols = key_column(wide.columns), snapshot_columns(wide.columns, SNAPSHOT_YEARS)
     return reshape.unpivot_snapshots(wide, key, cols, "population", "cca3")
 
 
-def pop_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fit = enrich.trend_fit(pop_snapshots(spark, sf_dir), "cca3", "year", "population", TREND_CENTER)
+def pop_estimate(spark: SparkSession, sf_dir: str, via_files: bool = True) -> DataFrame:
+    fit = enrich.trend_fit(pop_snapshots(spark, sf_dir, via_files), "cca3", "year", "population", TREND_CENTER)
     return enrich.trend_extrapolate(fit, "cca3", YEAR_LO, YEAR_HI, floor=1.0, center=TREND_CENTER,
                                     out="population_est")
 
@@ -89,11 +99,11 @@ def pop_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def per_capita_panel(spark: SparkSession, sf_dir: str, facts: DataFrame | None = None) -> DataFrame:
     """(iso, year, per_capita): GDP names linked to codes, joined to the population estimate."""
     facts = facts if facts is not None else bindings.facts_snapshot(spark, sf_dir)
-    g = gdp_long(spark, sf_dir)
+    g = gdp_long(spark, sf_dir, via_files=False)
     links = link.link_names(g.select(F.col("country_name").alias("name")),
                             facts.select("name", F.col("iso_a3").alias("code")))
     g = link.apply_link(g, links, "country_name", "iso")
-    pop = pop_estimate(spark, sf_dir).withColumnRenamed("cca3", "iso")
+    pop = pop_estimate(spark, sf_dir, via_files=False).withColumnRenamed("cca3", "iso")
     panel = enrich.join_panel(g, pop, ["iso", "year"], "gdp", "population_est", "per_capita", scale=1.0)
     return enrich.unique_panel(panel, ["iso", "year"], "per_capita")
 
