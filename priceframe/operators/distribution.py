@@ -3,8 +3,8 @@ repeatable samples.
 
 Per-group statistics are aggregates (map-side partial); the few results that
 must meet the rows again (bin edges, fences, sample fraction) are one row per
-group and are joined back on the group key.  An ungrouped call uses a constant
-group key, so it is the same equi-join with a one-row side — never a cross join.
+group, joined back on the group key — or, ungrouped, attached as a scalar
+subquery.  No operator here joins without a key.
 """
 
 from __future__ import annotations
@@ -38,15 +38,17 @@ def _unkey(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _attach(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
-    """Join per-group statistics back onto the rows.
+    """Put per-group statistics next to the rows.
 
-    Ungrouped (constant key): the stats are one row, broadcast explicitly — a
-    shuffle on a constant key would send every row to one task.  Grouped: one
-    row per group; AQE turns the join into a broadcast once the runtime size of
-    the stats is known (and splits skewed partitions otherwise).
+    Ungrouped: the statistics are one row, attached as a scalar subquery
+    (computed once, no join).  Grouped: one row per group joined on the group
+    key; AQE broadcasts it once its runtime size is known and splits skewed
+    partitions otherwise.
     """
     if keys == [GROUP]:
-        return rows.join(F.broadcast(stats), on=keys)
+        cols = [c for c in stats.columns if c != GROUP]
+        one = stats.select(F.struct(*cols).alias("__s")).scalar()
+        return rows.select("*", *[one[c].alias(c) for c in cols])
     return rows.join(stats, on=keys)
 
 
@@ -96,13 +98,17 @@ def histogram(df: DataFrame, value: str, bins: int = 40, by: str | None = None)
     idx = F.when(F.col("__hi") == F.col("__lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col(value) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * F.lit(bins)),
                 F.lit(bins - 1))).cast("int")
-    counts = _attach(d, st, keys).groupBy(*keys, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = st.select(*keys, "__lo", "__hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    out = grid.join(counts, on=[*keys, "bin"], how="left").select(
+    counts = _attach(d, st, keys).groupBy(*keys, "__lo", "__hi", idx.alias("bin")).agg(
+        F.count(F.lit(1)).alias("count"))
+    # every bin listed: a per-group map bin → count (at most ``bins`` entries), exploded over all bins
+    per_group = counts.groupBy(*keys, "__lo", "__hi").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "count"))).alias("__m"))
+    out = per_group.select(*keys, "__lo", "__hi", "__m",
+                           F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")).select(
         *keys, "bin",
         (F.col("__lo") + F.col("bin") * width).alias("lo"),
         (F.col("__lo") + (F.col("bin") + 1) * width).alias("hi"),
-        F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
+        F.coalesce(F.col("__m")[F.col("bin")], F.lit(0)).cast("long").alias("count"))
     return _unkey(out, keys)
 
 
@@ -119,17 +125,17 @@ def kde_curve(df: DataFrame, value: str, by: str | None = None, grid: int = 200,
     span = F.col("__hi") - F.col("__lo")
     cell = F.when(span == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col(value) - F.col("__lo")) / span * F.lit(cells)), F.lit(cells - 1))).cast("int")
-    cell_stats = (_attach(d, st.select(*keys, "__lo", "__hi"), keys)
-                  .groupBy(*keys, cell.alias("cell")).agg(F.count(F.lit(1)).alias("w"), F.avg(value).alias("m")))
     bw = F.col("__sd") * F.pow(F.col("__n").cast("double"), F.lit(-0.2))
-    pts = st.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"),
-                    "__lo", "__hi", "__n", bw.alias("__h"))
+    cell_stats = (_attach(d, st.select(*keys, "__lo", "__hi", "__n", bw.alias("__h")), keys)
+                  .groupBy(*keys, "__lo", "__hi", "__n", "__h", cell.alias("cell"))
+                  .agg(F.count(F.lit(1)).alias("w"), F.avg(value).alias("m")))
+    # each (≤ cells) cell contributes to every grid point: a generator, fixed size per group
+    pts = cell_stats.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
     pts = pts.withColumn("x", F.col("__lo") + F.col("point") * (F.col("__hi") - F.col("__lo")) / F.lit(grid - 1))
     z = (F.col("x") - F.col("m")) / F.col("__h")
     contrib = F.col("w") * F.exp(F.lit(-0.5) * z * z)
     norm = F.lit(1.0 / math.sqrt(2 * math.pi)) / (F.col("__n") * F.col("__h"))
-    dens = (pts.join(cell_stats, on=keys)
-            .groupBy(*keys, "point", "x", "__n", "__h")
+    dens = (pts.groupBy(*keys, "point", "x", "__n", "__h")
             .agg(F.sum(F.when(F.col("__h") > 0, contrib)).alias("__s"))
             .select(*keys, "point", "x", F.when(F.col("__h") > 0, F.col("__s") * norm).alias("density")))
     return _unkey(dens, keys)
@@ -280,16 +286,14 @@ def sample_rows(df: DataFrame, key: str, max_rows: int = 3000, seed: int = 42,
                 dropna: Sequence[str] | None = None) -> DataFrame:
     """About ``max_rows`` rows: fraction ``min(1, max_rows / n)``, n counted before null-dropping.
 
-    The fraction is a one-row aggregate joined back on a constant key; the
-    keep/drop decision is a hash of ``key``, so the sample does not depend on
-    how the input is partitioned.
+    The row count is a scalar subquery (one aggregate, no join); the keep/drop
+    decision is a hash of ``key``, so the sample does not depend on how the
+    input is partitioned.
     """
-    n = df.agg(F.count(F.lit(1)).alias("__n")).withColumn(GROUP, F.lit(0))
-    frac = F.least(F.lit(1.0), F.lit(float(max_rows)) / F.greatest(F.col("__n"), F.lit(1)))
+    n = df.agg(F.count(F.lit(1))).scalar()
+    frac = F.least(F.lit(1.0), F.lit(float(max_rows)) / F.greatest(n, F.lit(1)))
     d = df.na.drop(subset=list(dropna)) if dropna else df
-    d = d.withColumn(GROUP, F.lit(0)).join(F.broadcast(n), on=GROUP)
-    keep = key_hash(key, seed) < frac * F.lit(HASH_MOD)
-    return d.filter(keep).drop(GROUP, "__n")
+    return d.filter(key_hash(key, seed) < frac * F.lit(HASH_MOD))
 
 
 def split_train_test(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:

@@ -72,10 +72,9 @@ def metrics_frame(metrics: DataFrame, coefficients: DataFrame) -> DataFrame:
     """One row: rmse, r2, mae, intercept, coefficients map — the metrics record."""
     coef = coefficients.filter(F.col("term") != "intercept").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "coefficient"))).alias("coefficients"))
-    icpt = coefficients.filter(F.col("term") == "intercept").select(F.col("coefficient").alias("intercept"))
-    one = F.lit(0)
-    return (metrics.withColumn("__k", one).join(icpt.withColumn("__k", one), "__k")
-            .join(coef.withColumn("__k", one), "__k").select("rmse", "r2", "mae", "intercept", "coefficients"))
+    icpt = coefficients.filter(F.col("term") == "intercept").agg(F.first("coefficient"))
+    return metrics.select("rmse", "r2", "mae", icpt.scalar().alias("intercept"),
+                          coef.scalar().alias("coefficients"))
 
 
 def residual_frame(pred: DataFrame, label: str = MODEL_LABEL, prediction: str = "prediction") -> tuple[DataFrame, DataFrame]:
@@ -90,6 +89,5 @@ def residual_frame(pred: DataFrame, label: str = MODEL_LABEL, prediction: str =
 def line_predictions(train: DataFrame, test: DataFrame, x: str, y: str) -> DataFrame:
     """Predictions of a least-squares line fitted on ``train`` (the SQL-checkable model)."""
     fit = train.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).agg(
-        F.regr_slope(y, x).alias("__b"), F.regr_intercept(y, x).alias("__a")).withColumn("__k", F.lit(0))
-    t = test.withColumn("__k", F.lit(0)).join(F.broadcast(fit), "__k")
-    return t.withColumn("prediction", F.col("__a") + F.col("__b") * F.col(x)).drop("__k", "__a", "__b")
+        F.struct(F.regr_slope(y, x).alias("b"), F.regr_intercept(y, x).alias("a")).alias("s")).scalar()
+    return test.withColumn("prediction", fit["a"] + fit["b"] * F.col(x))

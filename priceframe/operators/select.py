@@ -83,11 +83,10 @@ def filter_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def snapshot_at(df: DataFrame, year_col: str = "year", year: int | None = None) -> DataFrame:
-    """Rows of ``year``; by default the latest year (a one-row aggregate, semi-joined back)."""
+    """Rows of ``year``; by default the latest year (a scalar subquery)."""
     if year is not None:
         return df.filter(F.col(year_col) == F.lit(year))
-    latest = df.agg(F.max(year_col).alias(year_col))
-    return df.join(F.broadcast(latest), on=year_col, how="left_semi")
+    return df.filter(F.col(year_col) == df.agg(F.max(year_col)).scalar())
 
 
 def latest_per_entity(df: DataFrame, code: str = "iso_a3", year: str = "year", min_rows: int = 10,
@@ -95,8 +94,8 @@ def latest_per_entity(df: DataFrame, code: str = "iso_a3", year: str = "year", m
                       tiebreak: Sequence[str] = ("name", "USD_raw"), index: str = "USD_raw") -> DataFrame:
     """Rows of the latest year; if that year has fewer than ``min_rows`` rows, the latest row per code.
 
-    Both branches are plans; the choice rides on a one-row aggregate (latest
-    year, its row count) broadcast to both, so nothing reaches the driver.
+    Both branches are plans; the choice rides on a scalar subquery (latest
+    year and its row count), so nothing reaches the driver.
     The per-code branch is a ``max_by`` aggregate (partial, skew-safe), not a
     window over a possibly huge code partition.  Ties: larger (tiebreak...) wins.
     """
@@ -105,15 +104,11 @@ def latest_per_entity(df: DataFrame, code: str = "iso_a3", year: str = "year", m
     # one row: the latest year and its row count (a partial aggregate, then a
     # global one over at most one row per calendar year)
     latest = (base.groupBy(year).agg(F.count(F.lit(1)).alias("__n"))
-              .agg(F.max(year).alias("__latest"), F.max_by("__n", year).alias("__n_latest"))
-              .withColumn("__k", F.lit(0)))
-    latest = F.broadcast(latest)
-    in_latest = (base.withColumn("__k", F.lit(0)).join(latest, on="__k")
-                 .filter((F.col(year) == F.col("__latest")) & (F.col("__n_latest") >= min_rows)).select(*cols))
+              .agg(F.struct(F.max(year).alias("y"), F.max_by("__n", year).alias("n")).alias("s")).scalar())
+    in_latest = base.filter((F.col(year) == latest["y"]) & (latest["n"] >= min_rows))
     order_key = F.struct(*[F.col(c) for c in [year, *[t for t in tiebreak if t in cols]]])
     per_code = (base.groupBy(code).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order_key).alias("__r"))
                 .select("__r.*"))
-    fallback = (per_code.withColumn("__k", F.lit(0)).join(latest, on="__k")
-                .filter(F.col("__n_latest") < min_rows).select(*cols))
+    fallback = per_code.filter(latest["n"] < min_rows)
     out = in_latest.unionByName(fallback)
     return out.withColumn(f"{index}_pct", pct_round(index, 1)) if index in cols else out
