@@ -947,6 +947,42 @@ def q_link_fuzzy_ratio(spark, sf):
     return norm(link.link_fuzzy(q, d, 0.88, method="ratio").select("name", "code", "score"), {"score": 9})
 
 
+# ============================================================ the same operators on ``events``
+@query("histogram_by_type", """
+WITH e AS (SELECT event_type, value AS v FROM events WHERE value IS NOT NULL AND NOT isnan(value)),
+st AS (SELECT event_type, min(v) AS lo, max(v) AS hi FROM e GROUP BY event_type),
+b AS (SELECT e.event_type, CAST(CASE WHEN st.hi = st.lo THEN 0
+             ELSE least(floor((v - st.lo) / (st.hi - st.lo) * 40), 39) END AS INTEGER) AS bin
+      FROM e JOIN st ON e.event_type = st.event_type),
+c AS (SELECT event_type, bin, count(*) AS n FROM b GROUP BY 1, 2)
+SELECT st.event_type, g.bin, round(st.lo + g.bin * (st.hi - st.lo) / 40, 6) AS lo,
+       round(st.lo + (g.bin + 1) * (st.hi - st.lo) / 40, 6) AS hi, coalesce(c.n, 0) AS count
+FROM st CROSS JOIN (SELECT CAST(range AS INTEGER) AS bin FROM range(0, 40)) g
+LEFT JOIN c ON c.event_type = st.event_type AND c.bin = g.bin""")
+def q_histogram_by_type(spark, sf):
+    ev = B.table(spark, sf, "events")
+    return norm(D.histogram(ev, "value", 40, by="event_type"), {"lo": 6, "hi": 6})
+
+
+@query("quartiles_by_type", """
+SELECT event_type, count(*) AS n, round(quantile_cont(value, 0.25), 6) AS q1,
+       round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.75), 6) AS q3
+FROM events WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY event_type""")
+def q_quartiles_by_type(spark, sf):
+    return norm(D.quartiles(B.table(spark, sf, "events"), "value", by="event_type"), {"q1": 6, "median": 6, "q3": 6})
+
+
+@query("top_bottom_users", """
+WITH m AS (SELECT user_id, avg(value) AS value FROM events WHERE user_id IS NOT NULL GROUP BY user_id
+           HAVING avg(value) IS NOT NULL),
+lo AS (SELECT *, 'bottom' AS half FROM m ORDER BY value ASC, user_id LIMIT 10),
+hi AS (SELECT *, 'top' AS half FROM m ORDER BY value DESC, user_id LIMIT 10)
+SELECT user_id, round(value, 6) AS value, half, 'neutral' AS color FROM (SELECT * FROM lo UNION ALL SELECT * FROM hi)""")
+def q_top_bottom_users(spark, sf):
+    t = S.top_bottom(B.table(spark, sf, "events"), "user_id", "value", 20, is_index=False)
+    return norm(t.drop("display"), {"value": 6})
+
+
 def _oracle_rounding(sql: str) -> str:
     """Rewrite every two-argument ``round(a, d)`` as ``(0.0 + round((a) + TIE_SHIFT·10^-d, d))``.
 

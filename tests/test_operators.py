@@ -200,3 +200,34 @@ def test_exact_quantiles_narrowing_rounds_hot_group(spark):
         for i, w in enumerate(want):
             assert abs(got[g][f"q{i}"] - w) <= 1e-9 * max(1.0, abs(w)), (g, probs[i])
         assert got[g]["n"] == len(x)
+
+
+def test_latest_year_nine_versus_ten_rows(spark):
+    def frame(n_latest):
+        rows = [(f"C{i}", f"c{i}", 0.1 * i, 2001) for i in range(n_latest)]
+        rows += [(f"C{i}", f"c{i}", -0.1, 2000) for i in range(12)]
+        return spark.createDataFrame(rows, "iso_a3 string, name string, USD_raw double, year int")
+    assert select.latest_per_entity(frame(10)).count() == 10                 # the latest year's rows
+    out = select.latest_per_entity(frame(9)).collect()                       # latest row per code
+    assert len(out) == 12 and sum(1 for r in out if r["year"] == 2001) == 9
+
+
+def test_trend_keys_without_points_and_same_year_rows(spark):
+    rows = [("NONE", 2000, None), ("SAME", 2000, 10.0), ("SAME", 2000, 20.0)]
+    df = spark.createDataFrame(rows, "key string, year int, pop double")
+    fit = enrich.trend_fit(df, "key", "year", "pop", 1998)
+    est = enrich.trend_extrapolate(fit, "key", 1999, 2001, 1.0, 1998).collect()
+    assert {r["key"] for r in est} == {"SAME"} and all(r["estimate"] == 15.0 for r in est)
+
+
+def test_top_k_ties_broken_by_entity(spark):
+    df = spark.createDataFrame([("b", 5.0), ("a", 5.0), ("c", 5.0), ("d", 1.0)], "name string, dollar_price double")
+    assert [r["name"] for r in S.top_k_entities(df, k=2).collect()] == ["a", "b"]
+    assert [r["name"] for r in S.top_k_entities(df, k=2, ascending=True).collect()] == ["d", "a"]
+
+
+def test_histogram_single_row_and_max_value_bin(spark):
+    one = D.histogram(spark.createDataFrame([(7.0,)], "x double"), "x", 40).collect()
+    assert [r["count"] for r in one if r["count"]] == [1] and [r["bin"] for r in one if r["count"]] == [0]
+    h = D.histogram(spark.createDataFrame([(0.0,), (10.0,)], "x double"), "x", 4).collect()
+    assert {r["bin"]: r["count"] for r in h} == {0: 1, 1: 0, 2: 0, 3: 1}   # x = max lands in the last bin
