@@ -75,7 +75,8 @@ def enrich_job(spark: SparkSession, facts_path: str, gdp_path: str | None = None
         filled = enrich.join_fill(facts, panel, ["iso_a3", "year"], ["iso", "year"], "gdp_per_capita")
         facts = enrich.fill_from(filled, "GDP_dollar", "gdp_per_capita", zero_is_missing)
     if out_dir:
-        writers.sink_parquet(facts, os.path.join(out_dir, "enriched_snapshot.parquet"), partition_by=["year"])
+        writers.sink_parquet(facts, os.path.join(out_dir, "enriched_snapshot.parquet"), partition_by=["year"],
+                             cluster_by=["year", "date"])
         writers.sink_csv(facts, os.path.join(out_dir, "enriched_snapshot.csv"))
         facts = spark.read.parquet(os.path.join(out_dir, "enriched_snapshot.parquet"))
     return facts, links

@@ -116,8 +116,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def raw_snapshot(spark: SparkSession, sf_dir: str, base: str = BASE_ENTITY) -> DataFrame:
-    """``raw_facts`` materialized once, partitioned by year."""
+    """``raw_facts`` materialized once, partitioned by year and clustered by date."""
     from ..session import scratch_path
+    from ..sources.writers import sink_parquet
 
     key = (spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", ""),
            os.path.abspath(sf_dir), base, _input_signature(spark, sf_dir))
@@ -126,7 +127,7 @@ def raw_snapshot(spark: SparkSession, sf_dir: str, base: str = BASE_ENTITY) -> D
         path = None  # files removed underneath us: rebuild
     if path is None:
         path = scratch_path(spark, f"raw-facts-{uuid.uuid4().hex}")
-        raw_facts(spark, sf_dir, base).write.mode("overwrite").partitionBy("year").parquet(path)
+        sink_parquet(raw_facts(spark, sf_dir, base), path, partition_by=["year"], cluster_by=["year", "date"])
         _SNAPSHOTS[key] = path
     return spark.read.parquet(path)
 
