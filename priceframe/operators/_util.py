@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import round_scaled
 from ..session import scratch_path
 
 
@@ -33,15 +32,3 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     n = m.count()
     return F.broadcast(m) if n <= max_rows else m
 
-
-def round_doubles(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = None) -> DataFrame:
-    """Round every double column (per-column digits in ``overrides``) — for engine-independent output."""
-    overrides = overrides or {}
-    cols = []
-    for f in df.schema.fields:
-        if f.dataType.typeName() in ("double", "float"):
-            d = overrides.get(f.name, digits)
-            cols.append(round_scaled(f.name, d).alias(f.name))
-        else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)

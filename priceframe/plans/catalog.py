@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..operators import clean, distribution as D, enrich, link, model, select, summarize as S
-from ..schemas import CORR_COLS, DESCRIBE_COLS, GDP_BIN_LABELS, NO_DATA_LABEL, PREVIEW_COLS
+from ..schemas import CORR_COLS, DESCRIBE_COLS, PREVIEW_COLS
 from ..sources import readers, writers
 from . import bindings as B
 from . import jobs as J

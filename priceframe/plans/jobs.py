@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, enrich, link, reshape, select, summarize
-from ..operators._util import materialize
 from ..schemas import DEFAULT_REGION, GDP_BIN_EDGES, GDP_BIN_LABELS, NO_DATA_LABEL, key_column, snapshot_columns
 from ..functions.columns import bin_label
 from ..session import scratch_path
@@ -174,9 +173,5 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def materialized_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bindings.facts_snapshot(spark, sf_dir)
-
-
 def top_support(df: DataFrame, k: int = 10) -> DataFrame:
     return summarize.top_k_support(df, "name", k, value="dollar_price")
