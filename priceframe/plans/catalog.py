@@ -887,13 +887,13 @@ QUERIES["predict"] = q_fit_price_model
 
 
 @query("hover_text", W(DASH_SQL + """
-, g AS (SELECT year, iso_a3, name, avg(USD_raw) AS USD_raw, avg(dollar_price) AS dollar_price FROM df
-        WHERE year IS NOT NULL AND iso_a3 IS NOT NULL AND name IS NOT NULL GROUP BY 1, 2, 3),
-h AS (SELECT *, (0.0 + ROUND(USD_raw * 100, 1)) AS pct FROM g WHERE USD_raw IS NOT NULL)
-SELECT year, iso_a3, name || '<br>Valuation: ' || CASE WHEN pct >= 0 THEN '+' ELSE '' END || printf('%.1f', pct)
-       || '%<br>Price: $' || printf('%.2f', (0.0 + ROUND(dollar_price, 2))) AS hover FROM h"""))
+SELECT obs_id, name || '<br>Valuation: ' || CASE WHEN p >= 0 THEN '+' ELSE '' END || printf('%.1f', p)
+       || '%<br>Price: $' || printf('%.2f', (0.0 + ROUND(dollar_price, 2))) AS hover
+FROM (SELECT obs_id, name, dollar_price, (0.0 + ROUND(USD_raw * 100, 1)) AS p FROM df WHERE USD_raw IS NOT NULL)"""))
 def q_hover_text(spark, sf):
-    return S.map_frame(J.dashboard_filtered(spark, sf)).select("year", "iso_a3", "hover")
+    """Per-row labels (exact cent prices: no rounding tie can depend on summation order)."""
+    d = J.dashboard_filtered(spark, sf).filter(F.col("USD_raw").isNotNull())
+    return d.select("obs_id", C.hover_text("name", C.pct_round("USD_raw", 1), "dollar_price").alias("hover"))
 
 
 @query("fmt_pct", W(DASH_SQL + """
@@ -907,11 +907,11 @@ def q_fmt_pct(spark, sf):
 
 
 @query("fmt_usd", W(DASH_SQL + """
-SELECT name, '$' || printf('%.2f', (0.0 + ROUND(avg(dollar_price), 2))) AS price_text FROM df
-WHERE name IS NOT NULL GROUP BY name"""))
+SELECT obs_id, '$' || printf('%.2f', (0.0 + ROUND(dollar_price, 2))) AS price_text,
+       '$' || printf('%.2f', (0.0 + ROUND(local_price, 2))) AS local_text FROM df"""))
 def q_fmt_usd(spark, sf):
-    g = S.mean_by_entity(J.dashboard_filtered(spark, sf).filter(F.col("name").isNotNull()), "name", "dollar_price", "m")
-    return g.select("name", C.fmt_usd("m").alias("price_text"))
+    d = J.dashboard_filtered(spark, sf)
+    return d.select("obs_id", C.fmt_usd("dollar_price").alias("price_text"), C.fmt_usd("local_price").alias("local_text"))
 
 
 @query("enrich_stream", ORACLE["join_fill"])
