@@ -129,7 +129,16 @@ def fuzzy_candidates(qkeys: DataFrame, dkeys: DataFrame, cutoff: float, method:
         F.count(F.lit(1)).alias("freq"))
     qp = _prefixes(qt, freq, cutoff, method).withColumnRenamed("key", "qkey").withColumnRenamed("len", "qlen")
     dp = _prefixes(dt, freq, cutoff, method).withColumnRenamed("key", "dkey").withColumnRenamed("len", "dlen")
-    pairs = qp.join(dp, on="token").select("qkey", "qlen", "dkey", "dlen").distinct()
+    # The partner length is part of the join key: each query token is emitted once
+    # per admissible partner length (a band a few lengths wide), so pairs outside
+    # the length bound are never formed and join groups are (token, length).
+    if method == "levenshtein":
+        lo, hi = F.floor(F.col("qlen") * F.lit(cutoff)), F.ceil(F.col("qlen") / F.lit(cutoff))
+    else:
+        lo = F.floor(F.col("qlen") * F.lit(cutoff / (2 - cutoff)))
+        hi = F.ceil(F.col("qlen") * F.lit((2 - cutoff) / cutoff))
+    qp = qp.select("qkey", "qlen", "token", F.explode(F.sequence(lo.cast("int"), hi.cast("int"))).alias("dlen"))
+    pairs = qp.join(dp, on=["token", "dlen"]).select("qkey", "qlen", "dkey", "dlen").distinct()
     # length filter (exact): lev ≥ |la − lb| ; ratio ≤ 2·min/(la+lb)
     if method == "levenshtein":
         ok = F.lit(1.0) - F.try_divide(F.abs(F.col("qlen") - F.col("dlen")), F.greatest("qlen", "dlen")) >= F.lit(cutoff)
