@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import canonical_key
-from ._util import materialize
+from ._util import broadcast_if_small, materialize
 
 PAD_START, PAD_END = "\u0002", "\u0003"
 
@@ -207,7 +207,12 @@ def link_report(links: DataFrame) -> DataFrame:
                      F.count_if(F.col("tier") == "fuzzy").alias("fuzzy"))
 
 
-def apply_link(df: DataFrame, links: DataFrame, name: str, code_out: str = "code") -> DataFrame:
-    """Attach the linked code; rows whose name did not resolve are dropped (inner join)."""
+def apply_link(df: DataFrame, links: DataFrame, name: str, code_out: str = "code",
+               max_broadcast_rows: int = 5_000_000) -> DataFrame:
+    """Attach the linked code; rows whose name did not resolve are dropped (inner join).
+
+    The link table (one row per distinct name) is counted and broadcast under
+    ``max_broadcast_rows``, so the rows are not shuffled by a possibly hot name.
+    """
     lk = links.filter(F.col("code").isNotNull()).select(F.col("name").alias(name), F.col("code").alias(code_out))
-    return df.join(lk, on=name, how="inner")
+    return df.join(broadcast_if_small(lk, max_broadcast_rows), on=name, how="inner")
