@@ -132,6 +132,13 @@ def raw_snapshot(spark: SparkSession, sf_dir: str, base: str = BASE_ENTITY) -> D
     return spark.read.parquet(path)
 
 
+def forget_snapshots(spark: SparkSession) -> None:
+    """Drop this application's snapshot entries (after ``release_scratch`` deleted the files)."""
+    app = spark.sparkContext.applicationId
+    for k in [k for k in _SNAPSHOTS if k[0] == app]:
+        del _SNAPSHOTS[k]
+
+
 def facts_snapshot(spark: SparkSession, sf_dir: str, base: str = BASE_ENTITY) -> DataFrame:
     """The cleaned fact table read from the snapshot (typed already: only incomplete rows drop)."""
     return clean.drop_incomplete(raw_snapshot(spark, sf_dir, base))

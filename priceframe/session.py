@@ -57,6 +57,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+    """A path under the shared checkpoint folder for intermediate tables (tracked per application)."""
+    path = os.path.join(ensure_checkpoint_dir(spark), name)
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete this application's intermediates from the shared folder; returns how many.
+
+    Call it when the session's results are written: DataFrames still reading an
+    intermediate (the fact snapshot included) must not be used afterwards.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    n = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            fs.delete(hp, True)
+            n += 1
+    from .plans import bindings
+    bindings.forget_snapshots(spark)
+    return n

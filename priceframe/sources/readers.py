@@ -9,15 +9,20 @@ from ..schemas import FACT_SCHEMA, POP_SNAPSHOT_YEARS, key_column, snapshot_colu
 
 
 def scan_facts(spark: SparkSession, path: str, schema: T.StructType | None = FACT_SCHEMA,
-               fmt: str = "csv") -> DataFrame:
+               fmt: str = "csv", corrupt_column: str | None = None) -> DataFrame:
     """Fact file(s) with a declared schema (no inference pass); malformed cells become null.
 
     ``schema=None`` reads every column as text, for files whose layout is unknown.
+    ``corrupt_column`` (with a schema) keeps the raw text of malformed lines in
+    that column instead of silently nulling them.
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("mode", "PERMISSIVE")
     if schema is not None:
+        if corrupt_column:
+            schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+            reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
         reader = reader.schema(schema)
     return reader.load(path)
 

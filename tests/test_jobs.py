@@ -97,3 +97,26 @@ def test_stream_matches_batch_over_several_triggers(spark):
     streamed = sorted(tuple(r) for r in spark.read.parquet(out).select(*cols).collect())
     batch = sorted(tuple(r) for r in J.enrich_facts(spark, SF_SMALL).select(*cols).collect())
     assert streamed == batch
+
+
+def test_scan_facts_keeps_corrupt_lines(spark):
+    from pyspark.sql import types as T
+
+    from priceframe.sources import readers
+
+    d = tempfile.mkdtemp(prefix="pf-corrupt-")
+    p = _write(d, "f.csv", "name,dollar_price\nA,1.5\nB,not-a-number\n")
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("dollar_price", T.DoubleType())])
+    rows = {r["name"]: r for r in readers.scan_facts(spark, p, schema, corrupt_column="_corrupt").collect()}
+    assert rows["A"]["_corrupt"] is None and rows["B"]["dollar_price"] is None
+    assert rows["B"]["_corrupt"] == "B,not-a-number"
+
+
+def test_release_scratch_removes_intermediates(spark):
+    from priceframe.session import scratch_path, release_scratch
+
+    p = scratch_path(spark, "release-test")
+    spark.range(3).write.mode("overwrite").parquet(p)
+    assert os.path.isdir(p) or p.startswith("hdfs")
+    assert release_scratch(spark) >= 1
+    assert not os.path.exists(p)
