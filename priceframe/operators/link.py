@@ -125,8 +125,10 @@ def fuzzy_candidates(qkeys: DataFrame, dkeys: DataFrame, cutoff: float, method:
         raise ValueError("prefix filtering needs cutoff > 0.5")
     qt = _tokens(qkeys.select("key").distinct(), method)
     dt = _tokens(dkeys.select("key").distinct(), method)
-    freq = qt.select("token").unionByName(dt.select("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("freq"))
+    # one row per distinct q-gram token: small, and joined to every token of every
+    # name, so it is broadcast (size-checked) rather than shuffling by a common token
+    freq = broadcast_if_small(qt.select("token").unionByName(dt.select("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("freq")), 5_000_000)
     qp = _prefixes(qt, freq, cutoff, method).withColumnRenamed("key", "qkey").withColumnRenamed("len", "qlen")
     dp = _prefixes(dt, freq, cutoff, method).withColumnRenamed("key", "dkey").withColumnRenamed("len", "dlen")
     # The partner length is part of the join key: each query token is emitted once
