@@ -87,3 +87,14 @@ def test_cascade_tiers_disjoint_and_alias_target_absent(spark):
     assert out["nowhere"] == (None, None)
     rep = link.link_report(link.link_names(names, dictionary, aliases, 0.8)).first()
     assert (rep["total"], rep["matched"], rep["exact"], rep["alias"], rep["fuzzy"]) == (5, 3, 1, 1, 1)
+
+
+def test_similarity_counts_characters_not_bytes(spark):
+    from pyspark.sql import functions as F
+
+    pairs = [("türkiye", "turkiye"), ("côte d'ivoire", "cote d'ivoire"), ("são tomé", "sao tome")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = [r[0] for r in df.select(link.similarity(F.col("a"), F.col("b"))).collect()]
+    for (a, b), s in zip(pairs, got):
+        m = max(len(a), len(b))
+        assert abs(s - (1.0 - _lev(a, b) / m)) < 1e-12
