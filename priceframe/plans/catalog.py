@@ -983,6 +983,13 @@ def q_top_bottom_users(spark, sf):
     return norm(t.drop("display"), {"value": 6})
 
 
+@query("box_stats_approx")
+def q_box_stats_approx(spark, sf):
+    """Box statistics from the mergeable ``percentile_approx`` sketch (rows-only; tested against exact)."""
+    stats, _ = D.box_stats(B.facts_snapshot(spark, sf), "year", "dollar_price", approx=True)
+    return norm(stats, {"q1": 2, "median": 2, "q3": 2, "fence_lo": 2, "fence_hi": 2, "whisker_lo": 2, "whisker_hi": 2})
+
+
 def _oracle_rounding(sql: str) -> str:
     """Rewrite every two-argument ``round(a, d)`` as ``(0.0 + round((a) + TIE_SHIFT·10^-d, d))``.
 

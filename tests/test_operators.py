@@ -231,3 +231,14 @@ def test_histogram_single_row_and_max_value_bin(spark):
     assert [r["count"] for r in one if r["count"]] == [1] and [r["bin"] for r in one if r["count"]] == [0]
     h = D.histogram(spark.createDataFrame([(0.0,), (10.0,)], "x double"), "x", 4).collect()
     assert {r["bin"]: r["count"] for r in h} == {0: 1, 1: 0, 2: 0, 3: 1}   # x = max lands in the last bin
+
+
+def test_box_stats_approx_within_rank_error(spark):
+    rng = np.random.default_rng(21)
+    vals = rng.lognormal(4, 1, 20000)
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    approx = D.quartiles(df, "v", approx=True, accuracy=10000).first()
+    srt = np.sort(vals)
+    for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        rank = np.searchsorted(srt, approx[name])
+        assert abs(rank - p * len(vals)) <= len(vals) / 10000 + 2
