@@ -242,3 +242,26 @@ def test_box_stats_approx_within_rank_error(spark):
     for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
         rank = np.searchsorted(srt, approx[name])
         assert abs(rank - p * len(vals)) <= len(vals) / 10000 + 2
+
+
+def test_fallbacks_and_facet_null_label(spark, tmp_path):
+    from priceframe.sources import readers
+
+    raw = tmp_path / "raw.csv"
+    raw.write_text("name,dollar_price\nA,1.0\n")
+    got = readers.scan_multipart(spark, str(tmp_path / "missing-snapshot"), str(raw))
+    assert [r["name"] for r in got.collect()] == ["A"]
+    parts = tmp_path / "snap"
+    spark.createDataFrame([("P", 2.0), ("Q", 3.0)], "name string, dollar_price double").repartition(2) \
+        .write.option("header", True).csv(str(parts))
+    assert readers.scan_multipart(spark, str(parts), str(raw)).count() == 2
+
+    df = spark.createDataFrame([("USD", 1.0), ("EUR", 2.0)], "currency_code string, dollar_price double")
+    out = select.filter_equals_fallback(df, [("iso_a3", "USA"), ("currency_code", "USD")]).collect()
+    assert [r["dollar_price"] for r in out] == [1.0]
+
+    f = spark.createDataFrame([(2000, "Asia", "Low (< $5k)"), (2000, "Asia", None), (2003, "Asia", None)],
+                              "year int, region string, gdp_level string")
+    assert select.facet_filter(f, (2000, 2001), ["Asia"], ["Low (< $5k)"], date_col=None).count() == 1
+    assert select.facet_filter(f, (2000, 2001), ["Asia"], ["No data"], date_col=None).count() == 1
+    assert select.facet_filter(f, (2000, 2003), ["Asia"], ["Low (< $5k)", "No data"], date_col=None).count() == 3
