@@ -45,21 +45,16 @@ def facet_options(df: DataFrame, year_col: str = "year", region_col: str = "regi
     """(facet, value, ordinal): sorted distinct years and regions; bin labels present, in bin order."""
     y = df.select(F.lit("year").alias("facet"), F.col(year_col).cast("string").alias("value"),
                   F.col(year_col).cast("int").alias("ordinal")).filter(F.col("value").isNotNull()).distinct()
-    r = (df.select(F.col(region_col).alias("value")).filter(F.col("value").isNotNull()).distinct()
-         .select(F.lit("region").alias("facet"), "value",
-                 F.dense_rank().over(_order_all("value")).cast("int").alias("ordinal")))
+    # distinct region labels (a bounded vocabulary) as one sorted set; position = ordinal
+    r = (df.agg(F.sort_array(F.collect_set(F.col(region_col))).alias("__r"))
+         .select(F.posexplode("__r").alias("__i", "value"))
+         .select(F.lit("region").alias("facet"), "value", (F.col("__i") + 1).cast("int").alias("ordinal")))
     b = (df.select(F.col(bin_col).alias("value")).filter(F.col("value").isNotNull()).distinct()
          .select(F.lit("gdp_level").alias("facet"), "value",
                  bin_ordinal(F.col("value"), bin_labels, null_label).cast("int").alias("ordinal")))
     return y.unionByName(r).unionByName(b)
 
 
-def _order_all(col: str):
-    # Window over an already-distinct, bounded list (distinct region labels).
-    from pyspark.sql import Window
-    return Window.orderBy(col)
-
-
 def filter_equals_fallback(df: DataFrame, choices: Sequence[tuple[str, str]]) -> DataFrame:
     """Rows equal to the value of the first (column, value) choice whose column exists."""
     for col, val in choices:
