@@ -39,7 +39,7 @@ SEEDS = ("ads", "adult", "bet", "bets", "betting", "casino", "cheap", "clickbait
 LEXICON = 1 << 16       #: words of the unigram lexicon that are broadcast
 BUCKETS = 1 << 18       #: slots of the naive Bayes counts
 LONGEST = 24            #: letters of the longest word a segment can be
-SMOOTH = 1.0            #: added to each count of naive Bayes
+SMOOTH = 0.1            #: added to each count of naive Bayes
 SEED = 7
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -97,14 +97,16 @@ class Segmenter:
 
 
 _PARTS = re.compile(r"[a-z]+")
+_FOLD = str.maketrans(_UPPER, _LOWER)
+HOST, PATH = 0, 1       #: the two kinds of words, each a multinomial of its own
 
 
 def host_words(host: str, segment: Segmenter) -> list[str]:
-    return ["h:" + w for part in _PARTS.findall(host) for w in segment.split(part)]
+    return [w for part in _PARTS.findall(host) for w in segment.split(part)]
 
 
 def path_words(path: str) -> list[str]:
-    return ["p:" + w for w in _PARTS.findall(path.translate(str.maketrans(_UPPER, _LOWER)))]
+    return _PARTS.findall(path.translate(_FOLD))
 
 
 def slot(word: str) -> int:
@@ -130,42 +132,48 @@ def lexicon(pages: DataFrame, url_col: str = "url", html_col: str = "html", size
 
 def train(pages: DataFrame, segment: Segmenter, url_col: str = "url", seeds: tuple[str, ...] = SEEDS,
           smooth: float = SMOOTH) -> tuple[np.ndarray, float]:
-    """(log-odds of block per slot, log-odds of the classes), counted over all urls."""
-    marks = {"h:" + s for s in seeds}
+    """(log-odds of block per kind and slot, log-odds of the classes), counted over all urls."""
+    marks = set(seeds)
     url = pick(url_col).cast("string")
     shared = pages.sparkSession.sparkContext.broadcast((segment.cost, segment.unknown))
 
     def run(batches):
         segment = Segmenter(*shared.value)
         for pdf in batches:
-            sums: dict[tuple[int, int], int] = {}
-            for host, path, first, n in zip(pdf["host"], pdf["path"], pdf["first"], pdf["n"], strict=True):
+            sums: dict[tuple[int, int, int], int] = {}
+
+            def add(kind, at, bad, n):
+                sums[kind, at, bad] = sums.get((kind, at, bad), 0) + n
+
+            for host, path, n in zip(pdf["host"], pdf["path"], pdf["n"], strict=True):
                 words = host_words(host, segment)
                 bad = int(not marks.isdisjoint(words))
-                for w in (words if first else []):
-                    key = (slot(w), bad)
-                    sums[key] = sums.get(key, 0) + 1
-                for w in path_words(path):
-                    key = (slot(w), bad)
-                    sums[key] = sums.get(key, 0) + n
-                sums[(-1, bad)] = sums.get((-1, bad), 0) + (1 if first else 0)
-            yield pd.DataFrame([(s, b, n) for (s, b), n in sums.items()], columns=["slot", "bad", "n"])
+                if path is None:  # a distinct host
+                    add(HOST, -1, bad, 1)
+                    for w in words:
+                        add(HOST, slot(w), bad, 1)
+                else:
+                    for w in path_words(path):
+                        add(PATH, slot(w), bad, n)
+            yield pd.DataFrame([(*k, n) for k, n in sums.items()], columns=["kind", "slot", "bad", "n"])
 
     urls = pages.select(host_of(url).alias("host"), path_of(url).alias("path"))
-    seen = urls.groupBy("host", "path").agg(F.count("*").alias("n"))
-    hosts = urls.select("host").distinct().select("host", F.lit("").alias("path"), F.lit(True).alias("first"),
+    paths = urls.groupBy("host", "path").agg(F.count("*").alias("n"))
+    hosts = urls.select("host").distinct().select("host", F.lit(None).cast("string").alias("path"),
                                                   F.lit(1).cast("long").alias("n"))
-    rows = seen.select("host", "path", F.lit(False).alias("first"), "n").unionByName(hosts)
-    # At most 2 * BUCKETS + 2 rows come back.
-    got = rows.mapInPandas(run, "slot long, bad int, n long").groupBy("slot", "bad").agg(F.sum("n").alias("n")).collect()
-    counts, hosts_of = np.full((2, BUCKETS), smooth), [smooth, smooth]
+    # At most 4 * BUCKETS + 2 rows come back.
+    got = (paths.unionByName(hosts).mapInPandas(run, "kind int, slot long, bad int, n long")
+           .groupBy("kind", "slot", "bad").agg(F.sum("n").alias("n")).collect())
+    counts, classes = np.zeros((2, 2, BUCKETS)), [smooth, smooth]
     for r in got:
         if r["slot"] < 0:
-            hosts_of[r["bad"]] += r["n"]
+            classes[r["bad"]] += r["n"]
         else:
-            counts[r["bad"], r["slot"]] += r["n"]
-    share = np.log(counts / counts.sum(axis=1, keepdims=True))
-    return (share[1] - share[0]).astype(np.float64), math.log(hosts_of[1] / hosts_of[0])
+            counts[r["kind"], r["bad"], r["slot"]] += r["n"]
+    words = np.maximum(1, (counts.sum(axis=1) > 0).sum(axis=1))[:, None, None]
+    share = np.log((counts + smooth) / (counts.sum(axis=2, keepdims=True) + smooth * words))
+    unseen = counts.sum(axis=1) == 0  # a word of no url says nothing
+    return np.where(unseen, 0.0, share[:, 1] - share[:, 0]), math.log(classes[1] / classes[0])
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES,
@@ -190,8 +198,9 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
         seg = Segmenter(cost, unknown)
         for pdf in batches:
             words = [host_words(h, seg) for h in pdf["host"]]
-            pdf["words"] = [[w[2:] for w in ws] for ws in words]
-            pdf["log_odds"] = [prior + float(sum(odds[slot(w)] for w in ws + path_words(p)))
+            pdf["words"] = words
+            pdf["log_odds"] = [prior + float(sum(odds[HOST, slot(w)] for w in ws)
+                                             + sum(odds[PATH, slot(w)] for w in path_words(p)))
                                for ws, p in zip(words, pdf["path"], strict=True)]
             yield pdf
 
