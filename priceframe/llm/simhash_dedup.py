@@ -20,6 +20,7 @@ task holds an unbounded group and no link between chunks is lost.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -117,20 +118,22 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS, segments: int = SEGMENT
           block: int = BLOCK) -> DataFrame:
     """Links ``(u, v)`` that connect the distinct fingerprints ``fp`` exactly as all links would."""
     radius = max_bits // segments
-    entries, probes, at = [], [], 64
+    entry, probe, at = [], [], 64
     for s, w in enumerate(_widths(segments)):
         at -= w
         part = F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << w) - 1)) if w < 64 else F.col("fp")
-        entries.append(F.struct(F.lit(s).alias("seg"), part.alias("key")))
-        probes += [F.struct(F.lit(s).alias("seg"), part.bitwiseXOR(F.lit(m)).alias("key")) for m in ball(w, radius)]
-    entry = distinct.select("fp", F.explode(F.array(*entries)).alias("e")).select("fp", "e.seg", "e.key")
-    if probes:
-        probe = distinct.select("fp", F.explode(F.array(*probes)).alias("e")).select("fp", "e.seg", "e.key")
+        own = distinct.select("fp", F.lit(s).alias("seg"), part.alias("key"))
+        masks = ball(w, radius)
+        entry.append(own)
+        if masks:
+            probe.append(own.withColumn("mask", F.explode(F.lit(masks).cast("array<long>")))
+                         .select("fp", "seg", F.col("key").bitwiseXOR(F.col("mask")).alias("key")))
+    entry = reduce(DataFrame.unionByName, entry)
+    members = entry
+    if probe:
         keys = entry.select("seg", "key").distinct().hint("shuffle_hash")
-        hits = materialize(probe.join(keys, ["seg", "key"], "left_semi").select("fp", "seg", "key"), "hits")
-        members = entry.unionByName(hits)
-    else:
-        members = entry
+        hits = reduce(DataFrame.unionByName, probe).join(keys, ["seg", "key"], "left_semi")
+        members = entry.unionByName(materialize(hits.select("fp", "seg", "key"), "hits"))
     sizes = materialize(members.groupBy("seg", "key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     chunks = F.ceil(F.col("n") / F.lit(block)).cast("int")
     rows = (members.join(sizes, ["seg", "key"])
