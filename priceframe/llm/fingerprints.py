@@ -19,7 +19,6 @@ and texts are shuffled once.
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -37,7 +36,6 @@ SEED = 3
 _LEAST = -(1 << 63)  #: stands for a null id: last in descending order
 
 
-@lru_cache(maxsize=1 << 20)
 def _word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, SEED)
 

@@ -26,7 +26,7 @@ from .tokens import vocabulary_path
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"          #: stands for a blank
 UNKNOWN_PENALTY = 10.0   #: below the least score of the vocabulary
-CACHE = 1 << 20          #: words remembered by one Python worker
+CACHE = 1 << 18          #: words remembered by one Python worker
 
 
 def load_pieces(name: str) -> list[tuple[str, float]]:

@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHE = 1 << 20   #: chunks remembered by one Python worker; the rest are encoded each time they come
+CACHE = 1 << 18   #: chunks remembered by one Python worker; the rest are encoded each time they come
 
 
 def vocabulary_path(name: str) -> str:

@@ -14,8 +14,6 @@ hundreds.  Scoring is a map over the scan: no shuffle of texts.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pandas as pd
 import xxhash
@@ -38,7 +36,6 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
 
-@lru_cache(maxsize=1 << 20)
 def _word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word, SEED)
 
