@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import decade_label, pct_round
 from ._util import broadcast_if_small
@@ -276,9 +277,15 @@ def violin_stats(df: DataFrame, year: str, value: str, grid: int = 200,
 
 
 # ------------------------------------------------------------------ repeatable sampling
-def key_hash(key: str, seed: int = 42) -> F.Column:
-    """Deterministic hash in [0, HASH_MOD) from an integer key: independent of partitioning."""
-    k = F.pmod(F.col(key).cast("long") + F.lit(seed), F.lit(HASH_MOD))
+def key_hash(df: DataFrame, key: str, seed: int = 42) -> F.Column:
+    """Deterministic hash in [0, HASH_MOD) of a key of any type: independent of partitioning.
+
+    Integers enter as they are, anything else through its 64-bit hash.
+    """
+    whole = isinstance(df.schema[key].dataType, T.IntegralType)
+    k = F.col(key).cast("long") if whole else F.xxhash64(key)
+    # Reduced before the seed is added: no overflow near the ends of the range.
+    k = F.pmod(F.pmod(k, F.lit(HASH_MOD)) + F.lit(seed), F.lit(HASH_MOD))
     k = F.pmod(k * F.lit(HASH_MUL), F.lit(HASH_MOD))
     return F.pmod(k * F.lit(HASH_MUL), F.lit(HASH_MOD))
 
@@ -294,12 +301,12 @@ def sample_rows(df: DataFrame, key: str, max_rows: int = 3000, seed: int = 42,
     n = df.agg(F.count(F.lit(1))).scalar()
     frac = F.least(F.lit(1.0), F.lit(float(max_rows)) / F.greatest(n, F.lit(1)))
     d = df.na.drop(subset=list(dropna)) if dropna else df
-    return d.filter(key_hash(key, seed) < frac * F.lit(HASH_MOD))
+    return d.filter(key_hash(df, key, seed) < frac * F.lit(HASH_MOD))
 
 
 def split_train_test(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Repeatable split by key hash (same rows whatever the partitioning)."""
-    train_cond = key_hash(key, seed) < F.lit(ratio * HASH_MOD)
+    train_cond = key_hash(df, key, seed) < F.lit(ratio * HASH_MOD)
     return df.filter(train_cond), df.filter(~train_cond)
 
 

@@ -71,9 +71,12 @@ def join_panel(left: DataFrame, right: DataFrame, on: Sequence[str], num: str, d
 
 
 def unique_panel(panel: DataFrame, keys: Sequence[str], value: str, order_by: str | None = None) -> DataFrame:
-    """One row per key: the value of the smallest ``order_by`` (or the smallest value)."""
+    """One row per key: the value of the smallest ``order_by``; without one, a key with two values raises."""
     if order_by is None:
-        return panel.groupBy(*keys).agg(F.min(value).alias(value))
+        low, high = F.min(value), F.max(value)
+        conflict = F.raise_error(F.concat(F.lit(f"two values of {value} for one key: "), low.cast("string"),
+                                          F.lit(" and "), high.cast("string")))
+        return panel.groupBy(*keys).agg(F.when(low.eqNullSafe(high), low).otherwise(conflict).alias(value))
     return panel.groupBy(*keys).agg(F.min_by(value, order_by).alias(value))
 
 

@@ -67,9 +67,8 @@ def ordered_series(df: DataFrame, order: str = "date", cols: Sequence[str] = ("y
     return df.select(*existing(df, cols)).orderBy(order)
 
 
-def filter_selected(df: DataFrame, col: str, values: Sequence[str], max_values: int = 12) -> DataFrame:
-    if len(values) > max_values:
-        raise ValueError(f"at most {max_values} values may be selected")
+def filter_selected(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
+    """Rows whose ``col`` is one of ``values``, however many; no values keep no rows."""
     return df.filter(F.col(col).isin(*values))
 
 

@@ -30,6 +30,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Texts are long: small batches bound what a Python worker holds.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
         "spark.sql.files.maxPartitionBytes": file_split_bytes,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": target_partition_bytes,
     }
@@ -51,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="priceframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
