@@ -22,13 +22,17 @@ def materialize(df: DataFrame, tag: str = "tmp") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if its row count is at most ``max_rows``; else leave it to a shuffle join.
+#: Bytes of written Parquet up to which a side is broadcast.
+BROADCAST_BYTES = 32 << 20
 
-    The frame is materialized first so the count and the join read the same
-    files rather than computing the frame twice.
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if it is at most ``max_bytes`` of Parquet; else leave it to a shuffle join.
+
+    The frame is materialized first so the size is that of its files and the
+    frame is computed once.
     """
     m = materialize(df, "bcast")
-    n = m.count()
-    return F.broadcast(m) if n <= max_rows else m
-
+    # What the planner itself goes by: the bytes of the files read.
+    size = int(m._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(m) if size <= max_bytes else m

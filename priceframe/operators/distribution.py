@@ -21,7 +21,6 @@ from ._util import broadcast_if_small
 from .clean import existing
 
 GROUP = "__g"
-GROUP_BROADCAST_ROWS = 1_000_000
 # Modulus and multiplier of the repeatable hash (two Park–Miller MINSTD steps,
 # so small consecutive keys are spread too): integer arithmetic any SQL engine
 # can repeat, every product stays below 2^62.
@@ -45,7 +44,7 @@ def _attach(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
 
     Ungrouped: the statistics are one row, attached as a scalar subquery
     (computed once, no join).  Grouped: one row per group, written once and
-    counted; broadcast when at most ``GROUP_BROADCAST_ROWS`` groups (the rows
+    measured; broadcast when its files are small enough (the rows
     are then never shuffled by a possibly hot group key), else a shuffle join
     that AQE's skew handling splits.
     """
@@ -53,7 +52,7 @@ def _attach(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
         cols = [c for c in stats.columns if c != GROUP]
         one = stats.select(F.struct(*cols).alias("__s")).scalar()
         return rows.select("*", *[one[c].alias(c) for c in cols])
-    return rows.join(broadcast_if_small(stats, GROUP_BROADCAST_ROWS), on=keys)
+    return rows.join(broadcast_if_small(stats), on=keys)
 
 
 # ------------------------------------------------------------------ correlation / line

@@ -8,19 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import clamp_min, guarded_ratio
-from ._util import broadcast_if_small
+from ._util import BROADCAST_BYTES, broadcast_if_small
 
 
 def raw_index(df: DataFrame, price: str, entity: str, base: str, period: str,
               out: str = "USD_raw") -> DataFrame:
     """``(price − base_mean) / base_mean`` where base_mean is the base entity's mean per period.
 
-    The base means are one row per period (a calendar year), so that side is
-    broadcast; the fact side is never shuffled for this join.
+    The base means are one row per period; they are broadcast if their written
+    size allows (calendar years do), so the fact side is not shuffled then.
+    ``df`` is read twice: pass a written frame if it is costly.
     """
     base_means = (df.filter(F.col(entity) == F.lit(base))
                   .groupBy(period).agg(F.avg(price).alias("__base")))
-    joined = df.join(F.broadcast(base_means), on=period, how="left")
+    joined = df.join(broadcast_if_small(base_means), on=period, how="left")
     return joined.withColumn(out, F.try_divide(F.col(price) - F.col("__base"), F.col("__base"))).drop("__base")
 
 
@@ -81,15 +82,15 @@ def unique_panel(panel: DataFrame, keys: Sequence[str], value: str, order_by: st
 
 
 def join_fill(df: DataFrame, panel: DataFrame, df_keys: Sequence[str], panel_keys: Sequence[str],
-              value: str, max_broadcast_rows: int = 5_000_000) -> DataFrame:
+              value: str, max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Left join a (key, year) panel onto the facts; helper keys are dropped.
 
     The panel must be unique on its keys (use ``unique_panel``), so the fact row
-    count never changes.  The panel is broadcast only after its row count is
-    checked against ``max_broadcast_rows``; beyond that it is a shuffle join.
+    count never changes.  The panel is broadcast only after its bytes are
+    checked against ``max_broadcast_bytes``; beyond that it is a shuffle join.
     """
     p = panel.select(*[F.col(k).alias(f"__pk{i}") for i, k in enumerate(panel_keys)], F.col(value))
-    p = broadcast_if_small(p, max_broadcast_rows)
+    p = broadcast_if_small(p, max_broadcast_bytes)
     cond = None
     for i, k in enumerate(df_keys):
         c = df[k] == p[f"__pk{i}"]

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import canonical_key
-from ._util import broadcast_if_small, materialize
+from ._util import BROADCAST_BYTES, broadcast_if_small, materialize
 
 PAD_START, PAD_END = "\u0002", "\u0003"
 
@@ -128,7 +128,7 @@ def fuzzy_candidates(qkeys: DataFrame, dkeys: DataFrame, cutoff: float, method:
     # one row per distinct q-gram token: small, and joined to every token of every
     # name, so it is broadcast (size-checked) rather than shuffling by a common token
     freq = broadcast_if_small(qt.select("token").unionByName(dt.select("token")).groupBy("token").agg(
-        F.count(F.lit(1)).alias("freq")), 5_000_000)
+        F.count(F.lit(1)).alias("freq")))
     qp = _prefixes(qt, freq, cutoff, method).withColumnRenamed("key", "qkey").withColumnRenamed("len", "qlen")
     dp = _prefixes(dt, freq, cutoff, method).withColumnRenamed("key", "dkey").withColumnRenamed("len", "dlen")
     # The partner length is part of the join key: each query token is emitted once
@@ -210,11 +210,11 @@ def link_report(links: DataFrame) -> DataFrame:
 
 
 def apply_link(df: DataFrame, links: DataFrame, name: str, code_out: str = "code",
-               max_broadcast_rows: int = 5_000_000) -> DataFrame:
+               max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Attach the linked code; rows whose name did not resolve are dropped (inner join).
 
     The link table (one row per distinct name) is counted and broadcast under
-    ``max_broadcast_rows``, so the rows are not shuffled by a possibly hot name.
+    ``max_broadcast_bytes``, so the rows are not shuffled by a possibly hot name.
     """
     lk = links.filter(F.col("code").isNotNull()).select(F.col("name").alias(name), F.col("code").alias(code_out))
-    return df.join(broadcast_if_small(lk, max_broadcast_rows), on=name, how="inner")
+    return df.join(broadcast_if_small(lk, max_broadcast_bytes), on=name, how="inner")

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean
+from ..operators._util import materialize
 from ..operators.enrich import raw_index
 
 BASE_ENTITY = "NATION_0"
@@ -77,6 +78,8 @@ def raw_facts(spark: SparkSession, sf_dir: str, base: str = BASE_ENTITY) -> Data
         (F.col("o_totalprice") / (F.lit(1.0) + gdp / F.lit(10000.0))).alias("adj_price"),
     )
     facts = facts.withColumn("year", F.year("date"))
+    # Written once: the index reads the facts and their base means from these files, not from two joins.
+    facts = materialize(facts, "panel")
     return raw_index(facts, price="dollar_price", entity="name", base=base,
                      period="year", out="USD_raw")
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..operators import clean, distribution as D, enrich, link, model, select, summarize as S
-from ..schemas import CORR_COLS, DESCRIBE_COLS, PREVIEW_COLS
+from ..schemas import CORR_COLS, DESCRIBE_COLS, MODEL_FEATURES, MODEL_REG_PARAM, PREVIEW_COLS
 from ..sources import readers, writers
 from . import bindings as B
 from . import jobs as J
@@ -141,7 +141,7 @@ fit AS (
 est AS (
   SELECT cca3, CAST(y AS INTEGER) AS year,
          CASE WHEN slope IS NULL THEN y_mean ELSE greatest(intercept + slope * (y - 1998), 1.0) END AS population_est
-  FROM fit, range(1995, 2002) t(y))"""
+  FROM fit, (SELECT unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 1)) AS y FROM orders) t)"""
 
 
 @query("unpivot_snapshots", "WITH " + POP_SNAP_SQL + " SELECT cca3, year, population FROM snaps")
@@ -222,10 +222,10 @@ def q_preview(spark, sf):
     return norm(S.preview(B.facts_snapshot(spark, sf), PREVIEW_COLS, 10), FACT_DIGITS)
 
 
-@query("sink_parquet", W("SELECT year, count(*) AS n_rows, round(sum(dollar_price), 2) AS total FROM facts WHERE year = 1998 GROUP BY year"))
+@query("sink_parquet", W("SELECT year, count(*) AS n_rows, round(sum(dollar_price), 2) AS total FROM facts GROUP BY year"))
 def q_sink_parquet(spark, sf):
     snap = J.snapshot_roundtrip(spark, sf)
-    return norm(select.snapshot_at(snap, "year", 1998).groupBy("year").agg(
+    return norm(snap.groupBy("year").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("dollar_price").alias("total")), {"total": 2})
 
 
@@ -317,10 +317,7 @@ DASH_SQL = """
               WHEN GDP_dollar >= 20000.0 THEN 'High (> $20k)' END AS gdp_level
   FROM facts f LEFT JOIN nation n ON f.iso_a3 = CAST(n.n_nationkey AS VARCHAR)
   LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE NOT coalesce(f.name IN ('UAE', 'Britain'), false)),
-df AS (
-  SELECT * FROM d WHERE year BETWEEN 1996 AND 1999 AND region IN ('ASIA', 'EUROPE', 'AMERICA')
-    AND (gdp_level IN ('Low (< $5k)', 'Medium ($5k-$20k)', 'No data') OR gdp_level IS NULL))"""
+  WHERE NOT coalesce(f.name IN ('UAE', 'Britain'), false))"""
 
 
 @query("facet_options", W(DASH_SQL + """
@@ -450,18 +447,18 @@ def q_top_k_support(spark, sf):
 
 
 @query("map_frame", W(DASH_SQL + """
-, g AS (SELECT year, iso_a3, name, avg(USD_raw) AS USD_raw, avg(dollar_price) AS dollar_price FROM df
+, g AS (SELECT year, iso_a3, name, avg(USD_raw) AS USD_raw, avg(dollar_price) AS dollar_price FROM d
         WHERE year IS NOT NULL AND iso_a3 IS NOT NULL AND name IS NOT NULL GROUP BY 1, 2, 3)
 SELECT year, iso_a3, name, round(USD_raw, 9) AS USD_raw, round(dollar_price, 2) AS dollar_price,
        (0.0 + ROUND(USD_raw * 100, 1)) AS USD_raw_pct FROM g WHERE USD_raw IS NOT NULL"""))
 def q_map_frame(spark, sf):
-    m = S.map_frame(J.dashboard_filtered(spark, sf))
+    m = S.map_frame(J.dashboard_frame(spark, sf))
     return norm(m.drop("hover"), {"USD_raw": 9, "dollar_price": 2, "USD_raw_pct": 1})
 
 
 @query("kpi_summary", W(DASH_SQL + """
 , g AS (SELECT name, iso_a3, avg(USD_raw) AS m, sum(USD_raw) AS si, count(USD_raw) AS ci,
-               sum(dollar_price) AS sp, count(dollar_price) AS cp FROM df GROUP BY name, iso_a3),
+               sum(dollar_price) AS sp, count(dollar_price) AS cp FROM d GROUP BY name, iso_a3),
 ok AS (SELECT * FROM g WHERE name IS NOT NULL AND iso_a3 IS NOT NULL AND m IS NOT NULL),
 hi AS (SELECT name, iso_a3, m FROM ok ORDER BY m DESC, name, iso_a3 LIMIT 1),
 lo AS (SELECT name, iso_a3, m FROM ok ORDER BY m ASC, name, iso_a3 LIMIT 1),
@@ -471,7 +468,7 @@ SELECT hi.name AS top_name, hi.iso_a3 AS top_code, round(hi.m, 9) AS top_index,
        round(gl.gi, 9) AS global_index, round(gl.ap, 2) AS avg_price, gl.ne AS n_entities
 FROM hi, lo, gl"""))
 def q_kpi_summary(spark, sf):
-    k = S.kpi_summary(J.dashboard_filtered(spark, sf))
+    k = S.kpi_summary(J.dashboard_frame(spark, sf))
     k = k.drop("top_text", "bottom_text", "global_text", "price_text")
     return norm(k, {"top_index": 9, "bottom_index": 9, "global_index": 9, "avg_price": 2})
 
@@ -521,13 +518,13 @@ def q_latest_per_entity(spark, sf):
 
 
 @query("top_bottom", W(DASH_SQL + """
-, m AS (SELECT name, avg(USD_raw) AS USD_raw FROM df WHERE name IS NOT NULL GROUP BY name HAVING avg(USD_raw) IS NOT NULL),
+, m AS (SELECT name, avg(USD_raw) AS USD_raw FROM d WHERE name IS NOT NULL GROUP BY name HAVING avg(USD_raw) IS NOT NULL),
 lo AS (SELECT *, 'bottom' AS half FROM m ORDER BY USD_raw ASC, name LIMIT 10),
 hi AS (SELECT *, 'top' AS half FROM m ORDER BY USD_raw DESC, name LIMIT 10)
 SELECT name, round(USD_raw, 9) AS USD_raw, half, CASE WHEN USD_raw >= 0 THEN 'Overvalued' ELSE 'Undervalued' END AS color
 FROM (SELECT * FROM lo UNION ALL SELECT * FROM hi)"""))
 def q_top_bottom(spark, sf):
-    t = S.top_bottom(J.dashboard_filtered(spark, sf), "name", "USD_raw", 20)
+    t = S.top_bottom(J.dashboard_frame(spark, sf), "name", "USD_raw", 20)
     return norm(t.drop("display"), {"USD_raw": 9})
 
 
@@ -681,12 +678,12 @@ def q_scatter_by_decade(spark, sf):
 
 
 @query("scatter_snapshot", W(DASH_SQL + """
-, s AS (SELECT * FROM df WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL),
+, s AS (SELECT * FROM d WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL),
 y AS (SELECT * FROM s WHERE year = (SELECT max(year) FROM s))
 SELECT name, year, round(GDP_dollar, 2) AS GDP_dollar, round(USD_raw, 9) AS USD_raw, region,
        round(dollar_price, 2) AS dollar_price, (0.0 + ROUND(USD_raw * 100, 1)) AS USD_raw_pct FROM y"""))
 def q_scatter_snapshot(spark, sf):
-    pts, _ = D.scatter_snapshot(J.dashboard_filtered(spark, sf))
+    pts, _ = D.scatter_snapshot(J.dashboard_frame(spark, sf))
     return norm(pts, {"GDP_dollar": 2, "USD_raw": 9, "dollar_price": 2, "USD_raw_pct": 1})
 
 
@@ -729,20 +726,62 @@ def q_residual_frame(spark, sf):
     return norm(rows, {"dollar_price": 2, "prediction": 4, "residual": 4})
 
 
-@query("fit_price_model")
-def q_fit_price_model(spark, sf):
-    """MLlib ridge pipeline (rows-only check): test-split predictions."""
+# Ridge on standardised columns: (R + lambda I) beta = r with R, r the correlations on the training rows and
+# lambda = penalty / population deviation of the label; solved by Cramer's rule.
+RIDGE_SQL = """
+, m AS (SELECT obs_id, GDP_dollar, dollar_ex, year, dollar_price FROM facts WHERE GDP_dollar IS NOT NULL),
+tr AS (SELECT * FROM m WHERE """ + HASH.format(key="obs_id") + """ < 0.8 * 2147483647),
+te AS (SELECT * FROM m WHERE NOT (""" + HASH.format(key="obs_id") + f""" < 0.8 * 2147483647)),
+s AS (SELECT avg(dollar_price) AS ym, stddev_samp(dollar_price) AS ys, 1 + {MODEL_REG_PARAM} / stddev_pop(dollar_price) AS q,
+             avg(GDP_dollar) AS m1, avg(dollar_ex) AS m2, avg(year) AS m3,
+             stddev_samp(GDP_dollar) AS s1, stddev_samp(dollar_ex) AS s2, stddev_samp(year) AS s3,
+             corr(GDP_dollar, dollar_ex) AS a, corr(GDP_dollar, year) AS b, corr(dollar_ex, year) AS c,
+             corr(GDP_dollar, dollar_price) AS u, corr(dollar_ex, dollar_price) AS v, corr(year, dollar_price) AS w FROM tr),
+dt AS (SELECT *, q * (q * q - c * c) - a * (a * q - b * c) + b * (a * c - b * q) AS det FROM s),
+k AS (SELECT *, ys * (u * (q * q - c * c) - a * (v * q - w * c) + b * (v * c - w * q)) / det AS c1,
+                ys * (q * (v * q - w * c) - u * (a * q - b * c) + b * (a * w - b * v)) / det AS c2,
+                ys * (q * (q * w - c * v) - a * (a * w - b * v) + u * (a * c - b * q)) / det AS c3 FROM dt),
+pred AS (SELECT te.*, ym + c1 * (GDP_dollar - m1) / s1 + c2 * (dollar_ex - m2) / s2 + c3 * (year - m3) / s3 AS prediction
+         FROM te, k)"""
+MODEL_DIGITS = {"prediction": 3, "coefficient": 3, "intercept": 3}
+
+
+def _price_model(spark, sf):
+    """(fitted pipeline, test rows) of the price model on the 80 % split."""
     d = model.model_frame(B.facts_snapshot(spark, sf), keep=["obs_id"])
     tr, te = D.split_train_test(d, "obs_id", 0.8, 42)
-    m = model.fit_price_model(tr)
-    return model.predict(m, te).select("obs_id", "GDP_dollar", "dollar_ex", "year", "dollar_price", "prediction")
+    return model.fit_price_model(tr), te
+
+
+@query("fit_price_model", W(RIDGE_SQL + """
+SELECT round(avg(prediction), 3) AS mean_prediction, round(min(prediction), 3) AS lowest, round(max(prediction), 3) AS highest,
+       count(*) AS n FROM pred"""))
+def q_fit_price_model(spark, sf):
+    m, te = _price_model(spark, sf)
+    return norm(model.predict(m, te).agg(
+        F.avg("prediction").alias("mean_prediction"), F.min("prediction").alias("lowest"),
+        F.max("prediction").alias("highest"), F.count(F.lit(1)).alias("n")), default=3)
+
+
+@query("predict", W(RIDGE_SQL + """
+SELECT obs_id, round(dollar_price, 2) AS dollar_price, round(prediction, 3) AS prediction FROM pred"""))
+def q_predict(spark, sf):
+    m, te = _price_model(spark, sf)
+    return norm(model.predict(m, te).select("obs_id", "dollar_price", "prediction"),
+                {**MODEL_DIGITS, "dollar_price": 2})
 
 
-@query("model_coefficients")
+@query("model_coefficients", W(RIDGE_SQL + """
+SELECT 'intercept' AS term, round(ym, 3) AS coefficient, CAST(NULL AS DOUBLE) AS raw_coefficient FROM k
+UNION ALL SELECT 'GDP_dollar', round(c1, 3), round(c1 / s1, 6) FROM k
+UNION ALL SELECT 'dollar_ex', round(c2, 3), round(c2 / s2, 3) FROM k
+UNION ALL SELECT 'year', round(c3, 3), round(c3 / s3, 3) FROM k"""))
 def q_model_coefficients(spark, sf):
-    d = model.model_frame(B.facts_snapshot(spark, sf), keep=["obs_id"])
-    tr, _ = D.split_train_test(d, "obs_id", 0.8, 42)
-    return model.model_coefficients(model.fit_price_model(tr), ["GDP_dollar", "dollar_ex", "year"])
+    m, _ = _price_model(spark, sf)
+    raw = F.when(F.col("term") == "GDP_dollar", qround(F.col("raw_coefficient"), 6)) \
+        .otherwise(qround(F.col("raw_coefficient"), 3))
+    return model.model_coefficients(m, MODEL_FEATURES).select(
+        "term", qround(F.col("coefficient"), 3).alias("coefficient"), raw.alias("raw_coefficient"))
 
 
 # ============================================================ linkage
@@ -837,22 +876,25 @@ def q_scan_multipart(spark, sf):
                 {"total": 2})
 
 
-@query("sink_metrics", W(LINE_SQL + """
-SELECT round(sqrt(avg((dollar_price - prediction) * (dollar_price - prediction))), 4) AS rmse,
-       round(1 - sum((dollar_price - prediction) * (dollar_price - prediction)) / (var_pop(dollar_price) * count(*)), 9) AS r2,
-       round(avg(abs(dollar_price - prediction)), 4) AS mae, count(*) AS n FROM pred"""))
+@query("sink_metrics", W(RIDGE_SQL + """
+, e AS (SELECT sqrt(avg((dollar_price - prediction) * (dollar_price - prediction))) AS rmse,
+       1 - sum((dollar_price - prediction) * (dollar_price - prediction)) / (var_pop(dollar_price) * count(*)) AS r2,
+       avg(abs(dollar_price - prediction)) AS mae FROM pred)
+SELECT round(rmse, 3) AS rmse, round(r2, 8) AS r2, round(mae, 3) AS mae, round(ym, 3) AS intercept,
+       round(c1, 3) AS coef_gdp, round(c2, 3) AS coef_ex, round(c3, 3) AS coef_year FROM e, k"""))
 def q_sink_metrics(spark, sf):
-    """The metrics record written as JSON and read back."""
+    """The price model's metrics record, written as JSON and read back."""
     from ..session import scratch_path
     import uuid
 
-    d = model.model_frame(B.facts_snapshot(spark, sf), keep=["obs_id"])
-    tr, te = D.split_train_test(d, "obs_id", 0.8, 42)
-    m = model.eval_regression(model.line_predictions(tr, te, "GDP_dollar", "dollar_price"))
+    m, te = _price_model(spark, sf)
+    record = model.metrics_frame(model.eval_regression(model.predict(m, te)),
+                                 model.model_coefficients(m, MODEL_FEATURES))
     path = scratch_path(spark, f"metrics-{uuid.uuid4().hex}")
-    writers.sink_metrics(m, path)
-    back = spark.read.schema(m.schema).json(path)
-    return norm(back, {"rmse": 4, "r2": 9, "mae": 4})
+    writers.sink_metrics(record, path)
+    back = spark.read.schema(record.schema).json(path)
+    coef = [F.col("coefficients")[f].alias(n) for f, n in zip(MODEL_FEATURES, ("coef_gdp", "coef_ex", "coef_year"))]
+    return norm(back.select("rmse", "r2", "mae", "intercept", *coef), {"r2": 8}, default=3)
 
 
 @query("fill_median", W("""
@@ -874,46 +916,45 @@ def q_residual_limits(spark, sf):
 
 
 @query("scatter_line", W(DASH_SQL + """
-, s AS (SELECT * FROM df WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL),
+, s AS (SELECT * FROM d WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL),
 y AS (SELECT *, (0.0 + ROUND(USD_raw * 100, 1)) AS pct FROM s WHERE year = (SELECT max(year) FROM s))
 SELECT round(regr_slope(pct, GDP_dollar), 9) AS slope, round(regr_intercept(pct, GDP_dollar), 6) AS intercept,
        round(regr_r2(pct, GDP_dollar), 9) AS r2, regr_count(pct, GDP_dollar) AS n,
        round(min(GDP_dollar), 2) AS x_min, round(max(GDP_dollar), 2) AS x_max FROM y"""))
 def q_scatter_line(spark, sf):
-    _, line = D.scatter_snapshot(J.dashboard_filtered(spark, sf))
+    _, line = D.scatter_snapshot(J.dashboard_frame(spark, sf))
     return norm(line, {"slope": 9, "intercept": 6, "r2": 9, "x_min": 2, "x_max": 2})
 
 
 QUERIES["violin_density"] = q_kde_curve
 ORACLE["violin_density"] = ORACLE["kde_curve"]
-QUERIES["predict"] = q_fit_price_model
 
 
 @query("hover_text", W(DASH_SQL + """
 SELECT obs_id, name || '<br>Valuation: ' || CASE WHEN p >= 0 THEN '+' ELSE '' END || printf('%.1f', p)
        || '%<br>Price: $' || printf('%.2f', (0.0 + ROUND(dollar_price, 2))) AS hover
-FROM (SELECT obs_id, name, dollar_price, (0.0 + ROUND(USD_raw * 100, 1)) AS p FROM df WHERE USD_raw IS NOT NULL)"""))
+FROM (SELECT obs_id, name, dollar_price, (0.0 + ROUND(USD_raw * 100, 1)) AS p FROM d WHERE USD_raw IS NOT NULL)"""))
 def q_hover_text(spark, sf):
     """Per-row labels (exact cent prices: no rounding tie can depend on summation order)."""
-    d = J.dashboard_filtered(spark, sf).filter(F.col("USD_raw").isNotNull())
+    d = J.dashboard_frame(spark, sf).filter(F.col("USD_raw").isNotNull())
     return d.select("obs_id", C.hover_text("name", C.pct_round("USD_raw", 1), "dollar_price").alias("hover"))
 
 
 @query("fmt_pct", W(DASH_SQL + """
-, g AS (SELECT name, iso_a3, avg(USD_raw) AS m FROM df GROUP BY name, iso_a3),
+, g AS (SELECT name, iso_a3, avg(USD_raw) AS m FROM d GROUP BY name, iso_a3),
 ok AS (SELECT * FROM g WHERE name IS NOT NULL AND iso_a3 IS NOT NULL AND m IS NOT NULL)
 SELECT name, CASE WHEN p >= 0 THEN '+' ELSE '' END || printf('%.1f', p) || '%' AS index_text FROM (
   SELECT name, (0.0 + ROUND(m * 100, 1)) AS p FROM ok)"""))
 def q_fmt_pct(spark, sf):
-    g = S.mean_by_entity(J.dashboard_filtered(spark, sf).filter(F.col("iso_a3").isNotNull()), "name", "USD_raw", "m")
+    g = S.mean_by_entity(J.dashboard_frame(spark, sf).filter(F.col("iso_a3").isNotNull()), "name", "USD_raw", "m")
     return g.filter(F.col("name").isNotNull() & F.col("m").isNotNull()).select("name", C.fmt_pct("m").alias("index_text"))
 
 
 @query("fmt_usd", W(DASH_SQL + """
 SELECT obs_id, '$' || printf('%.2f', (0.0 + ROUND(dollar_price, 2))) AS price_text,
-       '$' || printf('%.2f', (0.0 + ROUND(local_price, 2))) AS local_text FROM df"""))
+       '$' || printf('%.2f', (0.0 + ROUND(local_price, 2))) AS local_text FROM d"""))
 def q_fmt_usd(spark, sf):
-    d = J.dashboard_filtered(spark, sf)
+    d = J.dashboard_frame(spark, sf)
     return d.select("obs_id", C.fmt_usd("dollar_price").alias("price_text"), C.fmt_usd("local_price").alias("local_text"))
 
 

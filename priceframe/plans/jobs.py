@@ -23,7 +23,6 @@ from . import bindings
 
 SNAPSHOT_YEARS = [1995, 1996, 1998, 2001]
 TREND_CENTER = 1998
-YEAR_LO, YEAR_HI = 1995, 2001
 
 
 def year_span(spark: SparkSession, sf_dir: str) -> list[int]:
@@ -91,7 +90,8 @@ def pop_snapshots(spark: SparkSession, sf_dir: str, via_files: bool = True) -> D
 
 def pop_estimate(spark: SparkSession, sf_dir: str, via_files: bool = True) -> DataFrame:
     fit = enrich.trend_fit(pop_snapshots(spark, sf_dir, via_files), "cca3", "year", "population", TREND_CENTER)
-    return enrich.trend_extrapolate(fit, "cca3", YEAR_LO, YEAR_HI, floor=1.0, center=TREND_CENTER,
+    years = year_span(spark, sf_dir)
+    return enrich.trend_extrapolate(fit, "cca3", years[0], years[-1], floor=1.0, center=TREND_CENTER,
                                     out="population_est")
 
 
