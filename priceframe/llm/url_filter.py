@@ -11,7 +11,7 @@ counted over distinct hosts so that a host with a third of all pages is one
 example; paths are counted per page.
 
 Scale: counts are partial aggregates.  What is broadcast is bounded: the
-lexicon keeps its ``LEXICON`` most frequent words, naive Bayes hashes words into
+lexicon keeps ``LEXICON`` of the most frequent words at most, naive Bayes hashes words into
 ``BUCKETS`` slots.  Judging is a map over the scan without a shuffle.
 """
 
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, table
+from .common import materialize, pick, table
 
 #: (host, path, verdict)
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
@@ -117,15 +117,24 @@ def lexicon(pages: DataFrame, url_col: str = "url", html_col: str = "html", size
             seeds: tuple[str, ...] = SEEDS) -> dict[str, int]:
     """Counts of the most frequent words of all pages' texts and host parts; every seed is in it.
 
-    A host part counts once per distinct host.  Equal counts go by the word.
+    A host part counts once per distinct host.  Words are taken by classes of
+    like counts (an eighth of a power of two wide), most frequent first, while all
+    of a class still fit ``size``: no sort, and at most ``size`` words reach the driver.
     """
     text = F.regexp_replace(F.coalesce(pick(html_col).cast("string"), F.lit("")), r"<[^>]*>", " ")
     words = pages.select(F.explode(F.split(F.lower(text), r"[^a-z]+")).alias("w"))
     hosts = pages.select(host_of(pick(url_col).cast("string")).alias("h")).distinct()
     parts = hosts.select(F.explode(F.split("h", r"[^a-z]+")).alias("w"))
     counts = (words.unionByName(parts).where((F.char_length("w") > 1) & (F.char_length("w") <= LONGEST))
-              .groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(size).collect())
-    got = {r["w"]: r["n"] for r in counts}
+              .groupBy("w").agg(F.count("*").alias("n")).withColumn("k", F.floor(F.log2("n") * 8)))
+    counts = materialize(counts, "lexicon")
+    least, room = None, size
+    for r in counts.groupBy("k").agg(F.count("*").alias("m")).orderBy(F.desc("k")).collect():  # 512 classes at most
+        room -= r["m"]
+        if room < 0:
+            break
+        least = r["k"]
+    got = {} if least is None else {r["w"]: r["n"] for r in counts.where(F.col("k") >= least).collect()}
     typical = max(1, sum(got.values()) // max(1, len(got)))
     return got | {s: max(typical, got.get(s, 0)) for s in seeds}
 

@@ -507,3 +507,15 @@ def test_token_files_edge_cases(spark, edge, empty, tmp_path):
     assert [r["ids"] for r in rows if r["doc_id"] in (2, 3)] == [[2], [2]]
     token_files.write_token_files(empty, f"file://{tmp_path}/empty")
     assert token_files.read_token_files(spark, f"file://{tmp_path}/empty").count() == 0
+
+
+def test_lexicon_takes_whole_count_classes(spark):
+    html = "<p>" + "alpha " * 40 + "beta " * 20 + "gamma delta" + "</p>"
+    pages = spark.createDataFrame([(1, None, html), (2, "http://alpha.org/x", None)],
+                                  "page_id long, url string, html string")
+    full = url_filter.lexicon(pages, seeds=("spam",))
+    assert full == {"alpha": 41, "beta": 20, "gamma": 1, "delta": 1, "org": 1, "spam": 64 // 5}
+    # Three words are seen once: with room for four words they all stay out.
+    assert set(url_filter.lexicon(pages, size=4, seeds=())) == {"alpha", "beta"}
+    assert url_filter.lexicon(pages, size=0, seeds=("spam",)) == {"spam": 1}
+    assert url_filter.lexicon(pages.limit(0), seeds=()) == {}
