@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators._util import materialize
 
-__all__ = ["WORD", "components", "materialize", "member_sketch", "pick", "rows_per_task", "sorted_groups", "table"]
+__all__ = ["WORD", "components", "materialize", "member_sketch", "pick", "rows_per_task", "small_batches", "sorted_groups", "table"]
 
 #: A word: a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,6 +26,14 @@ def pick(name: str):
     return F.col(f"`{name}`")
 
 
+def small_batches(spark: SparkSession, rows: int = 500, size: int = 8 << 20) -> None:
+    """Bound the Arrow batches of this session: what a Python worker and the JVM beside it hold of long texts at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
 def rows_per_task(rows: int, per_task: int) -> int:
     """How many groups keep each near ``per_task`` rows."""
     return max(1, -(-int(rows) // per_task))

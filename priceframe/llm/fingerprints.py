@@ -27,12 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, pick, table
+from .common import materialize, pick, small_batches, table
 
 BITS = 128
 RADIUS = 3          #: of the search
 QUERY_EVERY = 100   #: rows whose id this divides are the search's queries
 SEED = 3
+CHUNK = 4096        #: terms whose bits are laid out at a time
 _LEAST = -(1 << 63)  #: stands for a null id: last in descending order
 
 
@@ -56,8 +57,8 @@ def fingerprint(text: str | None) -> bytes:
     terms, times = np.unique(_mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]), return_counts=True)
     weights = 1.0 + np.log(times)
     votes = np.zeros(BITS)
-    for at in range(0, len(terms), 65536):
-        t, w = terms[at:at + 65536], weights[at:at + 65536]
+    for at in range(0, len(terms), CHUNK):
+        t, w = terms[at:at + CHUNK], weights[at:at + CHUNK]
         both = np.stack([_mix(t + np.uint64(1)), _mix(t + np.uint64(2))], axis=1).astype(">u8")
         bits = np.unpackbits(both.view(np.uint8).reshape(len(t), BITS // 8), axis=1)
         votes += 2.0 * (w @ bits.astype(np.float64)) - w.sum()
@@ -76,6 +77,7 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, run, schema: str) ->
     frames of ``schema``.  Rows of one id are in the order of their texts.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.coalesce(pick(id_col).cast("long"), F.lit(_LEAST)).alias("o"),
                        F.coalesce(pick(text_col).cast("string"), F.lit("")).alias("text"))
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
