@@ -56,3 +56,16 @@ def test_no_cross_joins_anywhere_in_the_catalog_plans(spark):
     for name in ("kpi_summary", "link_names", "kde_curve", "box_stats", "join_fill", "latest_per_entity"):
         p = _plan(E.queries()[name](spark, SF_SMALL))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_orders_are_joined_once_for_the_raw_facts(spark):
+    p = B.raw_facts(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_custkey" not in p and "c_custkey" not in p   # both reads of the index are of the written panel
+
+
+def test_broadcast_goes_by_bytes(spark):
+    from priceframe.operators._util import broadcast_if_small
+
+    df = spark.range(1000).toDF("k")
+    hinted = lambda d: "hint" in d._jdf.queryExecution().analyzed().toString().lower()
+    assert hinted(broadcast_if_small(df)) and not hinted(broadcast_if_small(df, 10))

@@ -45,3 +45,20 @@ def test_apply_link_on_a_hot_name(spark):
                             spark.createDataFrame([("hot", "H"), ("e1", "X1")], "name string, code string"))
     out = link.apply_link(df, links, "name", "code")
     assert out.count() == int((pdf.name == "HOT").sum() + (pdf.name == "E1").sum())
+
+
+def test_one_date_with_most_rows_is_written_by_many_tasks(spark, tmp_path):
+    from priceframe.sources import writers
+
+    df = spark.range(20000).selectExpr("id AS obs_id", "1998 AS year", "date'1998-05-01' AS date")
+    writers.sink_parquet(df.repartition(8), str(tmp_path / "facts"), partition_by=["year"], cluster_by=["year", "date"])
+    keep = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(keep)
+    spark.conf.set(keep, "false")
+    try:
+        writers.sink_parquet(df.repartition(8), str(tmp_path / "split"), partition_by=["year"], cluster_by=["year", "date"])
+    finally:
+        spark.conf.set(keep, before)
+    assert spark.read.parquet(str(tmp_path / "facts")).count() == 20000
+    back = spark.read.parquet(str(tmp_path / "split"))
+    assert back.count() == 20000 and len(back.inputFiles()) >= 6
