@@ -32,6 +32,8 @@ from ..session import scratch_path
 from .common import pick, table
 from .tokens import encoder
 
+CACHE = 1 << 20   #: chunks remembered by one Python worker
+
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2        #: appended to each document
 READ_ROWS = 8192  #: documents a reading task hands over at once
@@ -59,7 +61,7 @@ def write_token_files(docs: DataFrame, uri: str, id_col: str = "doc_id", text_co
     def run(batches):
         system, base, mounted = _filesystem(uri)
         ctx = TaskContext.get()
-        shard, enc = ctx.partitionId(), encoder(vocabulary)
+        shard, enc = ctx.partitionId(), encoder(vocabulary, CACHE)
         own = f"{base}/.{shard:05d}-{ctx.taskAttemptId()}"
         kinds = ("tokens", "offsets", "ids", "nulls")
         end, docs_, at, out = enc.pack([end_id]), 0, 0, None

@@ -75,6 +75,6 @@ class ChunkEncoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(name: str) -> ChunkEncoder:
+def encoder(name: str, cache: int = CACHE) -> ChunkEncoder:
     """One encoder per file and Python worker."""
-    return ChunkEncoder(name)
+    return ChunkEncoder(name, cache)
