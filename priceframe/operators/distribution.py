@@ -145,18 +145,40 @@ def kde_curve(df: DataFrame, value: str, by: str | None = None, grid: int = 200,
 
 
 # ------------------------------------------------------------------ box / violin
+def _bucket(v: F.Column, lo: F.Column, hi: F.Column, buckets: int) -> F.Column:
+    """0 for ``lo``, ``buckets + 1`` for ``hi``, else the slice 1..buckets of the window a value between them is in.
+
+    A window that spans zero or more than a factor of four is sliced by sign and
+    logarithm, so that a slice spans about a factor of two at most; any other one
+    by equal widths.  Every double has its place, the infinite ones as ``lo`` or ``hi``.
+    """
+    top = F.lit(1.7976931348623157e308)
+
+    def place(x):  # above 0 for the least positive double, and finite for all
+        x = F.least(F.greatest(x, -top), top)
+        return F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * (F.log(F.abs(x)) + F.lit(746.0)))
+
+    wide = (F.signum(lo) * F.signum(hi) <= 0) | (
+        F.greatest(F.abs(lo), F.abs(hi)) / F.lit(4.0) > F.least(F.abs(lo), F.abs(hi)))
+    share = F.when(wide, F.try_divide(place(v) - place(lo), place(hi) - place(lo))) \
+        .otherwise(F.try_divide(v - lo, hi - lo))
+    return (F.when(v == lo, F.lit(0)).when(v == hi, F.lit(buckets + 1))
+            .otherwise(F.least(F.floor(share * F.lit(buckets)), F.lit(buckets - 1)) + 1)).cast("int")
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: str | Sequence[str] | None = None,
-                    buckets: int = 4096, small: int = 200_000, max_rounds: int = 200) -> DataFrame:
+                    buckets: int = 4096, small: int = 200_000) -> DataFrame:
     """Exact quantiles (linear interpolation, as ``percentile``) without holding a group in one task.
 
-    Each needed order statistic (ranks ⌊(n−1)p⌋ and ⌈(n−1)p⌉ per group) gets a
-    value window [lo, hi] and the count of values below it.  A round
-    histograms every window into ``buckets`` equal-width buckets — a partial
-    aggregate, so a hot group costs one small row per task — and keeps the
-    bucket holding the rank.  A window holding at most ``small`` values is
-    resolved by sorting just those values.  Windows shrink every round, so work
-    per group and per task stays bounded whatever the group's size.  The
-    driver loop only sees window counts.
+    The keys and values are written once.  Each needed order statistic (ranks
+    ⌊(n−1)p⌋ and ⌈(n−1)p⌉ per group) gets a value window [lo, hi] and the count of
+    values below it.  A round histograms every window into slices (``_bucket``)
+    — a partial aggregate, so a hot group costs one small row per task — keeps the
+    slice holding the rank, and writes the values that are still in a window,
+    which the next round reads.  A window holding at most ``small`` values is
+    resolved by sorting just those values.  The first round leaves a factor of two,
+    each later one a 4096th, so a handful of rounds ends it for any values, infinite
+    ones included.  The driver loop only sees window counts.
     Output: [by,] n, q0, q1, ... (one column per prob, in order).
     """
     from pyspark.sql import Window
@@ -164,7 +186,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: str |
     from ._util import materialize
 
     d, keys = _keyed(df.filter(F.col(value).isNotNull() & ~F.isnan(value)), by)
-    d = d.select(*keys, F.col(value).cast("double").alias("__v"))
+    d = materialize(d.select(*keys, F.col(value).cast("double").alias("__v")), "quantile-values")
     st = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi"))
     pos = [(F.col("n") - 1) * F.lit(float(p)) for p in probs]
     rank_cols = [F.floor(x).cast("long") for x in pos] + [F.ceil(x).cast("long") for x in pos]
@@ -172,33 +194,29 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: str |
     state = (st.select(*keys, "lo", "hi", "n", F.explode(F.array_distinct(F.array(*rank_cols))).alias("k"))
              .select(*keys, "k", "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("c")))
     wkeys = [*keys, "k"]
+    wk = [*keys, "lo", "hi", "below", "c"]
     resolved = []
-    for _ in range(max_rounds):
+    while True:
         resolved.append(state.filter(F.col("lo") == F.col("hi")).select(*wkeys, F.col("lo").alias("val")))
         active = state.filter(F.col("lo") < F.col("hi"))
         cnt = active.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("c") > small).alias("big")).first()
-        n_active, n_big = cnt["n"], cnt["big"]
-        if n_active == 0:
+        if cnt["n"] == 0:
             break
         # Ranks whose windows coincide (all of a group's ranks in the first
         # round) share one histogram: rows meet each distinct window once.
-        wins = active.select(*keys, "lo", "hi", "below", "c").distinct()
-        wins = F.broadcast(wins) if n_active <= 2_000_000 else wins
-        wk = [*keys, "lo", "hi", "below", "c"]
+        wins = broadcast_if_small(active.select(*wk).distinct())
         rows = d.join(wins, on=keys).filter((F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi")))
         # one pass: small windows collect their (≤ small) values under bucket −1,
-        # large windows count per equal-width bucket
+        # large windows count per slice
         few = F.col("c") <= small
-        b = F.when(few, F.lit(-1)).otherwise(F.least(
-            F.floor((F.col("__v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(buckets)),
-            F.lit(buckets - 1))).cast("int")
+        b = F.when(few, F.lit(-1)).otherwise(_bucket(F.col("__v"), F.col("lo"), F.col("hi"), buckets))
         agg = materialize(rows.groupBy(*wk, b.alias("__b")).agg(
             F.count(F.lit(1)).alias("cnt"), F.min("__v").alias("bmin"), F.max("__v").alias("bmax"),
             F.collect_list(F.when(few, F.col("__v"))).alias("__vs")), "quantile-round")
         per_rank = active.select(*wk, "k").join(agg, on=wk)
         resolved.append(per_rank.filter(F.col("__b") == -1).select(
             *wkeys, F.element_at(F.sort_array("__vs"), (F.col("k") - F.col("below") + 1).cast("int")).alias("val")))
-        if n_big == 0:
+        if cnt["big"] == 0:
             break
         hist = agg.filter(F.col("__b") >= 0).drop("__vs")
         w = Window.partitionBy(*wk).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
@@ -208,8 +226,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: str |
             (start <= F.col("k")) & (F.col("k") < start + F.col("cnt")))
         state = materialize(chosen.select(*wkeys, F.col("bmin").alias("lo"), F.col("bmax").alias("hi"),
                                           start.alias("below"), F.col("cnt").alias("c")), "quantile-state")
-    else:
-        raise RuntimeError("exact_quantiles did not converge")
+        # Only the values between the bounds of a window that is still open are read again, once each.
+        left = broadcast_if_small(state.filter(F.col("lo") < F.col("hi"))
+                                  .select(*[F.col(k).alias(f"__w{i}") for i, k in enumerate(keys)], "lo", "hi").distinct())
+        inside = (F.col("__v") >= F.col("lo")) & (F.col("__v") <= F.col("hi"))
+        for i, k in enumerate(keys):
+            inside = inside & (F.col(k) == F.col(f"__w{i}"))
+        d = materialize(d.join(left, inside, "left_semi"), "quantile-values")
     vals = resolved[0]
     for r in resolved[1:]:
         vals = vals.unionByName(r)
@@ -220,7 +243,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: str |
         r = (F.col("n") - 1) * F.lit(float(p))
         k0, k1 = F.floor(r).cast("long"), F.ceil(r).cast("long")
         v0, v1 = F.col("__vm")[k0], F.col("__vm")[k1]
-        out = out.withColumn(f"q{i}", v0 + (r - k0) * (v1 - v0))
+        out = out.withColumn(f"q{i}", F.when((v0 == v1) | (r == k0), v0).otherwise(v0 + (r - k0) * (v1 - v0)))
     out = out.drop("__vm")
     return _unkey(out, keys)
 
@@ -289,18 +312,15 @@ def key_hash(df: DataFrame, key: str, seed: int = 42) -> F.Column:
     return F.pmod(k * F.lit(HASH_MUL), F.lit(HASH_MOD))
 
 
-def sample_rows(df: DataFrame, key: str, max_rows: int = 3000, seed: int = 42,
+def sample_rows(df: DataFrame, key: str, fraction: float, seed: int = 42,
                 dropna: Sequence[str] | None = None) -> DataFrame:
-    """About ``max_rows`` rows: fraction ``min(1, max_rows / n)``, n counted before null-dropping.
+    """About ``fraction`` of the rows, chosen by a hash of ``key``: the same rows however the input is partitioned.
 
-    The row count is a scalar subquery (one aggregate, no join); the keep/drop
-    decision is a hash of ``key``, so the sample does not depend on how the
-    input is partitioned.
+    Whether a row is in the sample does not depend on the other rows; rows
+    null in a ``dropna`` column are left out of it.
     """
-    n = df.agg(F.count(F.lit(1))).scalar()
-    frac = F.least(F.lit(1.0), F.lit(float(max_rows)) / F.greatest(n, F.lit(1)))
     d = df.na.drop(subset=list(dropna)) if dropna else df
-    return d.filter(key_hash(df, key, seed) < frac * F.lit(HASH_MOD))
+    return d.filter(key_hash(df, key, seed) < F.lit(fraction * HASH_MOD))
 
 
 def split_train_test(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -309,13 +329,22 @@ def split_train_test(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42
     return df.filter(train_cond), df.filter(~train_cond)
 
 
-def scatter_by_decade(df: DataFrame, x: str = "GDP_dollar", y: str = "USD_raw", year: str = "year",
-                      key: str = "obs_id", name: str = "name", max_rows: int = 3000, seed: int = 42) -> DataFrame:
+def scatter_by_decade(df: DataFrame, fraction: float, x: str = "GDP_dollar", y: str = "USD_raw", year: str = "year",
+                      key: str = "obs_id", name: str = "name", seed: int = 42) -> DataFrame:
+    """A repeatable sample of the points with their decade, for drawing; ``scatter_cells`` counts all of them."""
     cols = existing(df, [x, y, year, name, key])
-    s = sample_rows(df.select(*cols), key, max_rows, seed, dropna=[c for c in cols if c != key])
+    s = sample_rows(df.select(*cols), key, fraction, seed, dropna=[c for c in cols if c != key])
     return s.withColumn("decade", decade_label(year))
 
 
+def scatter_cells(df: DataFrame, x_width: float, y_width: float, x: str = "GDP_dollar", y: str = "USD_raw",
+                  year: str = "year") -> DataFrame:
+    """(decade, x_cell, y_cell, n): every point counted in the cell of the plane that it is in; one aggregate."""
+    d = df.na.drop(subset=[x, y, year])
+    return d.groupBy(decade_label(year).alias("decade"), F.floor(F.col(x) / F.lit(x_width)).alias("x_cell"),
+                     F.floor(F.col(y) / F.lit(y_width)).alias("y_cell")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def scatter_snapshot(df: DataFrame, year: int | None = None, x: str = "GDP_dollar", y: str = "USD_raw",
                      year_col: str = "year", color: str = "region", size: str = "dollar_price",
                      name: str = "name") -> tuple[DataFrame, DataFrame]:

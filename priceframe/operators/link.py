@@ -182,19 +182,21 @@ def link_names(names: DataFrame, dictionary: DataFrame, aliases: DataFrame | Non
     Output: one row per distinct query name — (name, code, tier, score); code
     and tier are null for unresolved names.  Tiers are disjoint by construction.
     """
-    q = names.select(F.col(name).alias("name")).filter(F.col("name").isNotNull()).distinct()
-    exact = link_exact(q, dictionary, "name", dict_name, dict_code)
+    # The names, the dictionary and each tier are written once: what follows reads those files,
+    # not the frames they came from.
+    q = materialize(names.select(F.col(name).alias("name")).filter(F.col("name").isNotNull()).distinct(), "link-names")
+    known = materialize(dictionary_keys(dictionary, dict_name, dict_code), "link-dictionary")
+    exact = materialize(link_exact(q, known, "name", "key", "code"), "link-exact")
     rest = q.join(exact.select("name"), on="name", how="left_anti")
     parts = [exact]
     if aliases is not None:
-        al = link_alias(rest, aliases, dictionary, "name", dict_name=dict_name, dict_code=dict_code)
+        al = materialize(link_alias(rest, aliases, known, "name", dict_name="key", dict_code="code"), "link-alias")
         parts.append(al)
         rest = rest.join(al.select("name"), on="name", how="left_anti")
-    # What is still unresolved is a list of distinct names: written once, it is
-    # not recomputed by the fuzzy tier, and an empty list skips that tier.
+    # An empty list of unresolved names skips the fuzzy tier.
     rest = materialize(rest, "link-unresolved")
     if not rest.isEmpty():
-        parts.append(link_fuzzy(rest, dictionary, cutoff, method, "name", dict_name, dict_code))
+        parts.append(link_fuzzy(rest, known, cutoff, method, "name", "key", "code"))
     resolved = parts[0]
     for p in parts[1:]:
         resolved = resolved.unionByName(p)
@@ -213,7 +215,7 @@ def apply_link(df: DataFrame, links: DataFrame, name: str, code_out: str = "code
                max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Attach the linked code; rows whose name did not resolve are dropped (inner join).
 
-    The link table (one row per distinct name) is counted and broadcast under
+    The link table (one row per distinct name) is written and broadcast up to
     ``max_broadcast_bytes``, so the rows are not shuffled by a possibly hot name.
     """
     lk = links.filter(F.col("code").isNotNull()).select(F.col("name").alias(name), F.col("code").alias(code_out))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import bin_ordinal, pct_round
 from ..schemas import GDP_BIN_LABELS, NO_DATA_LABEL
+from ._util import materialize
 from .clean import existing
 
 
@@ -42,7 +43,11 @@ def facet_filter(df: DataFrame, years: tuple[int, int] | None = None, regions: S
 def facet_options(df: DataFrame, year_col: str = "year", region_col: str = "region",
                   bin_col: str = "gdp_level", bin_labels: Sequence[str] = GDP_BIN_LABELS,
                   null_label: str = NO_DATA_LABEL) -> DataFrame:
-    """(facet, value, ordinal): sorted distinct years and regions; bin labels present, in bin order."""
+    """(facet, value, ordinal): sorted distinct years and regions; bin labels present, in bin order.
+
+    One aggregate over the rows: the combinations of the three that occur.
+    """
+    df = materialize(df.select(year_col, region_col, bin_col).distinct(), "facets")
     y = df.select(F.lit("year").alias("facet"), F.col(year_col).cast("string").alias("value"),
                   F.col(year_col).cast("int").alias("ordinal")).filter(F.col("value").isNotNull()).distinct()
     # distinct region labels (a bounded vocabulary) as one sorted set; position = ordinal
@@ -63,8 +68,10 @@ def filter_equals_fallback(df: DataFrame, choices: Sequence[tuple[str, str]]) ->
     raise ValueError("none of the choice columns exist: " + ", ".join(c for c, _ in choices))
 
 
-def ordered_series(df: DataFrame, order: str = "date", cols: Sequence[str] = ("year", "dollar_price", "date")) -> DataFrame:
-    return df.select(*existing(df, cols)).orderBy(order)
+def ordered_series(df: DataFrame, order: str = "date", cols: Sequence[str] = ("year", "dollar_price", "date"),
+                   ties: Sequence[str] = ()) -> DataFrame:
+    """``cols`` by ``order``; a unique column in ``ties`` makes the order total and lets the sort split one date."""
+    return df.select(*existing(df, cols)).orderBy(order, *ties)
 
 
 def filter_selected(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
@@ -85,9 +92,11 @@ def snapshot_at(df: DataFrame, year_col: str = "year", year: int | None = None)
 
 def latest_per_entity(df: DataFrame, code: str = "iso_a3", year: str = "year", min_rows: int = 10,
                       cols: Sequence[str] = ("iso_a3", "name", "USD_raw", "year"),
-                      tiebreak: Sequence[str] = ("name", "USD_raw"), index: str = "USD_raw") -> DataFrame:
-    """Rows of the latest year; if that year has fewer than ``min_rows`` rows, the latest row per code.
+                      tiebreak: Sequence[str] = ("name", "USD_raw"), index: str = "USD_raw",
+                      mode: str | None = None) -> DataFrame:
+    """``mode`` "year": the rows of the latest year; "per_key": the latest row per code.
 
+    Without a mode: the first, or if that year has fewer than ``min_rows`` rows the second.
     Both branches are plans; the choice rides on a scalar subquery (latest
     year and its row count), so nothing reaches the driver.
     The per-code branch is a ``max_by`` aggregate (partial, skew-safe), not a
@@ -99,10 +108,13 @@ def latest_per_entity(df: DataFrame, code: str = "iso_a3", year: str = "year", m
     # global one over at most one row per calendar year)
     latest = (base.groupBy(year).agg(F.count(F.lit(1)).alias("__n"))
               .agg(F.struct(F.max(year).alias("y"), F.max_by("__n", year).alias("n")).alias("s")).scalar())
-    in_latest = base.filter((F.col(year) == latest["y"]) & (latest["n"] >= min_rows))
+    if mode not in (None, "year", "per_key"):
+        raise ValueError("mode must be 'year', 'per_key' or None")
+    whole_year = latest["n"] >= min_rows if mode is None else F.lit(mode == "year")
+    in_latest = base.filter((F.col(year) == latest["y"]) & whole_year)
     order_key = F.struct(*[F.col(c) for c in [year, *[t for t in tiebreak if t in cols]]])
     per_code = (base.groupBy(code).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order_key).alias("__r"))
                 .select("__r.*"))
-    fallback = per_code.filter(latest["n"] < min_rows)
+    fallback = per_code.filter(~whole_year)
     out = in_latest.unionByName(fallback)
     return out.withColumn(f"{index}_pct", pct_round(index, 1)) if index in cols else out

@@ -247,17 +247,47 @@ def q_bin_label(spark, sf):
     return d.groupBy("gdp_level").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("map_with_default", W("""
+@query("region_map", W("""
 SELECT coalesce(r.r_name, 'Other') AS region, count(*) AS n
 FROM facts f LEFT JOIN nation n ON f.iso_a3 = CAST(n.n_nationkey AS VARCHAR)
 LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 WHERE NOT coalesce(f.name IN ('UAE', 'Britain'), false) GROUP BY 1"""))
-def q_map_with_default(spark, sf):
+def q_region_map(spark, sf):
     return J.dashboard_frame(spark, sf).groupBy("region").agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES["exclude_values"] = q_map_with_default
-ORACLE["exclude_values"] = ORACLE["map_with_default"]
+@query("map_with_default", W("""
+SELECT f.iso_a3, coalesce(r.r_name, 'Unmapped') AS region, count(*) AS n
+FROM facts f LEFT JOIN nation n ON f.iso_a3 = CAST(n.n_nationkey AS VARCHAR)
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey AND r.r_name <> 'ASIA' GROUP BY 1, 2"""))
+def q_map_with_default(spark, sf):
+    """A mapping that lacks the codes of one region: their rows get the default."""
+    known = J.region_map(spark, sf).where(F.col("region") != "ASIA")
+    d = clean.map_with_default(B.facts_snapshot(spark, sf), "iso_a3", known, "code", "region", "region", "Unmapped")
+    return d.groupBy("iso_a3", "region").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("exclude_values", W("""
+SELECT name, count(*) AS n FROM facts WHERE NOT coalesce(name IN ('NATION_3', 'NATION_7'), false) GROUP BY name"""))
+def q_exclude_values(spark, sf):
+    d = clean.exclude_values(B.facts_snapshot(spark, sf), "name", ["NATION_3", "NATION_7"])
+    return d.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("clamp_min", W("""
+SELECT obs_id, round(CASE WHEN GDP_dollar < 5000.0 THEN 5000.0 ELSE GDP_dollar END, 2) AS GDP_dollar
+FROM facts WHERE GDP_dollar IS NOT NULL"""))
+def q_clamp_min(spark, sf):
+    d = B.facts_snapshot(spark, sf).where("GDP_dollar is not null")
+    return norm(d.select("obs_id", C.clamp_min("GDP_dollar", 5000.0).alias("GDP_dollar")), PRICE)
+
+
+@query("cast_numeric", W("""
+SELECT obs_id, round(CASE WHEN obs_id % 10 <> 0 THEN dollar_price END, 2) AS dollar_price FROM facts"""))
+def q_cast_numeric(spark, sf):
+    """Prices as text, one in ten of them no number."""
+    text = F.when(F.col("obs_id") % 10 != 0, F.col("dollar_price").cast("string")).otherwise("n/a")
+    return norm(clean.cast_numeric(B.facts_snapshot(spark, sf).select("obs_id", text.alias("dollar_price"))), PRICE)
 
 
 @query("valuation_class", W("""
@@ -333,14 +363,19 @@ def q_facet_options(spark, sf):
 
 @query("filter_equals_fallback", W("""
 SELECT year, round(dollar_price, 2) AS dollar_price, strftime(date, '%Y-%m-%d') AS date, obs_id
-FROM facts WHERE iso_a3 = '7'"""))
+FROM facts WHERE name = 'NATION_7'"""))
 def q_filter_equals_fallback(spark, sf):
-    d = select.filter_equals_fallback(B.facts_snapshot(spark, sf), [("iso_a3", "7"), ("currency_code", "CUR7")])
-    return norm(select.ordered_series(d, "date", ["year", "dollar_price", "date", "obs_id"]), PRICE)
+    """The first choice names a column the facts lack, so the second decides."""
+    d = select.filter_equals_fallback(B.facts_snapshot(spark, sf), [("country", "7"), ("name", "NATION_7")])
+    return norm(d.select("year", "dollar_price", "date", "obs_id"), PRICE)
 
 
-QUERIES["ordered_series"] = q_filter_equals_fallback
-ORACLE["ordered_series"] = ORACLE["filter_equals_fallback"]
+@query("ordered_series", W("""
+SELECT year, round(dollar_price, 2) AS dollar_price, strftime(date, '%Y-%m-%d') AS date, obs_id
+FROM facts WHERE iso_a3 = '7'"""))
+def q_ordered_series(spark, sf):
+    d = select.filter_equals_fallback(B.facts_snapshot(spark, sf), [("iso_a3", "7"), ("name", "NATION_7")])
+    return norm(select.ordered_series(d, "date", ["year", "dollar_price", "date", "obs_id"], ["obs_id"]), PRICE)
 
 
 SELECTED_NATIONS = tuple(f"NATION_{i}" for i in range(1, 25) if i % 5)  # 20 of 25: more than any short list
@@ -517,6 +552,16 @@ def q_latest_per_entity(spark, sf):
     return norm(select.latest_per_entity(B.facts_snapshot(spark, sf)), {"USD_raw": 9, "USD_raw_pct": 1})
 
 
+@query("latest_per_key", W("""
+, lb AS (SELECT iso_a3, name, USD_raw, year FROM facts
+           WHERE iso_a3 IS NOT NULL AND name IS NOT NULL AND USD_raw IS NOT NULL AND NOT isnan(USD_raw) AND year IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY iso_a3 ORDER BY year DESC, name DESC, USD_raw DESC) AS rn FROM lb)
+SELECT iso_a3, name, round(USD_raw, 9) AS USD_raw, year, (0.0 + ROUND(USD_raw * 100, 1)) AS USD_raw_pct FROM r WHERE rn = 1"""))
+def q_latest_per_key(spark, sf):
+    d = select.latest_per_entity(B.facts_snapshot(spark, sf), mode="per_key")
+    return norm(d, {"USD_raw": 9, "USD_raw_pct": 1})
+
+
 @query("top_bottom", W(DASH_SQL + """
 , m AS (SELECT name, avg(USD_raw) AS USD_raw FROM d WHERE name IS NOT NULL GROUP BY name HAVING avg(USD_raw) IS NOT NULL),
 lo AS (SELECT *, 'bottom' AS half FROM m ORDER BY USD_raw ASC, name LIMIT 10),
@@ -656,27 +701,35 @@ def q_box_outliers(spark, sf):
 HASH = "(((((({key} + 42) % 2147483647) * 48271) % 2147483647) * 48271) % 2147483647)"
 
 
+SAMPLE_FRACTION = 0.05
+
+
 @query("sample_rows", W("""
-, n AS (SELECT count(*) AS n FROM facts)
 SELECT obs_id, round(GDP_dollar, 2) AS GDP_dollar, round(dollar_price, 2) AS dollar_price
-FROM facts, n WHERE GDP_dollar IS NOT NULL AND """ + HASH.format(key="obs_id") +
-                                  " < least(1.0, CAST(3000 AS DOUBLE) / greatest(n.n, 1)) * 2147483647"))
+FROM facts WHERE GDP_dollar IS NOT NULL AND """ + HASH.format(key="obs_id") + f" < {SAMPLE_FRACTION} * 2147483647"))
 def q_sample_rows(spark, sf):
     d = B.facts_snapshot(spark, sf).select("obs_id", "GDP_dollar", "dollar_price")
-    return norm(D.sample_rows(d, "obs_id", 3000, 42, dropna=["GDP_dollar", "dollar_price"]), PRICE)
+    return norm(D.sample_rows(d, "obs_id", SAMPLE_FRACTION, 42, dropna=["GDP_dollar", "dollar_price"]), PRICE)
 
 
 @query("scatter_by_decade", W("""
-, n AS (SELECT count(*) AS n FROM facts)
 SELECT obs_id, name, year, round(GDP_dollar, 2) AS GDP_dollar, round(USD_raw, 9) AS USD_raw,
        CAST(floor(year / 10) * 10 AS INTEGER) || 's' AS decade
-FROM facts, n WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL AND name IS NOT NULL AND """
-                                        + HASH.format(key="obs_id") + " < least(1.0, CAST(3000 AS DOUBLE) / greatest(n.n, 1)) * 2147483647"))
+FROM facts WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL AND name IS NOT NULL AND """
+                                        + HASH.format(key="obs_id") + f" < {SAMPLE_FRACTION} * 2147483647"))
 def q_scatter_by_decade(spark, sf):
-    s = D.scatter_by_decade(B.facts_snapshot(spark, sf))
+    s = D.scatter_by_decade(B.facts_snapshot(spark, sf), SAMPLE_FRACTION)
     return norm(s, {"GDP_dollar": 2, "USD_raw": 9})
 
 
+@query("scatter_cells", W("""
+SELECT CAST(floor(year / 10) * 10 AS INTEGER) || 's' AS decade, CAST(floor(GDP_dollar / 500.0) AS BIGINT) AS x_cell,
+       CAST(floor(dollar_price / 10000.0) AS BIGINT) AS y_cell, count(*) AS n
+FROM facts WHERE GDP_dollar IS NOT NULL AND dollar_price IS NOT NULL GROUP BY 1, 2, 3"""))
+def q_scatter_cells(spark, sf):
+    return D.scatter_cells(B.facts_snapshot(spark, sf), 500.0, 10000.0, y="dollar_price")
+
+
 @query("scatter_snapshot", W(DASH_SQL + """
 , s AS (SELECT * FROM d WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL),
 y AS (SELECT * FROM s WHERE year = (SELECT max(year) FROM s))
@@ -975,10 +1028,8 @@ def q_enrich_stream(spark, sf):
 
 
 # Ids whose operator runs inside another registered query get that query as their key.
-for _alias, _target in [("normalize_names", "scan_facts"), ("cast_numeric", "drop_incomplete"),
-                        ("parse_date_year", "scan_facts"), ("clamp_min", "trend_extrapolate"),
-                        ("project_existing", "preview"), ("sink_csv", "scan_multipart"),
-                        ("region_map", "map_with_default")]:
+for _alias, _target in [("normalize_names", "scan_facts"), ("parse_date_year", "scan_facts"),
+                        ("project_existing", "preview"), ("sink_csv", "scan_multipart")]:
     QUERIES[_alias] = QUERIES[_target]
     if _target in ORACLE:
         ORACLE[_alias] = ORACLE[_target]

@@ -179,8 +179,8 @@ def test_corr_pairwise_vs_listwise(spark):
 
 def test_sample_and_split_are_partition_independent(spark):
     df = spark.range(0, 20000).withColumnRenamed("id", "k")
-    a = set(r[0] for r in D.sample_rows(df, "k", 3000).collect())
-    b = set(r[0] for r in D.sample_rows(df.repartition(7), "k", 3000).collect())
+    a = set(r[0] for r in D.sample_rows(df, "k", 0.15).collect())
+    b = set(r[0] for r in D.sample_rows(df.repartition(7), "k", 0.15).collect())
     assert a == b and 2500 < len(a) < 3500
     tr, te = D.split_train_test(df, "k", 0.8)
     n_tr, n_te = tr.count(), te.count()
@@ -210,6 +210,34 @@ def test_latest_year_nine_versus_ten_rows(spark):
     assert select.latest_per_entity(frame(10)).count() == 10                 # the latest year's rows
     out = select.latest_per_entity(frame(9)).collect()                       # latest row per code
     assert len(out) == 12 and sum(1 for r in out if r["year"] == 2001) == 9
+    assert select.latest_per_entity(frame(9), mode="year").count() == 9
+    assert select.latest_per_entity(frame(10), mode="per_key").count() == 12
+
+
+def test_exact_quantiles_with_infinities_and_heavy_tails(spark):
+    rng = np.random.default_rng(4)
+    tails = 10.0 ** rng.uniform(-300, 300, 400) * rng.choice([-1, 1], 400)
+    groups = {"inf": np.concatenate([rng.normal(0, 1, 200), [np.inf] * 30, [-np.inf] * 30]), "tails": tails,
+              "zero": np.concatenate([np.zeros(100), [5e-324, -5e-324, 1.0]]), "ends": np.array([-np.inf] * 50 + [np.inf] * 50),
+              "top": np.array([1.7976931348623157e308] * 40 + [np.inf] * 21)}
+    df = spark.createDataFrame([(g, float(v)) for g, x in groups.items() for v in x], "g string, v double")
+    probs = [0.0, 0.05, 0.3, 0.75, 1.0]
+    got = {r["g"]: r for r in D.exact_quantiles(df, "v", probs, "g", buckets=16, small=5).collect()}
+    for g, x in groups.items():
+        x = np.sort(x)
+        for i, p in enumerate(probs):
+            r = (len(x) - 1) * p
+            lo, hi = x[int(np.floor(r))], x[int(np.ceil(r))]
+            want = lo if lo == hi else lo + (r - np.floor(r)) * (hi - lo)
+            have = got[g][f"q{i}"]
+            assert have == want or abs(have - want) <= 1e-9 * abs(want), (g, p, have, want)
+
+
+def test_scatter_cells_count_every_point(spark):
+    df = spark.createDataFrame([(1999, 1.0, 1.0), (1999, 9.9, 0.5), (2001, -1.0, 25.0), (2001, None, 1.0)],
+                               "year int, x double, y double")
+    got = {tuple(r) for r in D.scatter_cells(df, 10.0, 10.0, "x", "y").collect()}
+    assert got == {("1990s", 0, 0, 2), ("2000s", -1, 2, 1)}
 
 
 def test_trend_keys_without_points_and_same_year_rows(spark):

@@ -50,7 +50,7 @@ def test_every_query_has_oracle_or_is_declared_rows_only():
     from priceframe.plans import catalog
 
     rows_only = set(catalog.queries()) - set(catalog.oracle_sql())
-    assert rows_only == {"fit_price_model", "model_coefficients", "predict", "link_fuzzy_ratio", "box_stats_approx"}
+    assert rows_only == {"link_fuzzy_ratio", "box_stats_approx"}
 
 
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
@@ -62,7 +62,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_model_queries_run(spark):
-    pred = E.queries()["fit_price_model"](spark, SF_SMALL)
+    pred = E.queries()["predict"](spark, SF_SMALL)
     assert {"prediction", "dollar_price"} <= set(pred.columns)
     coef = E.queries()["model_coefficients"](spark, SF_SMALL).collect()
     assert [r["term"] for r in coef] == ["intercept", "GDP_dollar", "dollar_ex", "year"]

@@ -37,7 +37,7 @@ def test_hot_key_selections_use_aggregates_not_windows(spark):
 def test_one_row_statistics_are_scalar_subqueries(spark):
     li = B.table(spark, SF_SMALL, "lineitem")
     f = B.facts_snapshot(spark, SF_SMALL)
-    for df in (D.histogram(li, "l_extendedprice"), D.sample_rows(li, "l_orderkey", 100),
+    for df in (D.histogram(li, "l_extendedprice"),
                D.kde_curve(li, "l_extendedprice"), select.latest_per_entity(f), select.snapshot_at(f)):
         p = _plan(df)
         assert "Subquery" in p
@@ -58,6 +58,11 @@ def test_no_cross_joins_anywhere_in_the_catalog_plans(spark):
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
 
 
+def test_names_are_linked_from_written_tiers(spark):
+    p = _plan(J.linked_names(spark, SF_SMALL))
+    assert "part.parquet" not in p and "p_name" not in p   # names, dictionary and tiers are read from their files
+
+
 def test_orders_are_joined_once_for_the_raw_facts(spark):
     p = B.raw_facts(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "o_custkey" not in p and "c_custkey" not in p   # both reads of the index are of the written panel
