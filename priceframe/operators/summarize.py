@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import fmt_pct, fmt_usd, hover_text, pct_round, round_scaled, valuation_class
+from ._util import broadcast_if_small
 from .clean import existing
 
 
@@ -59,10 +60,11 @@ def bucket_counts(df: DataFrame, value: str = "dollar_price", width: float = 1.0
 
 
 def support_count(df: DataFrame, entity: str = "name", value: str | None = None,
-                  out: str = "cnt") -> DataFrame:
-    """Non-null ``value`` count per entity, or the row count when ``value`` is None."""
+                  out: str = "cnt", rows: str | None = None) -> DataFrame:
+    """Non-null ``value`` count per entity, or the row count when ``value`` is None; ``rows`` names a row count beside it."""
     c = F.count(value) if value else F.count(F.lit(1))
-    return df.groupBy(entity).agg(c.alias(out))
+    more = [F.count(F.lit(1)).alias(rows)] if rows else []
+    return df.groupBy(entity).agg(c.alias(out), *more)
 
 
 def top_k_support(df: DataFrame, entity: str = "name", k: int = 10, value: str | None = None,
@@ -72,8 +74,8 @@ def top_k_support(df: DataFrame, entity: str = "name", k: int = 10, value: str |
 
 
 def restrict_to_top(df: DataFrame, top: DataFrame, entity: str = "name") -> DataFrame:
-    """Rows whose entity is in ``top`` (a k-row frame, broadcast: its size is k)."""
-    return df.join(F.broadcast(top.select(entity)), on=entity, how="left_semi")
+    """Rows whose entity is in ``top``, which is broadcast if its written size allows."""
+    return df.join(broadcast_if_small(top.select(entity)), on=entity, how="left_semi")
 
 
 def map_frame(df: DataFrame, year: str = "year", code: str = "iso_a3", name: str = "name",

@@ -466,8 +466,7 @@ def q_index_by_entity(spark, sf):
 
 @query("support_count", W("SELECT name, count(dollar_price) AS cnt, count(*) AS n_rows FROM facts GROUP BY name"))
 def q_support_count(spark, sf):
-    d = B.facts_snapshot(spark, sf)
-    return S.support_count(d, "name", "dollar_price").join(S.support_count(d, "name", None, "n_rows"), "name")
+    return S.support_count(B.facts_snapshot(spark, sf), "name", "dollar_price", rows="n_rows")
 
 
 @query("top_k_support", W("""
