@@ -89,22 +89,31 @@ def train(rows: DataFrame, bits: int = BITS, epochs: int = EPOCHS, shard_rows: i
     rows = materialize(rows, "toxic-sample")
     shards = rows_per_task(rows.count(), shard_rows)
 
-    def run(batches):
-        model, held = Ftrl(bits, alpha, beta, l1, l2), []
-        for pdf in batches:
-            for text, label in zip(pdf["text"], pdf["label"], strict=True):
-                held.append((np.append(np.unique(features(text, bits)), 1 << bits).astype(np.int32), int(label)))
+    def fit(held):
+        model = Ftrl(bits, alpha, beta, l1, l2)
         for _ in range(epochs):
             for at, y in held:
                 model.learn(at, y)
+        at, w = model.nonzero()
+        return pd.DataFrame({"at": at.astype("int64"), "w": w.astype("float64")})
+
+    def run(batches):  # a partition may hold several shards, one after the other: a model each
+        held, open_ = [], None
+        for pdf in batches:
+            for shard, text, label in zip(pdf["shard"], pdf["text"], pdf["label"], strict=True):
+                if held and shard != open_:
+                    yield fit(held)
+                    held = []
+                open_ = shard
+                held.append((np.append(np.unique(features(text, bits)), 1 << bits).astype(np.int32), int(label)))
         if held:
-            at, w = model.nonzero()
-            yield pd.DataFrame({"at": at.astype("int64"), "w": w.astype("float64")})
+            yield fit(held)
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(SEED), "key"), F.lit(shards))) \
-        .repartition(shards, "shard").sortWithinPartitions(F.xxhash64(F.lit(SEED + 1), "key"))
+        .repartition(shards, "shard").sortWithinPartitions("shard", F.xxhash64(F.lit(SEED + 1), "key"))
+    # As many models are fitted as there are shards with rows.
     busy = max(1, rows.select(F.pmod(F.xxhash64(F.lit(SEED), "key"), F.lit(shards)).alias("s")).distinct().count())
-    mean = (dealt.select("text", "label").mapInPandas(run, "at long, w double")
+    mean = (dealt.select("shard", "text", "label").mapInPandas(run, "at long, w double")
             .groupBy("at").agg((F.sum("w") / busy).alias("w")).where("abs(w) > 1e-4"))
     got = mean.orderBy("at").toPandas()
     return got["at"].to_numpy(dtype=np.int64), got["w"].to_numpy(dtype=np.float64)

@@ -143,6 +143,31 @@ def test_toxicity_finds_held_out_toxic_texts(spark):
     assert again == {r["doc_id"]: r["score"] for r in got}
 
 
+@pytest.mark.parametrize("shards", [1, 2, 3, 4])
+def test_toxicity_weights_are_the_mean_of_one_model_per_shard(spark, shards):
+    rng = random.Random(shards)
+    rows = [(str(i), " ".join(["idiot"] * (i % 3 == 0) + [f"w{rng.randrange(50)}" for _ in range(12)]), int(i % 3 == 0))
+            for i in range(240)]
+    d = spark.createDataFrame(rows, "key string, text string, label int")
+    by = defaultdict(list)
+    for r in d.withColumn("s", F.pmod(F.xxhash64(F.lit(toxicity.SEED), "key"), F.lit(shards))) \
+            .orderBy(F.xxhash64(F.lit(toxicity.SEED + 1), "key")).collect():
+        by[r["s"]].append((np.append(np.unique(toxicity.features(r["text"], 14)), 1 << 14), r["label"]))
+    assert len(by) == shards
+    want = np.zeros((1 << 14) + 1)
+    for held in by.values():
+        model = toxicity.Ftrl(14, 3.0, 1.0, 1.0, 0.0)
+        for _ in range(3):
+            for at, y in held:
+                model.learn(at, y)
+        at, w = model.nonzero()
+        want[at] += w / shards
+    at, w = toxicity.train(d, bits=14, epochs=3, shard_rows=-(-240 // shards), l1=1.0)
+    got = np.zeros_like(want)
+    got[at] = w
+    assert np.abs(want).max() > 0.5 and np.abs(got - want).max() < 2e-4
+
+
 def test_toxicity_edge_cases(spark, edge, empty):
     labels = spark.createDataFrame([(1, 1, 1), (1, 1, 0), (7, None, 0), (None, 1, 1), (5, 1, None), (99, 0, 1)],
                                    "doc_id long, quality int, toxic int")
