@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import bucket_of, components, materialize, member_sketch, pick, table
 
-EDITS = 1          #: edit distance up to which lines link
+EDITS = 2          #: edit distance up to which lines link: two typos, a changed two-digit number or date
 MIN_CHARS = 16     #: code points below which only equal lines link
 #: Letters whose counts bound the edit distance from below before texts are fetched.
 COUNTED = "etanor"

@@ -294,6 +294,16 @@ def test_bit_parallel_distance(spark, edits):
     assert all(r["w"] == (edit_distance(r["a"], r["b"]) <= edits) for r in got)
 
 
+def test_line_dedup_links_two_edits_by_default(spark):
+    rows = [(1, "the quick brown fox jumps over it\nopened on day 17 of the month"),
+            (2, "the quikc brown fox jumps over it\nopened on day 28 of the month"),    # two swapped letters, two digits
+            (3, "the quick brown foxes jump over it\nopened on day 28 of each month"),  # three edits from any other
+            (4, "a short line 17\na short line 28")]                                   # below MIN_CHARS
+    out = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = slow_line_dedup(rows, 2, line_dedup.MIN_CHARS)
+    assert {r["doc_id"]: r["dropped"] for r in out} == want == {1: [], 2: [0, 1], 3: [], 4: []}
+
+
 def test_line_dedup_edge_cases(edge, empty):
     out = line_dedup.line_dedup(edge)
     assert out.columns == [*edge.columns, "dropped"]
