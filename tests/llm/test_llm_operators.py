@@ -201,6 +201,40 @@ def test_fingerprint_query_follows_its_contract(spark, texts):
     assert sum(r["near_edited"] > r["near_next"] for r in long) >= 0.98 * len(long)
 
 
+def test_fingerprint_search_finds_edited_copies(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(2000)]
+    rows = []
+    for i, size in enumerate((100, 300, 1000, 3000)):
+        text = rng.choices(words, [1 / (k + 1) for k in range(len(words))], k=size)
+        rows.append((100 * i, " ".join(text)))
+        for copy in range(1, 6):  # 1 % of the words replaced
+            other = list(text)
+            for at in rng.sample(range(size), size // 100):
+                other[at] = rng.choice(words)
+            rows.append((100 * i + copy, " ".join(other)))
+    fps = {d: fingerprints.fingerprint(t).hex() for d, t in rows}
+    df = spark.createDataFrame([(x,) for x in set(fps.values())], "fp string")
+    got = [(r["q"], r["fp"]) for r in fingerprints.search(df.select(F.col("fp").alias("q")), df).collect()]
+    assert len(got) == len(set(got))
+    for d, fp in fps.items():  # the original of each copy, and no unrelated text
+        assert {x for x, y in fps.items() if (fp, y) in got} <= {x for x in fps if x // 100 == d // 100}
+        assert (fps[d - d % 100], fp) in got
+
+
+@pytest.mark.parametrize("radius", [0, 2, 6, 18])
+def test_fingerprint_search_equals_brute_force(spark, radius):
+    rng = random.Random(radius)
+    fps = {0, (1 << 128) - 1}
+    for centre in [rng.getrandbits(128) for _ in range(6)]:
+        for _ in range(25):
+            fps.add(centre ^ sum(1 << b for b in rng.sample(range(128), rng.randrange(0, radius + 4))))
+    df = spark.createDataFrame([(f"{x:032x}",) for x in fps], "fp string")
+    got = [(int(r["q"], 16), int(r["fp"], 16))
+           for r in fingerprints.search(df.select(F.col("fp").alias("q")), df, radius).collect()]
+    assert sorted(got) == sorted((a, b) for a in fps for b in fps if (a ^ b).bit_count() <= radius)
+
+
 def test_fingerprint_edge_cases(spark, edge, empty):
     got = fingerprints.edited_fingerprints(edge).collect()
     assert len(got) == len(EDGE)
