@@ -10,9 +10,10 @@ url being a block example if its segmented host has a seed word.  Host words are
 counted over distinct hosts so that a host with a third of all pages is one
 example; paths are counted per page.
 
-Scale: counts are partial aggregates.  What is broadcast is bounded: the
-lexicon keeps ``LEXICON`` of the most frequent words at most, naive Bayes hashes words into
-``BUCKETS`` slots.  Judging is a map over the scan without a shuffle.
+Scale: counts are partial aggregates.  The lexicon is whole: each distinct host
+part is joined with the words among its substrings and cut once.  Naive Bayes
+hashes words into ``BUCKETS`` slots.  Judging joins the hosts' words to the scan,
+broadcast where their files are small.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators._util import broadcast_if_small
 from .common import materialize, pick, table
 
 #: (host, path, verdict)
@@ -36,7 +38,7 @@ RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.
 SEEDS = ("ads", "adult", "bet", "bets", "betting", "casino", "cheap", "clickbait", "escort", "gamble", "gambling",
          "jackpot", "loan", "loans", "malware", "payday", "phishing", "pill", "pills", "poker", "porn", "scam", "sex",
          "slots", "spam", "track", "tracker", "tracking", "viagra", "warez", "xxx")
-LEXICON = 1 << 16       #: words of the unigram lexicon that are broadcast
+LEXICON = 1 << 16       #: words that ``lexicon`` returns at most; the query uses all words
 BUCKETS = 1 << 18       #: slots of the naive Bayes counts
 LONGEST = 24            #: letters of the longest word a segment can be
 SMOOTH = 0.1            #: added to each count of naive Bayes
@@ -113,6 +115,16 @@ def slot(word: str) -> int:
     return xxhash.xxh64_intdigest(word, SEED) % BUCKETS
 
 
+def word_counts(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``(w, n)`` of all words of all pages' texts and host parts, a host part once per distinct host."""
+    text = F.regexp_replace(F.coalesce(pick(html_col).cast("string"), F.lit("")), r"<[^>]*>", " ")
+    words = pages.select(F.explode(F.split(F.lower(text), r"[^a-z]+")).alias("w"))
+    hosts = pages.select(host_of(pick(url_col).cast("string")).alias("h")).distinct()
+    parts = hosts.select(F.explode(F.split("h", r"[^a-z]+")).alias("w"))
+    return (words.unionByName(parts).where((F.char_length("w") > 1) & (F.char_length("w") <= LONGEST))
+            .groupBy("w").agg(F.count("*").alias("n")))
+
+
 def lexicon(pages: DataFrame, url_col: str = "url", html_col: str = "html", size: int = LEXICON,
             seeds: tuple[str, ...] = SEEDS) -> dict[str, int]:
     """Counts of the most frequent words of all pages' texts and host parts; every seed is in it.
@@ -121,12 +133,7 @@ def lexicon(pages: DataFrame, url_col: str = "url", html_col: str = "html", size
     like counts (an eighth of a power of two wide), most frequent first, while all
     of a class still fit ``size``: no sort, and at most ``size`` words reach the driver.
     """
-    text = F.regexp_replace(F.coalesce(pick(html_col).cast("string"), F.lit("")), r"<[^>]*>", " ")
-    words = pages.select(F.explode(F.split(F.lower(text), r"[^a-z]+")).alias("w"))
-    hosts = pages.select(host_of(pick(url_col).cast("string")).alias("h")).distinct()
-    parts = hosts.select(F.explode(F.split("h", r"[^a-z]+")).alias("w"))
-    counts = (words.unionByName(parts).where((F.char_length("w") > 1) & (F.char_length("w") <= LONGEST))
-              .groupBy("w").agg(F.count("*").alias("n")).withColumn("k", F.floor(F.log2("n") * 8)))
+    counts = word_counts(pages, url_col, html_col).withColumn("k", F.floor(F.log2("n") * 8))
     counts = materialize(counts, "lexicon")
     least, room = None, size
     for r in counts.groupBy("k").agg(F.count("*").alias("m")).orderBy(F.desc("k")).collect():  # 512 classes at most
@@ -139,23 +146,63 @@ def lexicon(pages: DataFrame, url_col: str = "url", html_col: str = "html", size
     return got | {s: max(typical, got.get(s, 0)) for s in seeds}
 
 
-def train(pages: DataFrame, segment: Segmenter, url_col: str = "url", seeds: tuple[str, ...] = SEEDS,
+def host_segments(pages: DataFrame, url_col: str = "url", html_col: str = "html",
+                  seeds: tuple[str, ...] = SEEDS) -> DataFrame:
+    """``(host, words)`` of every distinct host, cut by the counts of all words; every seed counts as a typical word at least.
+
+    Each distinct host part meets the words among its substrings, and only these, in a join.
+    """
+    spark = pages.sparkSession
+    counts = materialize(word_counts(pages, url_col, html_col), "lexicon")
+    size = counts.agg(F.count("*").alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    typical = max(1, size["n"] // max(1, size["words"]))
+    is_seed = F.col("w").isin(*seeds)
+    known = {r["w"]: r["n"] for r in counts.where(is_seed).collect()}
+    raised = {s: max(typical, known.get(s, 0)) for s in seeds}
+    total = (size["n"] - sum(known.values()) + sum(raised.values())) or 1
+    words = counts.where(~is_seed).unionByName(spark.createDataFrame(list(raised.items()), "w string, n long"))
+
+    hosts = materialize(pages.select(host_of(pick(url_col).cast("string")).alias("host")).distinct(), "url-hosts")
+    parts = hosts.select("host", F.posexplode(F.regexp_extract_all("host", F.lit("([a-z]+)"), F.lit(1))).alias("at", "part"))
+    names = materialize(parts.select("part").distinct(), "url-parts")
+    cuts = (names.where(F.char_length("part") > 1)
+            .select("part", F.explode(F.sequence(F.lit(1), F.char_length("part") - 1)).alias("start"))
+            .select("part", F.explode(F.transform(
+                F.sequence(F.lit(2), F.least(F.lit(LONGEST), F.char_length("part") - F.col("start") + 1)),
+                lambda z: F.substring(F.col("part"), F.col("start"), z))).alias("w")).distinct())
+    # The planner does not see how many substrings there are: never a broadcast.
+    found = cuts.hint("merge").join(words, "w").groupBy("part").agg(F.collect_list(F.struct("w", "n")).alias("k"))
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for part, ws, ns in zip(pdf["part"], pdf["ws"], pdf["ns"], strict=True):
+                own = {} if ws is None else {w: math.log(total / n) for w, n in zip(ws, ns, strict=True)}
+                out.append(list(Segmenter(own, math.log(total))._split(part)))
+            yield pd.DataFrame({"part": pdf["part"], "ws": out})
+
+    split = names.join(found, "part", "left").select("part", F.col("k.w").alias("ws"), F.col("k.n").alias("ns")) \
+        .mapInPandas(run, "part string, ws array<string>")
+    of = parts.join(broadcast_if_small(split), "part").groupBy("host").agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "ws"))), lambda x: x["ws"])).alias("words"))
+    return materialize(hosts.join(of, "host", "left").select("host", F.coalesce(
+        "words", F.array().cast("array<string>")).alias("words")), "url-segments")
+
+
+def train(pages: DataFrame, segments: DataFrame, url_col: str = "url", seeds: tuple[str, ...] = SEEDS,
           smooth: float = SMOOTH) -> tuple[np.ndarray, float]:
-    """(log-odds of block per kind and slot, log-odds of the classes), counted over all urls."""
+    """(log-odds of block per kind and slot, log-odds of the classes), counted over all urls; ``segments`` has the hosts' words."""
     marks = set(seeds)
     url = pick(url_col).cast("string")
-    shared = pages.sparkSession.sparkContext.broadcast((segment.cost, segment.unknown))
 
     def run(batches):
-        segment = Segmenter(*shared.value)
         for pdf in batches:
             sums: dict[tuple[int, int, int], int] = {}
 
             def add(kind, at, bad, n):
                 sums[kind, at, bad] = sums.get((kind, at, bad), 0) + n
 
-            for host, path, n in zip(pdf["host"], pdf["path"], pdf["n"], strict=True):
-                words = host_words(host, segment)
+            for words, path, n in zip(pdf["words"], pdf["path"], pdf["n"], strict=True):
                 bad = int(not marks.isdisjoint(words))
                 if path is None:  # a distinct host
                     add(HOST, -1, bad, 1)
@@ -167,9 +214,9 @@ def train(pages: DataFrame, segment: Segmenter, url_col: str = "url", seeds: tup
             yield pd.DataFrame([(*k, n) for k, n in sums.items()], columns=["kind", "slot", "bad", "n"])
 
     urls = pages.select(host_of(url).alias("host"), path_of(url).alias("path"))
-    paths = urls.groupBy("host", "path").agg(F.count("*").alias("n"))
-    hosts = urls.select("host").distinct().select("host", F.lit(None).cast("string").alias("path"),
-                                                  F.lit(1).cast("long").alias("n"))
+    paths = urls.groupBy("host", "path").agg(F.count("*").alias("n")).join(broadcast_if_small(segments), "host") \
+        .select("words", "path", "n")
+    hosts = segments.select("words", F.lit(None).cast("string").alias("path"), F.lit(1).cast("long").alias("n"))
     # At most 4 * BUCKETS + 2 rows come back.
     got = (paths.unionByName(hosts).mapInPandas(run, "kind int, slot long, bad int, n long")
            .groupBy("kind", "slot", "bad").agg(F.sum("n").alias("n")).collect())
@@ -198,23 +245,21 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     not read; a host of many names is segmented in time linear in its length.
     """
     spark = pages.sparkSession
-    segment = Segmenter.of_counts(lexicon(pages, url_col, html_col, seeds=seeds))
-    odds, prior = train(pages, segment, url_col, seeds)
-    shared = spark.sparkContext.broadcast((odds, prior, segment.cost, segment.unknown))
+    segments = host_segments(pages, url_col, html_col, seeds)
+    odds, prior = train(pages, segments, url_col, seeds)
+    shared = spark.sparkContext.broadcast((odds, prior))
 
     def run(batches):
-        odds, prior, cost, unknown = shared.value
-        seg = Segmenter(cost, unknown)
+        odds, prior = shared.value
         for pdf in batches:
-            words = [host_words(h, seg) for h in pdf["host"]]
-            pdf["words"] = words
             pdf["log_odds"] = [prior + float(sum(odds[HOST, slot(w)] for w in ws)
                                              + sum(odds[PATH, slot(w)] for w in path_words(p)))
-                               for ws, p in zip(words, pdf["path"], strict=True)]
+                               for ws, p in zip(pdf["words"], pdf["path"], strict=True)]
             yield pdf
 
     url = pick(url_col).cast("string")
     rows = pages.select(pick(id_col).cast("string").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    rows = rows.join(broadcast_if_small(segments), "host").select("page_id", "host", "path", "words")
     got = rows.mapInPandas(run, "page_id string, host string, path string, words array<string>, log_odds double")
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     kind = pages.schema[id_col].dataType

@@ -588,3 +588,23 @@ def test_lexicon_takes_whole_count_classes(spark):
     assert set(url_filter.lexicon(pages, size=4, seeds=())) == {"alpha", "beta"}
     assert url_filter.lexicon(pages, size=0, seeds=("spam",)) == {"spam": 1}
     assert url_filter.lexicon(pages.limit(0), seeds=()) == {}
+
+
+def test_hosts_are_cut_by_all_words_however_rare(spark):
+    rng = random.Random(6)
+    many = sorted({"".join(rng.choice("bcdfgh") for _ in range(9)) for _ in range(70_000)})
+    assert len(many) > url_filter.LEXICON
+    texts = [" ".join(many[i::20]) for i in range(20)] + ["zebra quokka the the the"]
+    urls = ["http://zebraquokka.the.org/x", "http://quokkacasino.org/", None, *["http://the.org/"] * 18]
+    pages = spark.createDataFrame([(i, u, f"<p>{t}</p>") for i, (u, t) in enumerate(zip(urls, texts, strict=True))],
+                                  "page_id long, url string, html string")
+    counts = Counter(w for t in texts for w in t.split())
+    for h in ("zebraquokka.the.org", "quokkacasino.org", "the.org"):
+        counts.update(h.split("."))
+    typical = sum(counts.values()) // len(counts)
+    seg = url_filter.Segmenter.of_counts(counts | {s: max(typical, counts[s]) for s in url_filter.SEEDS})
+    got = {r["host"]: tuple(r["words"]) for r in url_filter.host_segments(pages).collect()}
+    assert got == {h: tuple(url_filter.host_words(h, seg)) for h in ("zebraquokka.the.org", "quokkacasino.org", "the.org", "")}
+    judged = {r["page_id"]: (r["words"], r["verdict"]) for r in url_filter.judge(pages).collect()}
+    assert {i: tuple(w) for i, (w, _) in judged.items()} == {i: got[(u or "").partition("://")[2].partition("/")[0]]
+                                                             for i, u in enumerate(urls)}
