@@ -21,9 +21,14 @@ from priceframe.llm.common import materialize, pick, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that are not predicted toxic, columns unchanged; learnt from ``labels`` and these documents."""
-    model = toxicity.train(toxicity.labelled(docs, table(spark, sf_dir, "labels")))
-    return toxicity.keep_clean(docs, model)
+    """The documents that are not predicted toxic, columns unchanged; learnt from ``labels`` and these documents.
+
+    Without a toxic document to learn from nothing is known to be toxic: all stay.
+    """
+    rows = materialize(toxicity.labelled(docs, table(spark, sf_dir, "labels")), "toxic-rows")
+    if not rows.where("label = 1").head(1):
+        return docs
+    return toxicity.keep_clean(docs, toxicity.train(rows))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

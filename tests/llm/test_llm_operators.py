@@ -608,3 +608,14 @@ def test_hosts_are_cut_by_all_words_however_rare(spark):
     judged = {r["page_id"]: (r["words"], r["verdict"]) for r in url_filter.judge(pages).collect()}
     assert {i: tuple(w) for i, (w, _) in judged.items()} == {i: got[(u or "").partition("://")[2].partition("/")[0]]
                                                              for i, u in enumerate(urls)}
+
+
+def test_pipeline_keeps_documents_without_a_toxic_label(spark, edge, tmp_path):
+    import corpus_pipeline
+
+    schema = "doc_id long, quality int, toxic int"
+    held = next(i for i in range(1, 9) if zlib.crc32(str(i).encode()) % 4 == 2)
+    for i, labels in enumerate(([], [(1, 1, None), (None, 1, 1)], [(held, 1, 1)], [(d, 1, 0) for d in range(1, 9)])):
+        spark.createDataFrame(labels, schema).write.parquet(f"{tmp_path}/{i}/labels.parquet")
+        got = corpus_pipeline.drop_toxic(spark, edge, f"{tmp_path}/{i}")
+        assert got.columns == edge.columns and got.count() == len(EDGE)
