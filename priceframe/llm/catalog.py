@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (exact_dedup, fingerprints, line_dedup, mixing, packing, simhash_dedup, token_counts, token_files,
-               toxicity, url_filter)
+from . import (exact_dedup, fingerprints, line_dedup, merkle, mixing, packing, prefix_trie, rule_quality, simhash_dedup,
+               token_counts, token_files, toxicity, url_filter)
 
 QUERIES = {
     "op1_simhash_dedup": simhash_dedup.query,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_packing": packing.query,
     "op9_token_counts": token_counts.query,
     "op10_token_files": token_files.query,
+    "op11_rule_quality": rule_quality.query,
+    "op12_merkle_manifest": merkle.query,
+    "op13_prefix_trie": prefix_trie.query,
 }
 
-ORACLE = {"op4_exact_dedup": exact_dedup.SQL}
+ORACLE = {"op4_exact_dedup": exact_dedup.SQL, "op12_merkle_manifest": merkle.SQL, "op13_prefix_trie": prefix_trie.SQL}
