@@ -30,9 +30,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import canonical_key
 from ._util import BROADCAST_BYTES, broadcast_if_small, materialize
-
-PAD_START, PAD_END = "\u0002", "\u0003"
-
+from .nearest import bigrams, minhash_candidates, nearest_keys, similarity
 
 def dictionary_keys(dictionary: DataFrame, name: str = "name", code: str = "code") -> DataFrame:
     """(key, code): canonical (lower, trimmed) name → smallest code."""
@@ -83,13 +81,14 @@ def _min_shared(length: F.Column, cutoff: float, method: str) -> F.Column:
 def _tokens(keys: DataFrame, method: str) -> DataFrame:
     """(key, len, token): q-gram tokens made unique by their occurrence number."""
     if method == "levenshtein":
-        grams = F.expr(f"transform(sequence(1, length(concat('{PAD_START}', key, '{PAD_END}')) - 1),"
-                       f" i -> substring(concat('{PAD_START}', key, '{PAD_END}'), i, 2))")
+        grams = bigrams(F.col("key"))
     else:
-        grams = F.expr("transform(sequence(1, greatest(length(key), 1)), i -> substring(key, i, 1))")
-    toks = F.transform(grams, lambda g, i: F.concat(
-        g, F.lit("#"), F.size(F.filter(F.slice(grams, 1, i), lambda h: h == g)).cast("string")))
-    return keys.select("key", F.length("key").alias("len"), F.explode(toks).alias("token"))
+        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length("key"), F.lit(1))),
+                            lambda i: F.substring(F.col("key"), i, F.lit(1)))
+    each = keys.select("key", F.length("key").alias("len"), F.posexplode(grams).alias("at", "gram"))
+    # One name's own q-grams: a window as long as the name.
+    nth = F.row_number().over(Window.partitionBy("key", "gram").orderBy("at"))
+    return each.select("key", "len", F.concat("gram", F.lit("#"), nth.cast("string")).alias("token"))
 
 
 def _prefixes(tok: DataFrame, freq: DataFrame, cutoff: float, method: str) -> DataFrame:
@@ -113,12 +112,6 @@ def _ratio_udf(cand: pd.Series, query: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="float64")
 
 
-def similarity(a: F.Column, b: F.Column) -> F.Column:
-    """``1 − lev(a, b) / max(|a|, |b|)``; two empty strings are identical."""
-    m = F.greatest(F.length(a), F.length(b))
-    return F.when(m == 0, F.lit(1.0)).otherwise(F.lit(1.0) - F.try_divide(F.levenshtein(a, b), m))
-
-
 def fuzzy_candidates(qkeys: DataFrame, dkeys: DataFrame, cutoff: float, method: str) -> DataFrame:
     """Every (qkey, dkey) pair whose similarity can reach ``cutoff`` — exact superset, no cross join."""
     if cutoff <= 0.5:
@@ -156,19 +149,30 @@ def best_match(scored: DataFrame, query: str = "qkey", candidate: str = "dkey",
                                               order).alias("__b")).select(query, f"__b.{candidate}", f"__b.{score}")
 
 
+SEARCHES = ("prefix", "nearest", "minhash")
+
+
 def link_fuzzy(names: DataFrame, dictionary: DataFrame, cutoff: float = 0.88, method: str = "levenshtein",
-               name: str = "name", dict_name: str = "name", dict_code: str = "code") -> DataFrame:
-    """Tier 3: best dictionary name with similarity ≥ ``cutoff``. Output (name, code, tier, score)."""
+               name: str = "name", dict_name: str = "name", dict_code: str = "code", search: str = "prefix") -> DataFrame:
+    """Tier 3: best dictionary name with similarity ≥ ``cutoff``. Output (name, code, tier, score).
+
+    ``search`` says how pairs are found: "prefix", every pair within the cutoff
+    (exact); "nearest", by growing distance, which leaves a query's farther
+    names unformed (exact, "levenshtein" only; the choice for dictionaries with
+    many alike names); "minhash", banded MinHash (not exact).
+    """
     if method not in ("levenshtein", "ratio"):
         raise ValueError("method must be 'levenshtein' or 'ratio'")
+    if search not in SEARCHES or (search == "nearest" and method != "levenshtein"):
+        raise ValueError(f"search must be one of {SEARCHES}, and 'nearest' goes with 'levenshtein'")
     q = query_keys(names, name)
     d = dictionary_keys(dictionary, dict_name, dict_code)
-    cand = fuzzy_candidates(q, d, cutoff, method)
-    if method == "levenshtein":
-        sc = cand.withColumn("score", similarity(F.col("qkey"), F.col("dkey")))
+    if search == "nearest":
+        best = nearest_keys(q, d, cutoff)
     else:
-        sc = cand.withColumn("score", _ratio_udf(F.col("dkey"), F.col("qkey")))
-    best = best_match(sc.filter(F.col("score") >= F.lit(cutoff)))
+        cand = fuzzy_candidates(q, d, cutoff, method) if search == "prefix" else minhash_candidates(q, d)
+        score = similarity(F.col("qkey"), F.col("dkey")) if method == "levenshtein" else _ratio_udf(F.col("dkey"), F.col("qkey"))
+        best = best_match(cand.withColumn("score", score).filter(F.col("score") >= F.lit(cutoff)))
     return (q.join(best.withColumnRenamed("qkey", "key"), on="key")
             .join(d.withColumnRenamed("key", "dkey"), on="dkey")
             .select("name", "code", F.lit("fuzzy").alias("tier"), "score"))

@@ -891,6 +891,20 @@ def q_link_fuzzy(spark, sf):
     return norm(link.link_fuzzy(q, d, 0.88).select("name", "code", "score"), {"score": 9})
 
 
+@query("link_nearest", ORACLE["link_fuzzy"])
+def q_link_nearest(spark, sf):
+    """The same links by the search of growing distance."""
+    q, d, _ = J.link_inputs(spark, sf)
+    return norm(link.link_fuzzy(q, d, 0.88, search="nearest").select("name", "code", "score"), {"score": 9})
+
+
+@query("link_minhash")
+def q_link_minhash(spark, sf):
+    """Links over banded MinHash candidates. Not exact, so no SQL twin: recall against ``link_fuzzy`` is tested."""
+    q, d, _ = J.link_inputs(spark, sf)
+    return norm(link.link_fuzzy(q, d, 0.88, search="minhash").select("name", "code", "score"), {"score": 9})
+
+
 QUERIES["best_match"] = q_link_fuzzy
 ORACLE["best_match"] = ORACLE["link_fuzzy"]
 

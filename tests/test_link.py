@@ -3,7 +3,11 @@
 import difflib
 import random
 
-from priceframe.operators import link
+import pytest
+
+from conftest import SF_SMALL
+from priceframe.operators import link, nearest
+from priceframe.plans import jobs
 
 
 def _lev(a, b):
@@ -98,3 +102,69 @@ def test_similarity_counts_characters_not_bytes(spark):
     for (a, b), s in zip(pairs, got):
         m = max(len(a), len(b))
         assert abs(s - (1.0 - _lev(a, b) / m)) < 1e-12
+
+
+def _typos(rng, names, most):
+    out = []
+    for d in names:
+        w = list(d)
+        for _ in range(rng.randint(0, most)):
+            pos = rng.randrange(len(w) + 1)
+            if rng.random() < 0.5 and w:
+                w.pop(min(pos, len(w) - 1))
+            else:
+                w.insert(pos, rng.choice("abcxyz"))
+        out.append("".join(w) or "q")
+    return out
+
+
+@pytest.mark.parametrize("cutoff", [0.88, 0.7, 0.55])
+def test_nearest_search_equals_brute_force(spark, cutoff):
+    rng = random.Random(7)
+    dictionary = _words(rng, 120) + ["a" * 30, "a" * 29 + "b", "aaaa bbbb cccc dddd eeee ffff gggg hhhh iiii jjjj kkkk llll"]
+    queries = _typos(rng, dictionary, 3) + ["", "a" * 31, "aaa bbbb ccc dddd eee ffff ggg hhhh iiii jjjj kkkk llll"]
+    qdf = spark.createDataFrame([(q,) for q in queries] + [(None,)] + [(queries[0],)], "key string")
+    ddf = spark.createDataFrame([(d,) for d in dictionary] + [(None,), (dictionary[0],)], "key string")
+    got = {r["qkey"]: (r["score"], r["dkey"]) for r in nearest.nearest_keys(qdf, ddf, cutoff).collect()}
+    want = {}
+    for q in set(queries):
+        scored = [(1.0 - _lev(q, d) / max(len(q), len(d)) if q or d else 1.0, d) for d in dictionary]
+        if max(scored)[0] >= cutoff:
+            want[q] = max(scored)
+    assert {k: (round(s, 12), d) for k, (s, d) in got.items()} == {k: (round(s, 12), d) for k, (s, d) in want.items()}
+
+
+def test_nearest_search_forms_few_pairs_in_a_cluster(spark):
+    """2,000 names of one template whose numbers differ in two digits or more; a letter is missing in every query."""
+    def number(i):  # two check digits: any two numbers differ in at least two places
+        return f"{i:04d}{sum(map(int, str(i))) % 10}{(i * 7 + i // 10 * 3) % 10}"
+    names = [f"station {number(i)} north street" for i in range(2000)]
+    queries = [n.replace("street", "steet") for n in names]
+    rows = []
+    qdf, ddf = (spark.createDataFrame([(x,) for x in xs], "key string") for xs in (queries, names))
+    got = nearest.nearest_keys(qdf, ddf, 0.88, note=lambda limit, pairs: rows.append((limit, pairs)))
+    assert {r["qkey"]: r["dkey"] for r in got.collect()} == dict(zip(queries, names))
+    assert sum(n for _, n in rows) <= 3 * len(names), rows  # all pairs would be 4,000,000
+
+
+def test_minhash_recall(spark):
+    """Linked names of the driver's parts and of words with edits: at least 0.9 of the exact links, and no other."""
+    q, d, _ = jobs.link_inputs(spark, SF_SMALL)
+    rng = random.Random(3)
+    words = sorted({" ".join("".join(rng.choice("abcdefghijklmno") for _ in range(rng.randint(3, 9))) for _ in range(3))
+                    for _ in range(300)})
+    wq = spark.createDataFrame([(w,) for w in _typos(rng, words, 2)], "name string")
+    wd = spark.createDataFrame([(w, i) for i, w in enumerate(words)], "name string, code long")
+    for a, b in ((q, d), (wq, wd)):
+        exact = {(r["name"], r["code"]) for r in link.link_fuzzy(a, b, 0.88).collect()}
+        found = {(r["name"], r["code"]) for r in link.link_fuzzy(a, b, 0.88, search="minhash").collect()}
+        assert len(exact) > 30 and len(found & exact) >= 0.9 * len(exact) and len(found - exact) <= 0.02 * len(exact)
+
+
+def test_search_is_checked(spark):
+    q = spark.createDataFrame([("a",)], "name string")
+    d = spark.createDataFrame([("a", 1)], "name string, code long")
+    with pytest.raises(ValueError):
+        link.link_fuzzy(q, d, method="ratio", search="nearest")
+    with pytest.raises(ValueError):
+        link.link_fuzzy(q, d, search="best")
