@@ -77,10 +77,14 @@ def round_scaled(c: ColumnOrName, digits: int) -> Column:
     return F.round(_col(c) * F.lit(m)) / F.lit(m) if digits else F.round(_col(c))
 
 
-def pct_round(c: ColumnOrName, digits: int = 1, half_even: bool = False) -> Column:
-    """``c * 100`` rounded; ``half_even`` mimics numpy's banker's rounding."""
-    scaled = _col(c) * F.lit(100.0)
-    return F.bround(scaled, digits) if half_even else round_scaled(scaled, digits)
+def pct_round(c: ColumnOrName, digits: int = 1, half_even: bool = True) -> Column:
+    """``c * 100`` rounded, a tie to the even digit as numpy does; ``half_even=False`` away from zero.
+
+    The tie is one of the scaled binary double, as in numpy and most SQL engines.
+    """
+    scaled, m = _col(c) * F.lit(100.0), float(10 ** digits)
+    # Adding 0 turns a negative zero into zero, whose text has no sign of its own.
+    return F.rint(scaled * F.lit(m)) / F.lit(m) + F.lit(0.0) if half_even else round_scaled(scaled, digits)
 
 
 def fmt_pct(c: ColumnOrName, digits: int = 1) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import nan_to_null
 from ..schemas import FACT_KEY_COLS, FACT_NUMERIC_COLS
+from ._util import broadcast_if_small
 
 
 def existing(df: DataFrame, cols: Iterable[str]) -> list[str]:
@@ -73,16 +74,23 @@ def clean_facts(df: DataFrame) -> DataFrame:
     return drop_incomplete(df)
 
 
-def fill_median(df: DataFrame, col: str, rel_err: float | None = 0.01) -> DataFrame:
+def fill_median(df: DataFrame, col: str, rel_err: float | None = 0.01, sketches: DataFrame | None = None) -> DataFrame:
     """Null ``col`` → its median; one scalar reaches the driver.
 
+    ``sketches`` set: the median of these stored sketches of ``col``, without a scan.
+
     ``rel_err`` set: the approximate median of a mergeable sketch (the
     reference's 1 % setting); ``rel_err=None``: the exact median (bounded-work
     ``exact_quantiles``).
     """
     if col not in df.columns:
         return df
-    if rel_err is None:
+    if sketches is not None:
+        from .sketches import sketch_quantiles
+
+        row = sketch_quantiles(sketches, [0.5]).first()
+        med = row["q0"] if row else None
+    elif rel_err is None:
         from .distribution import exact_quantiles
 
         med = exact_quantiles(df, col, [0.5]).first()["q0"]
@@ -98,16 +106,18 @@ def exclude_values(df: DataFrame, col: str, values: Sequence[str]) -> DataFrame:
 
 
 def map_with_default(df: DataFrame, key: str, mapping: DataFrame, map_key: str, map_value: str,
-                     out: str, default: str, broadcast_mapping: bool = False) -> DataFrame:
+                     out: str, default: str) -> DataFrame:
     """Left-join a code → label mapping; unmapped (or null) keys get ``default``.
 
-    Pass ``broadcast_mapping=True`` only for a mapping of known small size (a
-    dictionary file); otherwise AQE decides from the mapping's runtime size.
-    The mapping must be unique on its key, else rows would fan out; it is
-    reduced to one label per key (the smallest) to make that hold.
+    Two labels for one code raise when the mapping is written, which also says
+    whether it is small enough to be broadcast; a repeated pair counts once.
     """
-    m = mapping.groupBy(F.col(map_key).alias("__mk")).agg(F.min(map_value).alias("__mv"))
-    if broadcast_mapping:
-        m = F.broadcast(m)
+    m = mapping.filter(F.col(map_key).isNotNull()).groupBy(F.col(map_key).alias("__mk")).agg(
+        F.min(map_value).alias("__mv"), F.max(map_value).alias("__hi"))
+    clash = F.concat(F.lit("two labels for the code "), F.col("__mk").cast("string"), F.lit(": "),
+                     F.col("__mv").cast("string"), F.lit(", "), F.col("__hi").cast("string"))
+    label = F.when(F.col("__mv") == F.col("__hi"), F.col("__mv")).when(
+        F.col("__mv").isNotNull(), F.raise_error(clash).cast(mapping.schema[map_value].dataType))
+    m = broadcast_if_small(m.select("__mk", label.alias("__mv")))
     joined = df.join(m, df[key] == m["__mk"], "left")
     return joined.withColumn(out, F.coalesce(F.col("__mv"), F.lit(default))).drop("__mk", "__mv")

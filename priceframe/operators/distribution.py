@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions.columns import decade_label, pct_round
 from ._util import broadcast_if_small
 from .clean import existing
+from .sketches import sketch_quartiles
 
 GROUP = "__g"
 # Modulus and multiplier of the repeatable hash (two Park–Miller MINSTD steps,
@@ -268,13 +269,13 @@ def quartiles(df: DataFrame, value: str, by: str | None = None, approx: bool = F
 
 
 def box_stats(df: DataFrame, by: str | None, value: str, whisker: float = 1.5,
-              approx: bool = False) -> tuple[DataFrame, DataFrame]:
+              approx: bool = False, sketches: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Box statistics per group and the outlier rows.
 
-    Pass 1: quartiles.  Pass 2 (join back on the group key): whiskers are the
+    Pass 1: quartiles, from stored ``sketches`` (``sketches.quantile_sketches`` over parts of the groups) if given.  Pass 2 (join back on the group key): whiskers are the
     most extreme values inside ``[q1 − w·IQR, q3 + w·IQR]``; rows outside are outliers.
     """
-    q = quartiles(df, value, by, approx)
+    q = quartiles(df, value, by, approx) if sketches is None else sketch_quartiles(sketches, by)
     d, keys = _keyed(df.filter(F.col(value).isNotNull() & ~F.isnan(value)), by)
     q, _ = _keyed(q, by)
     iqr = F.col("q3") - F.col("q1")
@@ -291,11 +292,18 @@ def box_stats(df: DataFrame, by: str | None, value: str, whisker: float = 1.5,
     return stats, outliers
 
 
-def violin_stats(df: DataFrame, year: str, value: str, grid: int = 200,
-                 cells: int = 2000) -> tuple[DataFrame, DataFrame]:
-    """Per decade: density limited to the data range (cut = 0) and the inner quartiles."""
+def violin_stats(df: DataFrame, year: str, value: str, grid: int = 200, cells: int = 2000,
+                 sketches: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Per decade: density limited to the data range (cut = 0) and the inner quartiles.
+
+    ``sketches``: stored quantile sketches with the year among their keys; a decade's are merged.
+    """
     d = df.filter(F.col(year).isNotNull()).withColumn("decade", decade_label(year))
-    return kde_curve(d, value, by="decade", grid=grid, cells=cells), quartiles(d, value, by="decade")
+    density = kde_curve(d, value, by="decade", grid=grid, cells=cells)
+    if sketches is None:
+        return density, quartiles(d, value, by="decade")
+    parts = sketches.filter(F.col(year).isNotNull()).withColumn("decade", decade_label(year))
+    return density, sketch_quartiles(parts, "decade")
 
 
 # ------------------------------------------------------------------ repeatable sampling
@@ -323,6 +331,17 @@ def sample_rows(df: DataFrame, key: str, fraction: float, seed: int = 42,
     return d.filter(key_hash(df, key, seed) < F.lit(fraction * HASH_MOD))
 
 
+def sample_fixed(df: DataFrame, key: str, k: int, seed: int = 42, dropna: Sequence[str] | None = None) -> DataFrame:
+    """Exactly ``k`` rows (all, if there are fewer): those with the least hashes of ``key``, in that order.
+
+    Every task keeps its own k least and they merge, so no count of the rows is
+    needed and no task holds more.  The same rows on any partitioning if
+    ``key`` is unique; a sample of fewer rows is part of a larger one.
+    """
+    d = df.na.drop(subset=list(dropna)) if dropna else df
+    return d.orderBy(key_hash(df, key, seed), key).limit(k)
+
+
 def split_train_test(df: DataFrame, key: str, ratio: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Repeatable split by key hash (same rows whatever the partitioning)."""
     train_cond = key_hash(df, key, seed) < F.lit(ratio * HASH_MOD)

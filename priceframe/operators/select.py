@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import bin_ordinal, pct_round
 from ..schemas import GDP_BIN_LABELS, NO_DATA_LABEL
-from ._util import materialize
+from ._util import materialize, positions
 from .clean import existing
 
 
@@ -50,10 +50,9 @@ def facet_options(df: DataFrame, year_col: str = "year", region_col: str = "regi
     df = materialize(df.select(year_col, region_col, bin_col).distinct(), "facets")
     y = df.select(F.lit("year").alias("facet"), F.col(year_col).cast("string").alias("value"),
                   F.col(year_col).cast("int").alias("ordinal")).filter(F.col("value").isNotNull()).distinct()
-    # distinct region labels (a bounded vocabulary) as one sorted set; position = ordinal
-    r = (df.agg(F.sort_array(F.collect_set(F.col(region_col))).alias("__r"))
-         .select(F.posexplode("__r").alias("__i", "value"))
-         .select(F.lit("region").alias("facet"), "value", (F.col("__i") + 1).cast("int").alias("ordinal")))
+    # region labels in order, however many: a label's place among them is its ordinal
+    r = positions(df.select(F.col(region_col).alias("value")).filter(F.col("value").isNotNull()).distinct(), [], ["value"])
+    r = r.select(F.lit("region").alias("facet"), "value", (F.col("pos") + 1).cast("int").alias("ordinal"))
     b = (df.select(F.col(bin_col).alias("value")).filter(F.col("value").isNotNull()).distinct()
          .select(F.lit("gdp_level").alias("facet"), "value",
                  bin_ordinal(F.col("value"), bin_labels, null_label).cast("int").alias("ordinal")))
@@ -90,13 +89,12 @@ def snapshot_at(df: DataFrame, year_col: str = "year", year: int | None = None)
     return df.filter(F.col(year_col) == df.agg(F.max(year_col)).scalar())
 
 
-def latest_per_entity(df: DataFrame, code: str = "iso_a3", year: str = "year", min_rows: int = 10,
+def latest_per_entity(df: DataFrame, mode: str, code: str = "iso_a3", year: str = "year", min_rows: int = 10,
                       cols: Sequence[str] = ("iso_a3", "name", "USD_raw", "year"),
-                      tiebreak: Sequence[str] = ("name", "USD_raw"), index: str = "USD_raw",
-                      mode: str | None = None) -> DataFrame:
+                      tiebreak: Sequence[str] = ("name", "USD_raw"), index: str = "USD_raw") -> DataFrame:
     """``mode`` "year": the rows of the latest year; "per_key": the latest row per code.
 
-    Without a mode: the first, or if that year has fewer than ``min_rows`` rows the second.
+    "enough": the first, or if that year has fewer than ``min_rows`` rows the second.
     Both branches are plans; the choice rides on a scalar subquery (latest
     year and its row count), so nothing reaches the driver.
     The per-code branch is a ``max_by`` aggregate (partial, skew-safe), not a
@@ -108,9 +106,9 @@ def latest_per_entity(df: DataFrame, code: str = "iso_a3", year: str = "year", m
     # global one over at most one row per calendar year)
     latest = (base.groupBy(year).agg(F.count(F.lit(1)).alias("__n"))
               .agg(F.struct(F.max(year).alias("y"), F.max_by("__n", year).alias("n")).alias("s")).scalar())
-    if mode not in (None, "year", "per_key"):
-        raise ValueError("mode must be 'year', 'per_key' or None")
-    whole_year = latest["n"] >= min_rows if mode is None else F.lit(mode == "year")
+    if mode not in ("year", "per_key", "enough"):
+        raise ValueError("mode must be 'year', 'per_key' or 'enough'")
+    whole_year = latest["n"] >= min_rows if mode == "enough" else F.lit(mode == "year")
     in_latest = base.filter((F.col(year) == latest["y"]) & whole_year)
     order_key = F.struct(*[F.col(c) for c in [year, *[t for t in tiebreak if t in cols]]])
     per_code = (base.groupBy(code).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order_key).alias("__r"))

@@ -55,8 +55,8 @@ def entity_year_mean(df: DataFrame, entity: str = "name", year: str = "year",
 def bucket_counts(df: DataFrame, value: str = "dollar_price", width: float = 1.0,
                   out: str = "price_bucket") -> DataFrame:
     """Rows per ``width``-wide bucket (floored), by bucket."""
-    b = F.floor(F.col(value) / F.lit(float(width))).cast("int") if width != 1 else F.floor(value).cast("int")
-    return df.groupBy(b.alias(out)).agg(F.count(F.lit(1)).alias("count")).orderBy(out)
+    b = F.floor(F.col(value) / F.lit(float(width))) if width != 1 else F.floor(value)
+    return df.groupBy(b.cast("long").alias(out)).agg(F.count(F.lit(1)).alias("count")).orderBy(out)
 
 
 def support_count(df: DataFrame, entity: str = "name", value: str | None = None,
@@ -83,9 +83,13 @@ def map_frame(df: DataFrame, year: str = "year", code: str = "iso_a3", name: str
     """Mean index and price per (year, code, name); null index dropped; percent and label."""
     keys = [year, code, name]
     g = (df.filter(F.col(year).isNotNull() & F.col(code).isNotNull() & F.col(name).isNotNull())
-         .groupBy(*keys).agg(F.avg(index).alias(index), F.avg(price).alias(price))
-         .filter(F.col(index).isNotNull()))
-    g = g.withColumn(f"{index}_pct", pct_round(index, 1))
+         .groupBy(*keys).agg(F.avg(index).alias(index), F.avg(price).alias(price)))
+    return map_from_means(g, name, index, price)
+
+
+def map_from_means(g: DataFrame, name: str, index: str, price: str) -> DataFrame:
+    """Percent and label for rows that hold the means."""
+    g = g.filter(F.col(index).isNotNull()).withColumn(f"{index}_pct", pct_round(index, 1))
     return g.withColumn("hover", hover_text(name, f"{index}_pct", round_scaled(price, 2)))
 
 
@@ -101,6 +105,11 @@ def kpi_summary(df: DataFrame, entity: str = "name", code: str = "iso_a3", index
         F.avg(index).alias("__m"),
         F.sum(index).alias("__si"), F.count(index).alias("__ci"),
         F.sum(price).alias("__sp"), F.count(price).alias("__cp"))
+    return kpi_from_groups(g, entity, code)
+
+
+def kpi_from_groups(g: DataFrame, entity: str, code: str) -> DataFrame:
+    """The KPI row of groups with the mean, sum and count of the index and the sum and count of the price."""
     ok = F.col(entity).isNotNull() & F.col(code).isNotNull() & F.col("__m").isNotNull()
     hi_key = F.struct(-F.col("__m"), F.col(entity), F.col(code))
     lo_key = F.struct(F.col("__m"), F.col(entity), F.col(code))
@@ -127,9 +136,14 @@ def top_bottom(df: DataFrame, entity: str = "name", value: str = "USD_raw", n: i
 
     Each half is a ``TakeOrderedAndProject`` (per-partition top-k, then merge).
     """
+    means = df.filter(F.col(entity).isNotNull()).groupBy(entity).agg(F.avg(value).alias(value))
+    return top_bottom_of(means, entity, value, n, is_index)
+
+
+def top_bottom_of(means: DataFrame, entity: str, value: str, n: int, is_index: bool) -> DataFrame:
+    """The two halves of entities that already have their mean."""
     half = n // 2
-    m = (df.filter(F.col(entity).isNotNull()).groupBy(entity).agg(F.avg(value).alias(value))
-         .filter(F.col(value).isNotNull()))
+    m = means.filter(F.col(value).isNotNull())
     low = m.orderBy(F.col(value).asc(), F.col(entity).asc()).limit(half).withColumn("half", F.lit("bottom"))
     high = m.orderBy(F.col(value).desc(), F.col(entity).asc()).limit(half).withColumn("half", F.lit("top"))
     out = low.unionByName(high)
@@ -143,9 +157,13 @@ def top_bottom(df: DataFrame, entity: str = "name", value: str = "USD_raw", n: i
 
 def snapshot_stats(df: DataFrame, col: str = "GDP_dollar") -> DataFrame:
     """Non-null count, null count, min, max, mean of one column — one pass."""
-    return df.agg(F.count(col).alias("count_non_null"),
-                  F.count_if(F.col(col).isNull()).alias("count_null"),
-                  F.min(col).alias("min"), F.max(col).alias("max"), F.avg(col).alias("mean"))
+    return df.agg(*snapshot_measures(col))
+
+
+def snapshot_measures(col: str = "GDP_dollar") -> list[F.Column]:
+    """The aggregates of ``snapshot_stats``, also for observing a write."""
+    return [F.count(col).alias("count_non_null"), F.count_if(F.col(col).isNull()).alias("count_null"),
+            F.min(col).alias("min"), F.max(col).alias("max"), F.avg(col).alias("mean")]
 
 
 def preview(df: DataFrame, cols: Sequence[str], n: int = 10, order: Sequence[str] | None = None) -> DataFrame:

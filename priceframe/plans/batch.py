@@ -68,7 +68,10 @@ def enrich_job(spark: SparkSession, facts_path: str, gdp_path: str | None = None
         links = link.link_names(gdp.select(F.col("country_name").alias("name")), dictionary,
                                 alias_frame(spark), cutoff, method)
         gdp_iso = link.apply_link(gdp, links, "country_name", "iso")
-        pop = population_estimate(spark, pop_path).withColumnRenamed("cca3", "iso")
+        # Every year of the facts gets an estimate, whatever the span.
+        span = facts.agg(F.min("year").alias("lo"), F.max("year").alias("hi")).first()
+        lo, hi = (ESTIMATE_YEAR_MIN, ESTIMATE_YEAR_MAX) if span["lo"] is None else (span["lo"], span["hi"])
+        pop = population_estimate(spark, pop_path, lo, hi).withColumnRenamed("cca3", "iso")
         panel = enrich.join_panel(gdp_iso, pop, ["iso", "year"], "gdp_billions", "population_est",
                                   "gdp_per_capita", scale=GDP_SCALE)
         panel = enrich.unique_panel(panel, ["iso", "year"], "gdp_per_capita")
@@ -115,8 +118,7 @@ def model_job(df: DataFrame, key: str, out_dir: str | None = None, ratio: float
 
 def dashboard_frame(df: DataFrame, regions: DataFrame) -> DataFrame:
     df = clean.exclude_values(df, "name", EXCLUDED_NAMES)
-    df = clean.map_with_default(df, "iso_a3", regions, "code", "region", "region", DEFAULT_REGION,
-                                broadcast_mapping=True)
+    df = clean.map_with_default(df, "iso_a3", regions, "code", "region", "region", DEFAULT_REGION)
     return df.withColumn("gdp_level", bin_label("GDP_dollar", GDP_BIN_EDGES, GDP_BIN_LABELS, NO_DATA_LABEL))
 
 

@@ -135,6 +135,21 @@ def raw_snapshot(spark: SparkSession, sf_dir: str, base: str = BASE_ENTITY) -> D
     return spark.read.parquet(path)
 
 
+def derived(spark: SparkSession, sf_dir: str, tag: str, build) -> DataFrame:
+    """A frame made from the fact snapshot, written once per snapshot: ``build()`` runs only the first time."""
+    from ..session import scratch_path
+
+    raw_snapshot(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", ""), os.path.abspath(sf_dir), tag,
+           _input_signature(spark, sf_dir))
+    path = _SNAPSHOTS.get(key)
+    if path is None or not _exists(spark, path):
+        path = scratch_path(spark, f"{tag}-{uuid.uuid4().hex}")
+        build().write.mode("overwrite").parquet(path)
+        _SNAPSHOTS[key] = path
+    return spark.read.parquet(path)
+
+
 def forget_snapshots(spark: SparkSession) -> None:
     """Drop this application's snapshot entries (after ``release_scratch`` deleted the files)."""
     app = spark.sparkContext.applicationId

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
-from ..operators import clean, distribution as D, enrich, link, model, select, summarize as S
+from ..operators import clean, cube, distribution as D, enrich, link, model, select, summarize as S
 from ..schemas import CORR_COLS, DESCRIBE_COLS, MODEL_FEATURES, MODEL_REG_PARAM, PREVIEW_COLS
 from ..sources import readers, writers
 from . import bindings as B
@@ -214,6 +214,15 @@ def q_snapshot_stats(spark, sf):
     return norm(S.snapshot_stats(J.enrich_facts(spark, sf), "GDP_dollar"), PRICE)
 
 
+@query("snapshot_stats_observed", ORACLE["snapshot_stats"])
+def q_snapshot_stats_observed(spark, sf):
+    """The same figures, observed while the enriched snapshot is written: no scan after the write."""
+    filled = J.enrich_facts(spark, sf)
+    seen = J.observed_snapshot(spark, filled, S.snapshot_measures("GDP_dollar"))
+    shape = S.snapshot_stats(filled, "GDP_dollar").schema
+    return norm(spark.createDataFrame([tuple(seen[c] for c in shape.names)], shape), PRICE)
+
+
 @query("preview", W("""
 SELECT strftime(date, '%Y-%m-%d') AS date, year, name, iso_a3, currency_code, round(local_price, 4) AS local_price,
        round(dollar_price, 2) AS dollar_price, round(GDP_dollar, 2) AS GDP_dollar
@@ -291,7 +300,7 @@ def q_cast_numeric(spark, sf):
 
 
 @query("valuation_class", W("""
-SELECT obs_id, (0.0 + ROUND(USD_raw * 100, 1)) AS USD_raw_pct,
+SELECT obs_id, (0.0 + round_even(USD_raw * 100 * 10, 0) / 10) AS USD_raw_pct,
        CASE WHEN USD_raw >= 0 THEN 'Overvalued' ELSE 'Undervalued' END AS dash_class,
        CASE WHEN USD_raw > 0 THEN 'Overvalued' ELSE 'Undervalued' END AS chart_class,
        round(dollar_price - adj_price, 4) AS residual
@@ -451,7 +460,7 @@ def q_top_k_chart(spark, sf):
 
 
 @query("bucket_counts", W("""
-SELECT CAST(floor(dollar_price / 10000.0) AS INTEGER) AS price_bucket, count(*) AS count FROM facts GROUP BY 1"""))
+SELECT CAST(floor(dollar_price / 10000.0) AS BIGINT) AS price_bucket, count(*) AS count FROM facts GROUP BY 1"""))
 def q_bucket_counts(spark, sf):
     return S.bucket_counts(B.facts_snapshot(spark, sf), "dollar_price", width=10000.0)
 
@@ -484,10 +493,19 @@ def q_top_k_support(spark, sf):
 , g AS (SELECT year, iso_a3, name, avg(USD_raw) AS USD_raw, avg(dollar_price) AS dollar_price FROM d
         WHERE year IS NOT NULL AND iso_a3 IS NOT NULL AND name IS NOT NULL GROUP BY 1, 2, 3)
 SELECT year, iso_a3, name, round(USD_raw, 9) AS USD_raw, round(dollar_price, 2) AS dollar_price,
-       (0.0 + ROUND(USD_raw * 100, 1)) AS USD_raw_pct FROM g WHERE USD_raw IS NOT NULL"""))
+       (0.0 + round_even(USD_raw * 100 * 10, 0) / 10) AS USD_raw_pct,
+       name || '<br>Valuation: ' || CASE WHEN round_even(USD_raw * 100 * 10, 0) >= 0 THEN '+' ELSE '' END
+       || printf('%.1f', (0.0 + round_even(USD_raw * 100 * 10, 0) / 10)) || '%<br>Price: $'
+       || CAST(CAST(floor(dollar_price + 0.005) AS BIGINT) AS VARCHAR) AS hover
+FROM g WHERE USD_raw IS NOT NULL"""))
 def q_map_frame(spark, sf):
-    m = S.map_frame(J.dashboard_frame(spark, sf))
-    return norm(m.drop("hover"), {"USD_raw": 9, "dollar_price": 2, "USD_raw_pct": 1})
+    return _map_check(S.map_frame(J.dashboard_frame(spark, sf)))
+
+
+def _map_check(m: DataFrame) -> DataFrame:
+    """The label is compared up to the price's dots: cents of a mean can sit on a rounding tie (``hover_text`` has them)."""
+    m = m.withColumn("hover", F.regexp_replace("hover", r"\.\d\d$", ""))
+    return norm(m, {"USD_raw": 9, "dollar_price": 2, "USD_raw_pct": 1})
 
 
 @query("kpi_summary", W(DASH_SQL + """
@@ -499,11 +517,17 @@ lo AS (SELECT name, iso_a3, m FROM ok ORDER BY m ASC, name, iso_a3 LIMIT 1),
 gl AS (SELECT sum(si) / sum(ci) AS gi, sum(sp) / sum(cp) AS ap, count(DISTINCT name) AS ne FROM g)
 SELECT hi.name AS top_name, hi.iso_a3 AS top_code, round(hi.m, 9) AS top_index,
        lo.name AS bottom_name, lo.iso_a3 AS bottom_code, round(lo.m, 9) AS bottom_index,
-       round(gl.gi, 9) AS global_index, round(gl.ap, 2) AS avg_price, gl.ne AS n_entities
+       round(gl.gi, 9) AS global_index, round(gl.ap, 2) AS avg_price, gl.ne AS n_entities,
+       CASE WHEN round_even(hi.m * 100 * 10, 0) >= 0 THEN '+' ELSE '' END || printf('%.1f', (0.0 + round_even(hi.m * 100 * 10, 0) / 10)) || '%' AS top_text,
+       CASE WHEN round_even(lo.m * 100 * 10, 0) >= 0 THEN '+' ELSE '' END || printf('%.1f', (0.0 + round_even(lo.m * 100 * 10, 0) / 10)) || '%' AS bottom_text,
+       CASE WHEN round_even(gl.gi * 100 * 10, 0) >= 0 THEN '+' ELSE '' END || printf('%.1f', (0.0 + round_even(gl.gi * 100 * 10, 0) / 10)) || '%' AS global_text,
+       '$' || printf('%.2f', (0.0 + ROUND(gl.ap, 2))) AS price_text
 FROM hi, lo, gl"""))
 def q_kpi_summary(spark, sf):
-    k = S.kpi_summary(J.dashboard_frame(spark, sf))
-    k = k.drop("top_text", "bottom_text", "global_text", "price_text")
+    return _kpi_check(S.kpi_summary(J.dashboard_frame(spark, sf)))
+
+
+def _kpi_check(k: DataFrame) -> DataFrame:
     return norm(k, {"top_index": 9, "bottom_index": 9, "global_index": 9, "avg_price": 2})
 
 
@@ -546,16 +570,16 @@ a AS (SELECT b.* FROM lb b, lt WHERE b.year = lt.y AND lt.n >= 10),
 r AS (SELECT *, row_number() OVER (PARTITION BY iso_a3 ORDER BY year DESC, name DESC, USD_raw DESC) AS rn FROM lb),
 b AS (SELECT iso_a3, name, USD_raw, year FROM r, lt WHERE rn = 1 AND lt.n < 10),
 u AS (SELECT * FROM a UNION ALL SELECT * FROM b)
-SELECT iso_a3, name, round(USD_raw, 9) AS USD_raw, year, (0.0 + ROUND(USD_raw * 100, 1)) AS USD_raw_pct FROM u"""))
+SELECT iso_a3, name, round(USD_raw, 9) AS USD_raw, year, (0.0 + round_even(USD_raw * 100 * 10, 0) / 10) AS USD_raw_pct FROM u"""))
 def q_latest_per_entity(spark, sf):
-    return norm(select.latest_per_entity(B.facts_snapshot(spark, sf)), {"USD_raw": 9, "USD_raw_pct": 1})
+    return norm(select.latest_per_entity(B.facts_snapshot(spark, sf), "enough"), {"USD_raw": 9, "USD_raw_pct": 1})
 
 
 @query("latest_per_key", W("""
 , lb AS (SELECT iso_a3, name, USD_raw, year FROM facts
            WHERE iso_a3 IS NOT NULL AND name IS NOT NULL AND USD_raw IS NOT NULL AND NOT isnan(USD_raw) AND year IS NOT NULL),
 r AS (SELECT *, row_number() OVER (PARTITION BY iso_a3 ORDER BY year DESC, name DESC, USD_raw DESC) AS rn FROM lb)
-SELECT iso_a3, name, round(USD_raw, 9) AS USD_raw, year, (0.0 + ROUND(USD_raw * 100, 1)) AS USD_raw_pct FROM r WHERE rn = 1"""))
+SELECT iso_a3, name, round(USD_raw, 9) AS USD_raw, year, (0.0 + round_even(USD_raw * 100 * 10, 0) / 10) AS USD_raw_pct FROM r WHERE rn = 1"""))
 def q_latest_per_key(spark, sf):
     d = select.latest_per_entity(B.facts_snapshot(spark, sf), mode="per_key")
     return norm(d, {"USD_raw": 9, "USD_raw_pct": 1})
@@ -565,11 +589,44 @@ def q_latest_per_key(spark, sf):
 , m AS (SELECT name, avg(USD_raw) AS USD_raw FROM d WHERE name IS NOT NULL GROUP BY name HAVING avg(USD_raw) IS NOT NULL),
 lo AS (SELECT *, 'bottom' AS half FROM m ORDER BY USD_raw ASC, name LIMIT 10),
 hi AS (SELECT *, 'top' AS half FROM m ORDER BY USD_raw DESC, name LIMIT 10)
-SELECT name, round(USD_raw, 9) AS USD_raw, half, CASE WHEN USD_raw >= 0 THEN 'Overvalued' ELSE 'Undervalued' END AS color
+SELECT name, round(USD_raw, 9) AS USD_raw, half, CASE WHEN USD_raw >= 0 THEN 'Overvalued' ELSE 'Undervalued' END AS color,
+       printf('%.1f', (0.0 + round_even(USD_raw * 100 * 10, 0) / 10)) || '%' AS display
 FROM (SELECT * FROM lo UNION ALL SELECT * FROM hi)"""))
 def q_top_bottom(spark, sf):
-    t = S.top_bottom(J.dashboard_frame(spark, sf), "name", "USD_raw", 20)
-    return norm(t.drop("display"), {"USD_raw": 9})
+    return norm(S.top_bottom(J.dashboard_frame(spark, sf), "name", "USD_raw", 20), {"USD_raw": 9})
+
+
+# The same four tables from the facet cube, which is written once: no scan of the facts.
+@query("cube_facet_options", ORACLE["facet_options"])
+def q_cube_facet_options(spark, sf):
+    return cube.cube_options(J.dashboard_cube(spark, sf))
+
+
+@query("cube_kpi_summary", ORACLE["kpi_summary"])
+def q_cube_kpi_summary(spark, sf):
+    return _kpi_check(cube.cube_kpis(J.dashboard_cube(spark, sf)))
+
+
+@query("cube_map_frame", ORACLE["map_frame"])
+def q_cube_map_frame(spark, sf):
+    return _map_check(cube.cube_map(J.dashboard_cube(spark, sf)))
+
+
+@query("cube_top_bottom", ORACLE["top_bottom"])
+def q_cube_top_bottom(spark, sf):
+    return norm(cube.cube_top_bottom(J.dashboard_cube(spark, sf)), {"USD_raw": 9})
+
+
+FACET_SQL = """
+  WHERE year BETWEEN 1996 AND 1999 AND region IN ('ASIA', 'EUROPE', 'AMERICA')
+  AND (gdp_level IN ('Low (< $5k)', 'Medium ($5k-$20k)', 'No data') OR gdp_level IS NULL)"""
+
+
+@query("cube_kpi_of_choice", ORACLE["kpi_summary"].replace("FROM d GROUP BY", "FROM d" + FACET_SQL + " GROUP BY"))
+def q_cube_kpi_of_choice(spark, sf):
+    """The KPI row of one facet choice, from the same cube."""
+    chosen = cube.cube_rows(J.dashboard_cube(spark, sf), J.FACET_YEARS, J.FACET_REGIONS, J.FACET_BINS)
+    return _kpi_check(cube.cube_kpis(chosen))
 
 
 @query("pivot_entity_year", W("""
@@ -703,6 +760,15 @@ HASH = "(((((({key} + 42) % 2147483647) * 48271) % 2147483647) * 48271) % 214748
 SAMPLE_FRACTION = 0.05
 
 
+@query("sample_fixed", W("""
+SELECT obs_id, round(GDP_dollar, 2) AS GDP_dollar, round(dollar_price, 2) AS dollar_price
+FROM facts WHERE GDP_dollar IS NOT NULL ORDER BY """ + HASH.format(key="obs_id") + ", obs_id LIMIT 3000"))
+def q_sample_fixed(spark, sf):
+    """The reference's 3,000 points, exactly as many whatever the number of rows."""
+    d = B.facts_snapshot(spark, sf).select("obs_id", "GDP_dollar", "dollar_price")
+    return norm(D.sample_fixed(d, "obs_id", 3000, 42, dropna=["GDP_dollar"]), PRICE)
+
+
 @query("sample_rows", W("""
 SELECT obs_id, round(GDP_dollar, 2) AS GDP_dollar, round(dollar_price, 2) AS dollar_price
 FROM facts WHERE GDP_dollar IS NOT NULL AND """ + HASH.format(key="obs_id") + f" < {SAMPLE_FRACTION} * 2147483647"))
@@ -733,7 +799,7 @@ def q_scatter_cells(spark, sf):
 , s AS (SELECT * FROM d WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL),
 y AS (SELECT * FROM s WHERE year = (SELECT max(year) FROM s))
 SELECT name, year, round(GDP_dollar, 2) AS GDP_dollar, round(USD_raw, 9) AS USD_raw, region,
-       round(dollar_price, 2) AS dollar_price, (0.0 + ROUND(USD_raw * 100, 1)) AS USD_raw_pct FROM y"""))
+       round(dollar_price, 2) AS dollar_price, (0.0 + round_even(USD_raw * 100 * 10, 0) / 10) AS USD_raw_pct FROM y"""))
 def q_scatter_snapshot(spark, sf):
     pts, _ = D.scatter_snapshot(J.dashboard_frame(spark, sf))
     return norm(pts, {"GDP_dollar": 2, "USD_raw": 9, "dollar_price": 2, "USD_raw_pct": 1})
@@ -942,6 +1008,29 @@ def q_scan_multipart(spark, sf):
                 {"total": 2})
 
 
+# Every fiftieth line has a price that is no number, every seventieth a field too many.
+BAD_SQL = "(obs_id % 50 = 0 OR obs_id % 70 = 0)"
+
+
+@query("scan_split", W(f"""
+SELECT 'accepted' AS kind, year, count(*) AS n_rows, round(sum(dollar_price), 2) AS total FROM raw_facts
+WHERE NOT {BAD_SQL} GROUP BY year
+UNION ALL SELECT 'rejected', year, count(*), NULL FROM raw_facts WHERE {BAD_SQL} GROUP BY year
+UNION ALL SELECT 'observed', NULL, count(*) FILTER (WHERE NOT {BAD_SQL}), count(*) FILTER (WHERE {BAD_SQL}) FROM raw_facts"""))
+def q_scan_split(spark, sf):
+    """Raw facts as CSV lines, some malformed: accepted rows and quarantined raw lines from one pass, both counts observed."""
+    raw = B.raw_snapshot(spark, sf).select("obs_id", "year", "dollar_price")
+    accepted, lines, counts = J.split_lines(spark, raw)
+    kept = accepted.groupBy("year").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("dollar_price").alias("total"))
+    bad = lines.groupBy(F.split("line", ",")[1].cast("int").alias("year")).agg(F.count(F.lit(1)).alias("n_rows"))
+    both = spark.createDataFrame([("observed", None, counts["accepted"], float(counts["rejected"]))],
+                                 "kind string, year int, n_rows long, total double")
+    out = kept.select(F.lit("accepted").alias("kind"), "year", "n_rows", "total") \
+        .unionByName(bad.select(F.lit("rejected").alias("kind"), "year", "n_rows", F.lit(None).cast("double").alias("total"))) \
+        .unionByName(both)
+    return norm(out, {"total": 2})
+
+
 @query("sink_metrics", W(RIDGE_SQL + """
 , e AS (SELECT sqrt(avg((dollar_price - prediction) * (dollar_price - prediction))) AS rmse,
        1 - sum((dollar_price - prediction) * (dollar_price - prediction)) / (var_pop(dollar_price) * count(*)) AS r2,
@@ -983,7 +1072,7 @@ def q_residual_limits(spark, sf):
 
 @query("scatter_line", W(DASH_SQL + """
 , s AS (SELECT * FROM d WHERE GDP_dollar IS NOT NULL AND USD_raw IS NOT NULL),
-y AS (SELECT *, (0.0 + ROUND(USD_raw * 100, 1)) AS pct FROM s WHERE year = (SELECT max(year) FROM s))
+y AS (SELECT *, (0.0 + round_even(USD_raw * 100 * 10, 0) / 10) AS pct FROM s WHERE year = (SELECT max(year) FROM s))
 SELECT round(regr_slope(pct, GDP_dollar), 9) AS slope, round(regr_intercept(pct, GDP_dollar), 6) AS intercept,
        round(regr_r2(pct, GDP_dollar), 9) AS r2, regr_count(pct, GDP_dollar) AS n,
        round(min(GDP_dollar), 2) AS x_min, round(max(GDP_dollar), 2) AS x_max FROM y"""))
@@ -999,7 +1088,7 @@ ORACLE["violin_density"] = ORACLE["kde_curve"]
 @query("hover_text", W(DASH_SQL + """
 SELECT obs_id, name || '<br>Valuation: ' || CASE WHEN p >= 0 THEN '+' ELSE '' END || printf('%.1f', p)
        || '%<br>Price: $' || printf('%.2f', (0.0 + ROUND(dollar_price, 2))) AS hover
-FROM (SELECT obs_id, name, dollar_price, (0.0 + ROUND(USD_raw * 100, 1)) AS p FROM d WHERE USD_raw IS NOT NULL)"""))
+FROM (SELECT obs_id, name, dollar_price, (0.0 + round_even(USD_raw * 100 * 10, 0) / 10) AS p FROM d WHERE USD_raw IS NOT NULL)"""))
 def q_hover_text(spark, sf):
     """Per-row labels (exact cent prices: no rounding tie can depend on summation order)."""
     d = J.dashboard_frame(spark, sf).filter(F.col("USD_raw").isNotNull())
@@ -1010,7 +1099,7 @@ def q_hover_text(spark, sf):
 , g AS (SELECT name, iso_a3, avg(USD_raw) AS m FROM d GROUP BY name, iso_a3),
 ok AS (SELECT * FROM g WHERE name IS NOT NULL AND iso_a3 IS NOT NULL AND m IS NOT NULL)
 SELECT name, CASE WHEN p >= 0 THEN '+' ELSE '' END || printf('%.1f', p) || '%' AS index_text FROM (
-  SELECT name, (0.0 + ROUND(m * 100, 1)) AS p FROM ok)"""))
+  SELECT name, (0.0 + round_even(m * 100 * 10, 0) / 10) AS p FROM ok)"""))
 def q_fmt_pct(spark, sf):
     g = S.mean_by_entity(J.dashboard_frame(spark, sf).filter(F.col("iso_a3").isNotNull()), "name", "USD_raw", "m")
     return g.filter(F.col("name").isNotNull() & F.col("m").isNotNull()).select("name", C.fmt_pct("m").alias("index_text"))
@@ -1091,6 +1180,13 @@ def q_top_bottom_users(spark, sf):
     return norm(t.drop("display"), {"value": 6})
 
 
+@query("box_stats_sketch")
+def q_box_stats_sketch(spark, sf):
+    """Box statistics with quartiles from stored KLL sketches (no SQL twin; rank error tested against the exact ranks)."""
+    stats, _ = D.box_stats(B.facts_snapshot(spark, sf), "year", "dollar_price", sketches=J.price_sketches(spark, sf))
+    return norm(stats, {"q1": 2, "median": 2, "q3": 2, "fence_lo": 2, "fence_hi": 2, "whisker_lo": 2, "whisker_hi": 2})
+
+
 @query("box_stats_approx")
 def q_box_stats_approx(spark, sf):
     """Box statistics from the mergeable ``percentile_approx`` sketch (rows-only; tested against exact)."""

@@ -13,8 +13,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators import clean, enrich, link, reshape, select, summarize
+from ..operators import clean, cube, enrich, link, reshape, select, sketches, summarize
 from ..schemas import DEFAULT_REGION, GDP_BIN_EDGES, GDP_BIN_LABELS, NO_DATA_LABEL, key_column, snapshot_columns
 from ..functions.columns import bin_label
 from ..session import scratch_path
@@ -125,11 +126,21 @@ def dashboard_frame(spark: SparkSession, sf_dir: str, facts: DataFrame | None =
     """Facts without the duplicate-entity names, with region (default for unmapped) and income level."""
     df = facts if facts is not None else bindings.facts_snapshot(spark, sf_dir)
     df = clean.exclude_values(df, "name", ["UAE", "Britain"])
-    df = clean.map_with_default(df, "iso_a3", region_map(spark, sf_dir), "code", "region", "region",
-                                DEFAULT_REGION, broadcast_mapping=True)
+    df = clean.map_with_default(df, "iso_a3", region_map(spark, sf_dir), "code", "region", "region", DEFAULT_REGION)
     return df.withColumn("gdp_level", bin_label("GDP_dollar", GDP_BIN_EDGES, GDP_BIN_LABELS, NO_DATA_LABEL))
 
 
+def dashboard_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facet cube of the dashboard frame, written once beside the fact snapshot; the facts are scanned this once."""
+    return bindings.derived(spark, sf_dir, "facet-cube", lambda: cube.facet_cube(dashboard_frame(spark, sf_dir)))
+
+
+def price_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantile sketches of the price per (year, month), written once beside the fact snapshot."""
+    return bindings.derived(spark, sf_dir, "price-sketches", lambda: sketches.quantile_sketches(
+        bindings.facts_snapshot(spark, sf_dir).withColumn("month", F.month("date")), ["year", "month"], "dollar_price"))
+
+
 # Facet choice used by the dashboard queries.
 FACET_YEARS = (1996, 1999)
 FACET_REGIONS = ["ASIA", "EUROPE", "AMERICA"]
@@ -173,5 +184,23 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def observed_snapshot(spark: SparkSession, df: DataFrame, measures: list) -> dict:
+    """Write a snapshot by year and return ``measures`` as observed while it was written."""
+    path = scratch_path(spark, f"observed-{uuid.uuid4().hex}")
+    return writers.sink_parquet(df, path, partition_by=["year"], observe=measures)
+
+
+def split_lines(spark: SparkSession, raw: DataFrame) -> tuple[DataFrame, DataFrame, dict]:
+    """(obs_id, year, dollar_price) as CSV lines, some spoilt, read back through ``scan_split``."""
+    price = F.when(F.col("obs_id") % 50 == 0, F.lit("n.a.")).otherwise(F.col("dollar_price").cast("string"))
+    line = F.concat_ws(",", F.col("obs_id").cast("string"), F.col("year").cast("string"), price,
+                       F.when(F.col("obs_id") % 70 == 0, F.lit("surplus")))
+    path = scratch_path(spark, f"lines-{uuid.uuid4().hex}")
+    raw.select(line.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("obs_id", T.LongType()), T.StructField("year", T.IntegerType()),
+                           T.StructField("dollar_price", T.DoubleType())])
+    return readers.scan_split(spark, path, schema, scratch_path(spark, f"split-{uuid.uuid4().hex}"), header=False)
+
+
 def top_support(df: DataFrame, k: int = 10) -> DataFrame:
     return summarize.top_k_support(df, "name", k, value="dollar_price")

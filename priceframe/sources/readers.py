@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import FACT_SCHEMA, POP_SNAPSHOT_YEARS, key_column, snapshot_columns, year_columns
+from .writers import sink_parquet
 
 
 def scan_facts(spark: SparkSession, path: str, schema: T.StructType | None = FACT_SCHEMA,
-               fmt: str = "csv", corrupt_column: str | None = None) -> DataFrame:
+               fmt: str = "csv", corrupt_column: str | None = None, header: bool = True) -> DataFrame:
     """Fact file(s) with a declared schema (no inference pass); malformed cells become null.
 
     ``schema=None`` reads every column as text, for files whose layout is unknown.
@@ -18,7 +20,7 @@ def scan_facts(spark: SparkSession, path: str, schema: T.StructType | None = FAC
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "PERMISSIVE")
+        reader = reader.option("header", header).option("mode", "PERMISSIVE")
     if schema is not None:
         if corrupt_column:
             schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
@@ -27,6 +29,24 @@ def scan_facts(spark: SparkSession, path: str, schema: T.StructType | None = FAC
     return reader.load(path)
 
 
+def scan_split(spark: SparkSession, path: str, schema: T.StructType, out: str,
+               corrupt_column: str = "_corrupt", header: bool = True) -> tuple[DataFrame, DataFrame, dict]:
+    """CSV files in one pass into accepted rows and quarantined lines: (accepted, lines, counts).
+
+    A line that does not fit ``schema`` is written to the quarantine as its raw
+    text, any other to the accepted rows; both stand under ``out``.  ``counts``
+    has ``accepted`` and ``rejected``, observed while writing.
+    """
+    rows = scan_facts(spark, path, schema, corrupt_column=corrupt_column, header=header)
+    bad = F.col(corrupt_column).isNotNull()
+    counts = sink_parquet(rows.withColumn("rejected", bad.cast("int")), out, partition_by=["rejected"], observe=[
+        F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected")])
+    whole = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType()), T.StructField("rejected", T.IntegerType())])
+    back = spark.read.schema(whole).parquet(out)
+    return (back.filter("rejected = 0").drop("rejected", corrupt_column),
+            back.filter("rejected = 1").select(F.col(corrupt_column).alias("line")), counts)
+
+
 def scan_wide_years(spark: SparkSession, path: str, key_name: str = "country_name") -> tuple[DataFrame, list[str]]:
     """Wide CSV: first column = key, all-digit headers = years. All cells read as text."""
     df = spark.read.option("header", True).csv(path)

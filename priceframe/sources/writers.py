@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def sink_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
-                 mode: str = "overwrite", cluster_by: Sequence[str] | None = None) -> None:
+def sink_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, mode: str = "overwrite",
+                 cluster_by: Sequence[str] | None = None, observe: Sequence[Column] = ()) -> dict:
     """Write Parquet in parallel; ``partition_by=['year']`` lets year filters prune folders.
 
     ``cluster_by`` range-partitions the rows first (sampled boundaries, so no
@@ -17,13 +17,20 @@ def sink_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     folders' worth of files instead of a small file in every folder, and row
     groups carry tight min/max statistics for pushed range filters.  The rows'
     hash is the last key, so one value with most rows is still split.
+
+    ``observe``: named aggregates taken of the rows while they are written; their
+    values are returned by name, without a second scan.
     """
     if cluster_by:
         df = df.repartitionByRange(*cluster_by, F.xxhash64(*df.columns))
+    seen = Observation() if observe else None
+    if seen is not None:
+        df = df.observe(seen, *observe)
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    return seen.get if seen is not None else {}
 
 
 def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -120,3 +120,17 @@ def test_release_scratch_removes_intermediates(spark):
     assert os.path.isdir(p) or p.startswith("hdfs")
     assert release_scratch(spark) >= 1
     assert not os.path.exists(p)
+
+
+def test_years_outside_the_usual_span_are_filled(spark):
+    """Facts of 1995: their population is extrapolated too, so their income is not left out."""
+    d = tempfile.mkdtemp(prefix="pf-jobs-")
+    facts = FACTS + "1995-04-01,ARG,ARS,Argentina,1.9,1.0,1.9,0.0,,1.8\n"
+    gdp = GDP.replace("Country,1999", "Country,1995,1999").replace("Argentina,", 'Argentina,"258,000.0",')
+    for line in ("Korea,", "Viet Nam,", "United Statees,", "Chile,"):
+        gdp = gdp.replace(line, line + "1.0,")
+    paths = _write(d, "facts.csv", facts), _write(d, "gdp.csv", gdp), _write(d, "pop.csv", POP)
+    enriched, _ = batch.enrich_job(spark, *paths)
+    pop = batch.population_estimate(spark, paths[2], 1995, 1995).filter("cca3 = 'ARG'").first()["population_est"]
+    got = enriched.filter("year = 1995").first()["GDP_dollar"]
+    assert abs(got - 258000.0 * 1e9 / pop) < 1e-6 * got

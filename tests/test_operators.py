@@ -42,7 +42,7 @@ def test_exclude_values_keeps_null(spark):
 def test_map_with_default(spark):
     df = spark.createDataFrame([("ARG",), ("ZZZ",), (None,)], "code string")
     m = spark.createDataFrame([("ARG", "South America")], "k string, v string")
-    out = {r["code"]: r["region"] for r in clean.map_with_default(df, "code", m, "k", "v", "region", "Other", True).collect()}
+    out = {r["code"]: r["region"] for r in clean.map_with_default(df, "code", m, "k", "v", "region", "Other").collect()}
     assert out == {"ARG": "South America", "ZZZ": "Other", None: "Other"}
 
 
@@ -125,11 +125,11 @@ def test_top_bottom_overlap_when_few_entities(spark):
 def test_latest_per_entity_branches(spark):
     few = [("X", "x", 0.1, 2000), ("X", "x", 0.2, 2001), ("Y", "y", 0.3, 1999)]
     df = spark.createDataFrame(few, "iso_a3 string, name string, USD_raw double, year int")
-    got = sorted((r["iso_a3"], r["year"]) for r in select.latest_per_entity(df).collect())
+    got = sorted((r["iso_a3"], r["year"]) for r in select.latest_per_entity(df, "enough").collect())
     assert got == [("X", 2001), ("Y", 1999)]   # < 10 rows in 2001 → latest row per code
     many = [(f"C{i}", f"c{i}", 0.01 * i, 2001) for i in range(10)] + [("Z", "z", 0.5, 1999)]
     df2 = spark.createDataFrame(many, "iso_a3 string, name string, USD_raw double, year int")
-    assert select.latest_per_entity(df2).count() == 10
+    assert select.latest_per_entity(df2, "enough").count() == 10
 
 
 def test_histogram_edges(spark):
@@ -207,8 +207,8 @@ def test_latest_year_nine_versus_ten_rows(spark):
         rows = [(f"C{i}", f"c{i}", 0.1 * i, 2001) for i in range(n_latest)]
         rows += [(f"C{i}", f"c{i}", -0.1, 2000) for i in range(12)]
         return spark.createDataFrame(rows, "iso_a3 string, name string, USD_raw double, year int")
-    assert select.latest_per_entity(frame(10)).count() == 10                 # the latest year's rows
-    out = select.latest_per_entity(frame(9)).collect()                       # latest row per code
+    assert select.latest_per_entity(frame(10), "enough").count() == 10                 # the latest year's rows
+    out = select.latest_per_entity(frame(9), "enough").collect()                       # latest row per code
     assert len(out) == 12 and sum(1 for r in out if r["year"] == 2001) == 9
     assert select.latest_per_entity(frame(9), mode="year").count() == 9
     assert select.latest_per_entity(frame(10), mode="per_key").count() == 12

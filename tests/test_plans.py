@@ -25,7 +25,7 @@ def test_snapshot_scan_reads_only_needed_columns(spark):
 
 def test_hot_key_selections_use_aggregates_not_windows(spark):
     f = B.facts_snapshot(spark, SF_SMALL)
-    for df in (select.latest_per_entity(f), S.kpi_summary(f)):
+    for df in (select.latest_per_entity(f, "enough"), S.kpi_summary(f)):
         p = _plan(df)
         assert "Window" not in p and "SortMergeJoin" not in p
     q, d, _ = J.link_inputs(spark, SF_SMALL)
@@ -38,7 +38,7 @@ def test_one_row_statistics_are_scalar_subqueries(spark):
     li = B.table(spark, SF_SMALL, "lineitem")
     f = B.facts_snapshot(spark, SF_SMALL)
     for df in (D.histogram(li, "l_extendedprice"),
-               D.kde_curve(li, "l_extendedprice"), select.latest_per_entity(f), select.snapshot_at(f)):
+               D.kde_curve(li, "l_extendedprice"), select.latest_per_entity(f, "enough"), select.snapshot_at(f)):
         p = _plan(df)
         assert "Subquery" in p
         assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p and "SortMergeJoin" not in p
