@@ -23,7 +23,8 @@ from priceframe.llm.common import materialize, pick, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not predicted toxic, columns unchanged; learnt from ``labels`` and these documents.
 
-    Without a toxic document to learn from nothing is known to be toxic: all stay.
+    Without a toxic document to learn from, or with so few labels that no feature
+    of a text has a weight, nothing is known to be toxic: all stay.
     """
     rows = materialize(toxicity.labelled(docs, table(spark, sf_dir, "labels")), "toxic-rows")
     if not rows.where("label = 1").head(1):
@@ -67,5 +68,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: A trained classifier and a tokenizer are no SQL; tests/llm holds the stages against brute force.
+#: A trained classifier and a tokenizer are no SQL; tests/llm holds every stage against a plain version on small tables.
 ORACLE_SQL = None

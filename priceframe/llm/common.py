@@ -6,13 +6,13 @@ import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators._util import broadcast_if_small, materialize
+from ..operators._util import in_order, materialize, positions
 
-__all__ = ["WORD", "components", "in_order", "materialize", "member_sketch", "pick", "positions", "rows_per_task",
-           "small_batches", "sorted_groups", "table"]
+__all__ = ["WORD", "caller_row", "components", "in_order", "materialize", "member_sketch", "only_caches_of", "pick",
+           "positions", "rows_per_task", "small_batches", "sorted_groups", "table"]
 
 #: A word: a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -27,6 +27,23 @@ def pick(name: str):
     return F.col(f"`{name}`")
 
 
+def caller_row(docs: DataFrame):
+    """All columns of ``docs`` as one struct ``row``: beside it an operator's own names cannot meet the caller's."""
+    return F.struct(*[pick(c) for c in docs.columns]).alias("row")
+
+
+#: What an operator keeps in a reused Python worker: the functions that forget it, by owner.
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def only_caches_of(owner: str, forget: Callable[[], None] | None = None) -> None:
+    """Forget what other operators left in this Python worker; ``forget`` will do so for ``owner`` when another one comes."""
+    for other in [k for k in _CACHES if k != owner]:
+        _CACHES.pop(other)()
+    if forget is not None:
+        _CACHES[owner] = forget
+
+
 def small_batches(spark: SparkSession, rows: int = 500, size: int = 8 << 20) -> None:
     """Bound the Arrow batches of this session: what a Python worker and the JVM beside it hold of long texts at a time."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -79,38 +96,6 @@ def sorted_groups(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[
         yield last, pd.concat(held) if len(held) > 1 else held[0]
 
 
-def in_order(df: DataFrame, keys: list[str], at: str = "at") -> DataFrame:
-    """``df`` written in the order of ``keys`` (nulls first) with ``at`` long, which ascends with it.
-
-    Rows are cut into ranges of the keys and sorted there, so no key has to fit a
-    task as long as the keys tell rows apart; ``at >> 33`` is the range's number.
-    ``df`` should be narrow and read from files: its ranges are sampled first.
-    """
-    cols = [pick(k) for k in keys]
-    return materialize(df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-                       .withColumn(at, F.monotonically_increasing_id()), "ordered")
-
-
-def positions(df: DataFrame, group: list[str], order: list[str], name: str = "pos") -> DataFrame:
-    """``df`` with ``name`` long: a row's place, from 0, among its group's rows by ``order`` (nulls first).
-
-    A group may have any share of the rows: it spreads over ranges of (group,
-    order), and a range's first place is the sum of the counts before it.  Only
-    (group, range) counts meet in a window: at most one row per range in a group.
-    """
-    placed = in_order(df, group + order, "at__")
-    part = F.shiftright("at__", 33).alias("part__")
-    runs = (placed.groupBy(*[pick(g) for g in group], part).agg(F.min("at__").alias("low__"), F.count("*").alias("n__")))
-    upto = Window.partitionBy(*[pick(g) for g in group]).orderBy("part__").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("off__", F.coalesce(F.sum("n__").over(upto), F.lit(0)) - F.col("low__")).drop("low__", "n__")
-    runs = broadcast_if_small(runs.select(*[pick(g).alias(f"g{i}__") for i, g in enumerate(group)], "part__", "off__"))
-    on = F.shiftright(placed["at__"], 33) == runs["part__"]
-    for i, g in enumerate(group):
-        on = on & placed[f"`{g}`"].eqNullSafe(runs[f"g{i}__"])
-    return placed.join(runs, on).select(*[placed[f"`{c}`"] for c in df.columns],
-                                        (F.col("at__") + F.col("off__")).alias(name))
-
-
 def _state(df: DataFrame) -> tuple:
     r = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
     return r["n"], r["h"]

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucket_of, components, materialize, member_sketch, pick, table
+from .common import bucket_of, caller_row, components, materialize, member_sketch, pick, table
 
 EDITS = 2          #: edit distance up to which lines link: two typos, a changed two-digit number or date
 MIN_CHARS = 16     #: code points below which only equal lines link
@@ -215,21 +215,21 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cut = materialize(cut, "line-cut")
 
     key = F.xxhash64(F.col("__id"), F.col("__tk"))
-    rest = [c for c in docs.columns if c != "dropped"]
-    rows = docs.select(*[pick(c) for c in rest], F.xxhash64(pick(text_col).cast("string")).alias("__k"))
-    rows = rows.withColumn("bucket__", bucket_of(F.xxhash64(pick(id_col), F.col("__k"))))
-    sketch = member_sketch(cut, key).withColumnRenamed("bucket", "bucket__")
-    same = rows.join(sketch, "bucket__", "left_anti").select(
-        *[pick(c) for c in rest], F.lit(None).cast("array<int>").alias("dropped"))
-    maybe = rows.join(sketch, "bucket__", "left_semi")
-    on = maybe[f"`{id_col}`"].eqNullSafe(cut["__id"]) & (maybe["__k"] == cut["__tk"])
-    kept = F.array_join(F.filter(F.split(pick(text_col).cast("string"), "\n", -1),
-                                 lambda x, i: ~F.array_contains(F.col("__dropped"), i)), "\n")
-    changed = maybe.join(cut, on, "left").select(
-        *[F.when(F.col("__dropped").isNull(), pick(c)).otherwise(kept).alias(c) if c == text_col else pick(c)
-          for c in rest], F.col("__dropped").alias("dropped"))
-    empty = F.array().cast("array<int>")
-    return same.unionByName(changed).withColumn("dropped", F.coalesce("dropped", empty))
+    rest = docs.select(*[pick(c) for c in docs.columns if c != "dropped"])
+    text = F.xxhash64(pick(text_col).cast("string"))
+    rows = rest.select(pick(id_col).alias("id"), text.alias("tk"), bucket_of(F.xxhash64(pick(id_col), text)).alias("bucket"),
+                       caller_row(rest))
+    sketch = member_sketch(cut, key)
+    same = rows.join(sketch, "bucket", "left_anti").select("row", F.lit(None).cast("array<int>").alias("cut"))
+    maybe = rows.join(sketch, "bucket", "left_semi")
+    on = maybe["id"].eqNullSafe(cut["__id"]) & (maybe["tk"] == cut["__tk"])
+    changed = maybe.join(cut, on, "left").select("row", F.col("__dropped").alias("cut"))
+    kept = F.array_join(F.filter(F.split(F.col("row")[text_col].cast("string"), "\n", -1),
+                                 lambda x, i: ~F.array_contains(F.col("cut"), i)), "\n")
+    return same.unionByName(changed).select(
+        *[F.when(F.col("cut").isNull(), F.col("row")[c]).otherwise(kept).alias(c) if c == text_col
+          else F.col("row")[c].alias(c) for c in rest.columns],
+        F.coalesce("cut", F.array().cast("array<int>")).alias("dropped"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

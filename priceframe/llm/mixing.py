@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, pick, table
+from .common import WORD, caller_row, materialize, pick, table
 
 WEIGHTS = (5, 2, 1)   #: weights of the sources in their order, repeating
 MAX_TIMES = 3         #: a target stops at this many times its source's size
@@ -158,12 +158,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__of"),
         F.col("copies").alias("__copies")).distinct()
     chosen = materialize(chosen, "mix-chosen")
-    rows = docs.withColumn("__size", size)
-    on = (rows[f"`{id_col}`"].eqNullSafe(chosen["__id"]) & (rows["__size"] == chosen["__of"])
-          & rows[f"`{source_col}`"].cast("string").eqNullSafe(chosen["__source"]))
+    rows = docs.select(pick(id_col).alias("id"), pick(source_col).cast("string").alias("source"), size.alias("size"),
+                       caller_row(docs))
+    on = (rows["id"].eqNullSafe(chosen["__id"]) & (rows["size"] == chosen["__of"])
+          & rows["source"].eqNullSafe(chosen["__source"]))
     return rows.join(chosen, on).select(
-        *[pick(c) for c in docs.columns], F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int"))).alias("__x")
-    ).select(*[pick(c) for c in docs.columns])
+        "row", F.explode(F.array_repeat(F.lit(1), F.col("__copies").cast("int")))).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

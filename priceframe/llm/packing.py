@@ -37,16 +37,16 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     def run(batches):
         enc = encoder(vocabulary)
         end, width = enc.pack([end_id]), enc.dtype.itemsize
-        step = length * width
         for pdf in batches:
             out = []
             for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                 ids = enc.encode(text) + end
                 n = len(ids) // width
-                for at in range(0, len(ids), step):
-                    part = ids[at:at + step]
-                    crc = zlib.crc32(np.frombuffer(part, enc.dtype).astype("<u4").tobytes())
-                    out.append((doc, at // width, len(part) // width, crc, n, part if with_ids else None))
+                wide = memoryview(np.frombuffer(ids, enc.dtype).astype("<u4")).cast("B")
+                for at in range(0, n, length):
+                    to = min(at + length, n)
+                    out.append((doc, at, to - at, zlib.crc32(wide[4 * at:4 * to]), n,
+                                ids[at * width:to * width] if with_ids else None))
             got = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"])
             yield got
 

@@ -189,7 +189,7 @@ def trie(conversations: DataFrame, block: int = BLOCK, shared: int = SHARED, chu
     below = materialize(rows.groupBy("d", "p").agg(F.min("c").alias("c"), F.count("*").alias("n"), F.max("chars").alias("chars"),
                                                    F.min("q").alias("q")).select("d", "p", "c", "n", "chars", "q"), "trie-nodes")
     up = below.select((F.col("d") + 1).alias("d"), F.col("p").alias("q"), F.col("c").alias("pc"))
-    first = F.broadcast(top.select(F.lit(1).cast("long").alias("d"), F.col("c").alias("pc")))  # one row
+    first = F.broadcast(top.select((F.col("d") + 1).alias("d"), F.col("c").alias("pc")))  # one row
     cols = ["d", "p", "c", "n", "chars", "pc"]
     nodes = below.where("d > 1").join(up, ["d", "q"]).select(*cols) \
         .unionByName(below.where("d = 1").join(first, "d").select(*cols)) \

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, materialize, pick, sorted_groups, table
+from .common import caller_row, components, materialize, pick, sorted_groups, table
 
 SHINGLE = 3      #: words a shingle
 MAX_BITS = 3     #: fingerprints link at this many differing bits or fewer
@@ -193,15 +193,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Of repeated rows with that id and text, the one first in the order of its
     other columns' hash stays.
     """
-    from pyspark.sql import Window
-
     chosen = near_dedup(docs, id_col, text_col, **how).where("keep").select(
         F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    rows = docs.withColumn("__k", F.xxhash64(pick(text_col)))
-    on = rows[f"`{id_col}`"].cast("long").eqNullSafe(chosen["__id"]) & (rows["__k"] == chosen["__key"])
-    w = Window.partitionBy(pick(id_col), "__k").orderBy(F.xxhash64(*[pick(c) for c in docs.columns]))
-    return (rows.join(chosen, on, "left_semi").withColumn("__n", F.row_number().over(w))
-            .where("__n = 1").select(*[pick(c) for c in docs.columns]))
+    rows = docs.select(pick(id_col).cast("long").alias("id"), F.xxhash64(pick(text_col)).alias("key"),
+                       F.xxhash64(*[pick(c) for c in docs.columns]).alias("order"), caller_row(docs))
+    on = rows["id"].eqNullSafe(chosen["__id"]) & (rows["key"] == chosen["__key"])
+    # A partial aggregate: however often a row repeats, a task hands on one of its copies.
+    return rows.join(chosen, on, "left_semi").groupBy("id", "key").agg(F.min_by("row", "order").alias("row")).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,11 +10,15 @@ other white space) goes to the tokenizer whole.
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
+from .common import only_caches_of
+
 CACHE = 1 << 20   #: chunks remembered by one Python worker; the rest are encoded each time they come
+LONGEST = 64      #: code points of a chunk that is remembered: an entry has at most some hundred bytes
 
 
 def vocabulary_path(name: str) -> str:
@@ -35,33 +39,50 @@ class ChunkEncoder:
 
         self.tok = Tokenizer.from_file(vocabulary_path(name))
         self.dtype = np.dtype("<u2" if self.tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"  # native order: little-endian on the machines Spark runs on
         # White space is a token of its own for byte-level vocabularies and dropped by word-end ones.
         self.drops_blanks = not self.tok.encode(" \n ", add_special_tokens=False).ids
+        # Ids that begin with a blank, which byte-level vocabularies print as one letter: there a blank-led chunk begins.
+        self.starts = None
+        blank = self.tok.encode(" ", add_special_tokens=False).tokens
+        if not self.drops_blanks and len(blank) == 1:
+            size = self.tok.get_vocab_size(with_added_tokens=True)
+            self.starts = np.array([(self.tok.id_to_token(i) or "").startswith(blank[0]) for i in range(size)])
         self.limit = cache
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = self.first if self.drops_blanks else {}
 
     def pack(self, ids) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
+        return array(self.code, ids).tobytes()
 
     def whole(self, text: str) -> bytes:
         return self.pack(self.tok.encode(text, add_special_tokens=False).ids)
 
-    def _look(self, cache: dict, chunks: list[str], lead: str) -> list[bytes]:
+    def _encode(self, chunks: list[str], lead: str) -> list[bytes]:
+        """The ids of each chunk after ``lead``; blank-led ones as one text, cut at the ids that begin with the blank."""
+        if lead == " " and self.starts is not None:
+            coded = self.tok.encode_batch_fast([lead + lead.join(chunks)], add_special_tokens=False)[0].ids
+            ids = np.array(coded, dtype=self.dtype)
+            at = self.starts[ids].nonzero()[0] * self.dtype.itemsize
+            if len(at) == len(chunks):
+                flat = ids.tobytes()
+                return [flat[a:b] for a, b in zip(at.tolist(), [*at[1:].tolist(), len(flat)], strict=True)]
+        coded = self.tok.encode_batch_fast([lead + c for c in chunks], add_special_tokens=False)
+        return [self.pack(e.ids) for e in coded]
+
+    def _look(self, cache: dict, chunks: list[str], lead: str) -> list[bytes] | None:
+        """The ids of each chunk, or None if one is not independent of its neighbours (a chunk in the cache is)."""
         found = list(map(cache.get, chunks))
         if None in found:
             new = list({c for c, f in zip(chunks, found, strict=True) if f is None})
-            coded = self.tok.encode_batch_fast([lead + c for c in new], add_special_tokens=False)
-            fresh = {c: self.pack(e.ids) for c, e in zip(new, coded, strict=True)}
+            if not (self.drops_blanks or all(c and not c[0].isspace() and not c[-1].isspace() for c in new)):
+                return None
+            fresh = dict(zip(new, self._encode(new, lead), strict=True))
             if len(cache) + len(fresh) <= self.limit:
-                cache.update(fresh)
+                cache.update((c, ids) for c, ids in fresh.items() if len(c) <= LONGEST)
             found = [fresh[c] if f is None else f for c, f in zip(chunks, found, strict=True)]
         return found
 
-    def _independent(self, chunks: list[str]) -> bool:
-        known = self.later
-        return all(c in known or (c and not c[0].isspace() and not c[-1].isspace()) for c in chunks)
-
     def encode(self, text: str | None) -> bytes:
         """The packed ids of one text; null and empty texts have none."""
         if not text:
@@ -69,12 +90,17 @@ class ChunkEncoder:
         if self.drops_blanks:
             return b"".join(self._look(self.later, [c for c in text.replace("\n", " ").split(" ") if c], ""))
         chunks = text.split(" ")
-        if not self._independent(chunks):
-            return self.whole(text)
-        return b"".join(self._look(self.first, chunks[:1], "") + self._look(self.later, chunks[1:], " "))
+        rest = self._look(self.later, chunks[1:], " ")
+        first = None if rest is None else self._look(self.first, chunks[:1], "")
+        return self.whole(text) if first is None else b"".join(first + rest)
 
 
-@lru_cache(maxsize=4)
-def encoder(name: str, cache: int = CACHE) -> ChunkEncoder:
-    """One encoder per file and Python worker."""
+@lru_cache(maxsize=1)
+def _encoder(name: str, cache: int) -> ChunkEncoder:
     return ChunkEncoder(name, cache)
+
+
+def encoder(name: str, cache: int = CACHE) -> ChunkEncoder:
+    """One encoder per Python worker, until another operator works there."""
+    only_caches_of("tokens", _encoder.cache_clear)
+    return _encoder(name, cache)

@@ -14,13 +14,15 @@ hundreds.  Scoring is a map over the scan: no shuffle of texts.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, pick, rows_per_task, table
+from .common import caller_row, materialize, only_caches_of, pick, rows_per_task, table
 
 BITS = 24             #: feature space 2**BITS
 SAMPLE = 24_000       #: labelled rows that are learnt from, expected at most
@@ -53,29 +55,41 @@ def features(text: str | None, bits: int = BITS) -> np.ndarray:
     return ((np.concatenate(parts) * _MIX[0]) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def log_odds(labels) -> float:
+    """What is known of a row before its text: the log-odds of label 1, half a row of either kind added."""
+    good = sum(labels)
+    return math.log((good + 0.5) / (len(labels) - good + 0.5))
+
+
 class Ftrl:
-    """FTRL-proximal logistic regression with a bias; state per coordinate (z, n)."""
+    """FTRL-proximal logistic regression; state per coordinate (z, n).
+
+    The bias, coordinate 2**bits, starts at ``bias`` and has no L1 threshold: a
+    base rate is no feature that must earn its place.
+    """
 
-    def __init__(self, bits: int, alpha: float, beta: float, l1: float, l2: float):
-        size = (1 << bits) + 1
-        self.z, self.n = np.zeros(size, np.float32), np.zeros(size, np.float32)
-        self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
+    def __init__(self, bits: int, alpha: float, beta: float, l1: float, l2: float, bias: float = 0.0):
+        self.last = 1 << bits
+        self.z, self.n = np.zeros(self.last + 1, np.float32), np.zeros(self.last + 1, np.float32)
+        self.alpha, self.beta, self.l1, self.l2, self.bias = alpha, beta, l1, l2, bias
 
     def weights(self, at: np.ndarray) -> np.ndarray:
         z, n = self.z[at], self.n[at]
-        return np.where(np.abs(z) <= self.l1, 0.0,
-                        (np.sign(z) * self.l1 - z) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2))
+        l1 = np.where(at == self.last, 0.0, self.l1)
+        w = np.where(np.abs(z) <= l1, 0.0, (np.sign(z) * l1 - z) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2))
+        return w + np.where(at == self.last, self.bias, 0.0)
 
     def learn(self, at: np.ndarray, y: int) -> None:
         """One row: ``at`` its distinct coordinates, the bias (last) among them."""
         w = self.weights(at)
         g = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35))) - y
         n = self.n[at]
-        self.z[at] += g - (np.sqrt(n + g * g) - np.sqrt(n)) / self.alpha * w
+        moved = w - np.where(at == self.last, self.bias, 0.0)
+        self.z[at] += g - (np.sqrt(n + g * g) - np.sqrt(n)) / self.alpha * moved
         self.n[at] = n + g * g
 
     def nonzero(self) -> tuple[np.ndarray, np.ndarray]:
-        at = np.flatnonzero(np.abs(self.z) > self.l1)
+        at = np.append(np.flatnonzero(np.abs(self.z[:-1]) > self.l1), self.last)
         return at, self.weights(at)
 
 
@@ -84,20 +98,22 @@ def train(rows: DataFrame, bits: int = BITS, epochs: int = EPOCHS, shard_rows: i
     """(coordinates, weights) learnt from ``rows(key, text, label)``; the bias has coordinate 2**bits.
 
     Rows go to shards by the hash of ``key``.  No rows give no weights: every
-    score is then 0.5.
+    score is then 0.5.  Rows too few for any feature to pass the L1 threshold give
+    the bias alone, their base rate.
     """
     rows = materialize(rows, "toxic-sample")
     shards = rows_per_task(rows.count(), shard_rows)
 
     def fit(held):
-        model = Ftrl(bits, alpha, beta, l1, l2)
+        model = Ftrl(bits, alpha, beta, l1, l2, log_odds([y for _, y in held]))
         for _ in range(epochs):
             for at, y in held:
                 model.learn(at, y)
         at, w = model.nonzero()
         return pd.DataFrame({"at": at.astype("int64"), "w": w.astype("float64")})
 
-    def run(batches):  # a partition may hold several shards, one after the other: a model each
+    def run(batches):
+        only_caches_of("toxicity")  # a partition may hold several shards, one after the other: a model each
         held, open_ = [], None
         for pdf in batches:
             for shard, text, label in zip(pdf["shard"], pdf["text"], pdf["label"], strict=True):
@@ -119,23 +135,22 @@ def train(rows: DataFrame, bits: int = BITS, epochs: int = EPOCHS, shard_rows: i
     return got["at"].to_numpy(dtype=np.int64), got["w"].to_numpy(dtype=np.float64)
 
 
-_DENSE: dict = {}
-
-
 def _scores(texts, model: tuple[np.ndarray, np.ndarray], bits: int) -> np.ndarray:
-    """Probabilities of texts; the weights laid out densely are kept for the worker's next batch."""
+    """Probabilities of texts; the model's coordinates are ascending."""
+    only_caches_of("toxicity")
     at, w = model
-    kept = _DENSE.get("of")
-    if kept is None or kept[0] is not model:
-        dense = np.zeros(1 << bits, np.float32)
-        dense[at[at < 1 << bits]] = w[at < 1 << bits]
-        kept = _DENSE["of"] = (model, dense, float(w[at == 1 << bits].sum()))
-    _, dense, bias = kept
+    known, weight, bias = at[at < 1 << bits], w[at < 1 << bits], float(w[at == 1 << bits].sum())
+    # One bit for every 64 neighbouring coordinates: most features need no search.
+    near = np.zeros((1 << bits) // 64 + 1, bool)
+    near[known >> 6] = True
     sums = []
     for text in texts:
         f = features(text, bits)
-        hit = np.unique(f[dense[f] != 0])
-        sums.append(bias + float(dense[hit].sum(dtype=np.float64)))
+        f = np.unique(f[near[f >> 6]])
+        place = np.searchsorted(known, f)
+        hit = place < len(known)
+        hit[hit] = known[place[hit]] == f[hit]
+        sums.append(bias + float(weight[place[hit]].sum()))
     return 1.0 / (1.0 + np.exp(-np.clip(np.array(sums, dtype=np.float64), -35, 35)))
 
 
@@ -162,16 +177,20 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str =
 
 def keep_clean(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_col: str = "text", bits: int = BITS,
                threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` below the threshold, all columns as they were."""
+    """The rows of ``docs`` below the threshold, all columns as they were.
+
+    A row goes only for something in its text: one that no feature raises above
+    the model's base rate stays, also where few labels make that rate high.
+    """
+    base = float(_scores([""], model, bits)[0])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
         return pd.Series(_scores(texts, shared.value, bits), dtype="float64")
 
-    text = pick(text_col).cast("string")
-    return docs.withColumn("__score", scored(text)).where(F.col("__score") < threshold) \
-        .select(*[pick(c) for c in docs.columns])
+    rows = docs.select(scored(pick(text_col).cast("string")).alias("score"), caller_row(docs))
+    return rows.where((F.col("score") < threshold) | (F.col("score") <= base + 1e-12)).select("row.*")
 
 
 def held_out(id_col: str = "doc_id"):
@@ -202,7 +221,8 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` per row of ``docs``, learnt from ``labels`` outside the held-out fold.
 
-    Defined cases: a null or empty text has the bias's score; a null id is not
+    Defined cases: a null or empty text has the bias's score, about the share of
+    label 1; with a handful of labels every text has it; a null id is not
     held out and not learnt from; repeated rows get equal scores; without
     labels every score is 0.5; an empty table gives no rows; other columns are
     not read.

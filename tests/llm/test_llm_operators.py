@@ -156,7 +156,7 @@ def test_toxicity_weights_are_the_mean_of_one_model_per_shard(spark, shards):
     assert len(by) == shards
     want = np.zeros((1 << 14) + 1)
     for held in by.values():
-        model = toxicity.Ftrl(14, 3.0, 1.0, 1.0, 0.0)
+        model = toxicity.Ftrl(14, 3.0, 1.0, 1.0, 0.0, toxicity.log_odds([y for _, y in held]))
         for _ in range(3):
             for at, y in held:
                 model.learn(at, y)
