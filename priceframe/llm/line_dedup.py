@@ -1,4 +1,4 @@
-"""Operator 5: line dedup by a segment-partition edit join, DataFrame functions only.
+"""Operator 5: line dedup by a segment-partition edit join.
 
 Two lines link when they are equal, or both have at least ``MIN_CHARS`` code
 points and their edit distance is at most ``EDITS``.  Of a connected class of
@@ -11,27 +11,34 @@ length from its own to EDITS shorter and every segment, the substrings that a
 segment left whole can stand at (the multi-match-aware window), so two lines
 within EDITS meet on at least one key.  Pairs that meet are verified by an edit
 distance that carries, per number of edits, the reachable diagonals of the
-band as bits of one word and takes a character a step.
+band as bits of one word and takes a character a step, many pairs together (numpy
+inside Arrow batches; all else is DataFrame functions).
 
 Scale: one scan turns lines into hashes and keys, which are written once; all
 that follows is over these narrow rows.  The join is over distinct lines, so a
 line that a third of all documents repeat is one row, and letter counts that ride
-along rule out most pairs inside it.  Text of lines is moved only for
-candidate pairs, texts of documents only where lines are cut; both are found
+along rule out most pairs inside it.  A segment that very many lines share makes
+no pairs: its lines are folded chunk by chunk to spanning forests.  Text of
+lines is moved only for candidates, texts of documents only where lines are cut; both are found
 at the scan by sketches of bounded size (``member_sketch``).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucket_of, caller_row, components, materialize, member_sketch, pick, table
+from .common import bucket_of, caller_row, components, materialize, member_sketch, pick, sorted_groups, table
 
 EDITS = 2          #: edit distance up to which lines link: two typos, a changed two-digit number or date
 MIN_CHARS = 16     #: code points below which only equal lines link
 #: Letters whose counts bound the edit distance from below before texts are fetched.
 COUNTED = "etanor"
+HOT = 64           #: lines on a key above which it makes no pairs
+BLOCK = 128        #: lines of a chunk of such a key, about
+CELLS = 1 << 21    #: characters of pairs that are verified together
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -58,8 +65,8 @@ def _key(i: int, length, chars):
     return F.xxhash64(F.lit(i), length.cast("int"), chars)
 
 
-def index_keys(line, edits: int = EDITS) -> list:
-    n = F.char_length(line)
+def index_keys(line, n, edits: int = EDITS) -> list:
+    """The keys of a line's own segments; ``n`` is a column with its length, counted once for all keys."""
     return [_key(i, n, F.substring(line, s, z)) for i, (s, z) in enumerate(_segments(n, edits))]
 
 
@@ -77,9 +84,9 @@ def probe_places(edits: int = EDITS) -> list[tuple[int, int, int]]:
     return out
 
 
-def probe_keys(line, edits: int = EDITS) -> list:
-    """The keys at ``probe_places``, null where a substring would leave the line."""
-    n, out = F.char_length(line), []
+def probe_keys(line, n, edits: int = EDITS) -> list:
+    """The keys at ``probe_places``, null where a substring would leave the line of ``n`` code points."""
+    out = []
     for less, i, shift in probe_places(edits):
         s, z = _segments(n - less, edits)[i]
         at = s + shift
@@ -87,42 +94,79 @@ def probe_keys(line, edits: int = EDITS) -> list:
     return out
 
 
-def within(a, b, edits: int = EDITS):
-    """Whether the edit distance of two strings is at most ``edits``: banded, bit-parallel over the band's diagonals.
+def within(lines: list[str], ia: np.ndarray, ib: np.ndarray, edits: int = EDITS) -> np.ndarray:
+    """Whether lines[ia[k]] and lines[ib[k]] are at most ``edits`` apart: banded, bit-parallel over the band's diagonals.
 
     Bit d + edits of word e after j characters of b says that a's first j + d
-    characters can become b's first j with at most e edits.
+    characters can become b's first j with at most e edits.  Many pairs take a
+    step together; those without a reachable diagonal leave.
     """
-    width = 2 * edits + 1
-    full = (1 << width) - 1
-    ca, cb = F.split(a, ""), F.split(b, "")
-    na, nb = F.char_length(a), F.char_length(b)
-    pair = F.struct(ca.alias("a"), cb.alias("b"))
-
-    def run(p):
-        start = F.struct(*[F.lit(sum(1 << (d + edits) for d in range(e + 1))).alias(f"r{e}") for e in range(edits + 1)])
-
-        def step(s, j):
-            c = F.get(p["b"], j)
-            match = F.lit(0)
-            for d in range(-edits, edits + 1):
-                match = match + F.when(F.get(p["a"], j + d) == c, 1 << (d + edits)).otherwise(0)
-            words = []
-            for e in range(edits + 1):
-                w = s[f"r{e}"].bitwiseAND(match)
-                if e:
-                    old, new = s[f"r{e - 1}"], words[e - 1]
-                    w = w.bitwiseOR(old).bitwiseOR(F.shiftright(old, 1)).bitwiseOR(F.shiftleft(new, 1))
-                words.append(w.bitwiseAND(F.lit(full)))
-            return F.struct(*[w.alias(f"r{e}") for e, w in enumerate(words)])
-
-        last = F.aggregate(F.sequence(F.lit(0), F.size(p["b"]) - 1), start, step)[f"r{edits}"]
-        at = F.size(p["a"]) - F.size(p["b"]) + edits
-        return F.call_function("shiftright", last, at).bitwiseAND(F.lit(1)) == 1
-
-    # One element, so that both arrays are made once a pair and not once a step.
-    checked = F.transform(F.array(pair), run)[0]
-    return F.when(F.abs(na - nb) > edits, False).when((na == 0) | (nb == 0), F.abs(na - nb) <= edits).otherwise(checked)
+    size = np.array([len(x) for x in lines], dtype=np.int64)
+    out = np.zeros(len(ia), dtype=bool)
+    todo = np.flatnonzero(np.abs(size[ia] - size[ib]) <= edits)
+    todo = todo[np.argsort(-size[ib[todo]], kind="stable")]
+    at = 0
+    while at < len(todo):  # the longest first: a slice's first pair tells how many fit
+        part = todo[at:at + max(1, CELLS // int(size[ib[todo[at]]] + 2 * edits + 1))]
+        out[part] = _steps(lines, ia[part], ib[part], size, edits)
+        at += len(part)
+    return out
+
+
+def _steps(lines: list[str], ia: np.ndarray, ib: np.ndarray, size: np.ndarray, edits: int) -> np.ndarray:
+    """``within`` for pairs in descending length of the second line, whose lengths differ by ``edits`` at most."""
+    used, place = np.unique(np.concatenate([ia, ib]), return_inverse=True)
+    table_ = np.full((int(size[used].max()) + 2 * edits + 1, len(used)), 0xFFFFFFFF, dtype=np.uint32)
+    for col, k in enumerate(used.tolist()):  # characters start in row ``edits``; what pads them equals none
+        table_[edits:edits + len(lines[k]), col] = np.frombuffer(lines[k].encode("utf-32-le", "surrogatepass"), "<u4")
+    a, b = table_[:, place[:len(ia)]], table_[:, place[len(ia):]]
+    nb, last = size[ib], (size[ia] - size[ib] + edits).astype(np.uint32)
+    full = np.uint32((1 << (2 * edits + 1)) - 1)
+    words = [np.full(len(ia), sum(1 << (d + edits) for d in range(e + 1)), dtype=np.uint32) for e in range(edits + 1)]
+    out, who, one = np.zeros(len(ia), dtype=bool), np.arange(len(ia)), np.uint32(1)
+    for j in range(int(nb[0]) + 1):
+        going = int(np.searchsorted(-nb, -j, side="left"))  # pairs whose second line has a character j
+        if going < len(who):
+            out[who[going:]] = (words[edits][going:] >> last[going:]) & one == 1
+            who, nb, last, a, b = who[:going], nb[:going], last[:going], a[:, :going], b[:, :going]
+            words = [w[:going] for w in words]
+        if j % 16 == 15:
+            live = np.flatnonzero(words[edits])
+            if 2 * len(live) < len(who):
+                who, nb, last, a, b = who[live], nb[live], last[live], a[:, live], b[:, live]
+                words = [w[live] for w in words]
+        if not len(who):
+            break
+        match = np.zeros(len(who), dtype=np.uint32)
+        for d in range(2 * edits + 1):
+            match |= (a[j + d] == b[j + edits]).astype(np.uint32) << np.uint32(d)
+        new = []
+        for e, old in enumerate(words):
+            w = old & match
+            if e:
+                w |= words[e - 1] | (words[e - 1] >> one) | (new[e - 1] << one)
+            new.append(w & full)
+        words = new
+    return out
+
+
+def forest(names: list[str], lines: list[str], edits: int) -> list[tuple[str, str]]:
+    """A spanning forest of the links among some lines: at most one link less than lines."""
+    ia, ib = np.triu_indices(len(lines), 1)
+    near = within(lines, ia, ib, edits)
+    root, out = list(range(len(lines))), []
+
+    def top(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for x, y in zip(ia[near].tolist(), ib[near].tolist(), strict=True):
+        rx, ry = top(x), top(y)
+        if rx != ry:
+            root[ry] = rx
+            out.append((names[x], names[y]))
+    return out
 
 
 def letter_counts(line):
@@ -143,29 +187,65 @@ def _apart(a, b):
     return total
 
 
-def line_links(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str, edits: int, min_chars: int) -> DataFrame:
-    """``(u, v)`` names of lines within ``edits``; ``distinct`` has (h1, sig, ks, ps) of the distinct long lines."""
+def line_links(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str, edits: int, min_chars: int,
+               hot: int = HOT, block: int = BLOCK) -> DataFrame:
+    """``(u, v)`` names of lines, which connect them as all links within ``edits`` would.
+
+    ``distinct`` has (h1, sig, ks, ps) of the distinct long lines.  A probe meets
+    at most ``hot`` lines on a key.  Keys that more lines have (and what shares
+    their sketch bucket) make no pairs: their lines are cut into chunks, and each
+    pair of chunks is folded to a spanning forest.
+    """
     index = distinct.select("h1", "sig", F.explode("ks").alias("key"))
     by = [F.col("h1").alias("by"), F.col("sig").alias("by_sig")]
     less = F.array(*[F.lit(x) for x, _, _ in probe_places(edits)])
     asked = distinct.select(*by, F.explode("ks").alias("key"), F.lit(0).alias("less")).unionByName(
         distinct.select(*by, F.posexplode("ps").alias("at", "key")).where("key is not null")
         .withColumn("less", F.get(less, F.col("at"))).drop("at"))
-    # Letter counts ride along: a pair they rule out never leaves the join, however many lines share a segment.
-    met = asked.join(index, "key").where("h1 <> by and (less > 0 or h1 < by)") \
+    crowded = member_sketch(materialize(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot)
+                                        .select("key"), "line-hot"), F.col("key"))
+    index, asked = (df.withColumn("bucket", bucket_of(F.col("key"))) for df in (index, asked))
+
+    # Letter counts ride along: a pair they rule out never leaves the join.
+    met = asked.join(crowded, "bucket", "left_anti").join(index.join(crowded, "bucket", "left_anti"), "key") \
+        .where("h1 <> by and (less > 0 or h1 < by)") \
         .where(_apart(F.col("sig"), F.col("by_sig")) <= 2 * edits).select("h1", "by").distinct()
     met = materialize(met, "line-pairs")
-    # The texts of lines in a pair, from a scan that the sketch of their hashes narrows.
-    wanted = member_sketch(met.select("h1").union(met.select("by")), F.col("h1"))
+    members = materialize(index.join(crowded, "bucket", "left_semi").select("key", "h1").unionByName(
+        asked.join(crowded, "bucket", "left_semi").select("key", F.col("by").alias("h1"))).distinct(), "line-members")
+    sizes = materialize(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "line-sizes")
+
+    # The texts of all these lines, from a scan that the sketch of their hashes narrows.
+    wanted = member_sketch(met.select("h1").union(met.select("by")).union(members.select("h1")), F.col("h1"))
     texts = (_lines(docs, id_col, text_col).where(F.char_length("line") >= min_chars)
              .withColumn("h1", F.xxhash64("line")).withColumn("bucket", bucket_of(F.col("h1")))
              .join(wanted, "bucket", "left_semi").withColumn("h2", F.xxhash64(F.lit(11), "line"))
              .groupBy("h1", "h2").agg(F.first("line").alias("line")))
-    texts = materialize(texts, "line-texts")
-    left = texts.select("h1", F.col("h2").alias("h2a"), F.col("line").alias("a"))
-    right = texts.select(F.col("h1").alias("by"), F.col("h2").alias("h2b"), F.col("line").alias("b"))
-    pairs = met.join(left, "h1").join(right, "by").where(within(F.col("a"), F.col("b"), edits))
-    return pairs.select(_name("h1", "h2a").alias("u"), _name("by", "h2b").alias("v"))
+    texts = materialize(texts.select("h1", _name("h1", "h2").alias("name"), "line"), "line-texts")
+    left = texts.select("h1", F.col("name").alias("u"), F.col("line").alias("a"))
+    right = texts.select(F.col("h1").alias("by"), F.col("name").alias("v"), F.col("line").alias("b"))
+
+    def verify(batches):
+        for pdf in batches:
+            k = np.arange(len(pdf))
+            yield pdf.loc[within([*pdf["a"], *pdf["b"]], k, k + len(pdf), edits), ["u", "v"]]
+
+    pairs = met.join(left, "h1").join(right, "by").select("u", "v", "a", "b").mapInPandas(verify, "u string, v string")
+
+    chunks = F.ceil(F.col("n") / F.lit(block)).cast("int")
+    group = ["key", "i", "j"]
+    rows = (members.join(sizes, "key").join(texts, "h1")
+            .withColumn("g", F.pmod(F.xxhash64(F.lit(7), "h1"), chunks.cast("long")).cast("int"))
+            .withColumn("o", F.explode(F.sequence(F.lit(0), chunks - 1)))
+            .select("key", F.least("g", "o").alias("i"), F.greatest("g", "o").alias("j"), "name", "line"))
+
+    def fold(batches):
+        for _, g in sorted_groups(batches, group):
+            if len(g) > 1:
+                yield pd.DataFrame(forest(g["name"].tolist(), g["line"].tolist(), edits), columns=["u", "v"], dtype="object")
+
+    folded = rows.repartition(*group).sortWithinPartitions(*group).mapInPandas(fold, "u string, v string")
+    return pairs.unionByName(folded)
 
 
 def _name(a: str, b: str):
@@ -173,7 +253,7 @@ def _name(a: str, b: str):
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS,
-               min_chars: int = MIN_CHARS) -> DataFrame:
+               min_chars: int = MIN_CHARS, hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """The columns of ``docs`` with repeated lines cut from the text, and ``dropped``, the positions cut (from 0).
 
     Lines are what line feeds part; blank lines are kept and never linked.
@@ -186,18 +266,21 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     if min_chars <= edits:
         raise ValueError("min_chars must be above edits: every segment needs a character")
-    line = F.col("line")
-    long = F.char_length(line) >= min_chars
-    rows = materialize(_lines(docs, id_col, text_col).select(
+    line, n = F.col("line"), F.col("n")
+    long = n >= min_chars
+    # The length is a column of its own below the keys: each of them would count the code points anew.  Short lines
+    # get keys, too, which nobody reads: under a condition the keys' common parts would be computed again and again.
+    rows = materialize(_lines(docs, id_col, text_col).withColumn("n", F.char_length("line")).select(
         F.struct(F.col("id").isNull().alias("none"), "id", "tk", "pos").alias("o"),
         F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(11), line).alias("h2"),
-        F.when(long, letter_counts(line)).alias("sig"), F.when(long, F.array(*index_keys(line, edits))).alias("ks"),
-        F.when(long, F.array(*probe_keys(line, edits))).alias("ps")), "line-rows")
+        F.when(long, letter_counts(line)).alias("sig"), F.array(*index_keys(line, n, edits)).alias("ks"),
+        F.array(*probe_keys(line, n, edits)).alias("ps")), "line-rows")
     occurrences = rows.select("h1", "h2", "o")
     classes = materialize(rows.groupBy("h1", "h2").agg(
         F.min("o").alias("first"), F.count("*").alias("n"), F.first("sig").alias("sig"), F.first("ks").alias("ks"),
         F.first("ps").alias("ps")), "lines")
-    links = materialize(line_links(docs, classes.where("sig is not null"), id_col, text_col, edits, min_chars), "line-links")
+    links = materialize(line_links(docs, classes.where("sig is not null"), id_col, text_col, edits, min_chars, hot, block),
+                        "line-links")
     star = materialize(components(links), "line-star")
     named = star.select(F.col("u").alias("name"), "root").unionByName(
         star.select(F.col("root").alias("name"), "root").distinct())

@@ -311,7 +311,7 @@ def test_line_dedup_equals_brute_force(spark, edits):
 
 
 @pytest.mark.parametrize("edits", [0, 1, 2, 4])
-def test_bit_parallel_distance(spark, edits):
+def test_bit_parallel_distance(monkeypatch, edits):
     rng = random.Random(edits)
     pairs = [("", ""), ("", "a"), ("ab", ""), ("漢字", "漢")]
     for _ in range(150):
@@ -323,9 +323,50 @@ def test_bit_parallel_distance(spark, edits):
             if b and rng.random() < 0.4:
                 b.pop()
         pairs.append((a, "".join(b)))
-    got = spark.createDataFrame(pairs, "a string, b string").withColumn(
-        "w", line_dedup.within(F.col("a"), F.col("b"), edits)).collect()
-    assert all(r["w"] == (edit_distance(r["a"], r["b"]) <= edits) for r in got)
+    long = "".join(rng.choice("abc é漢") for _ in range(400))
+    pairs += [(long[:n] + x + long[n:], long[:m] + long[m + k:]) for n in (0, 31, 399) for m in (0, 30, 397)
+              for x in ("", "z", "zz") for k in (0, 1, 2)]
+    lines = [x for pair in pairs for x in pair]
+    ia = np.arange(0, len(lines), 2)
+    want = [edit_distance(a, b) <= edits for a, b in pairs]
+    assert line_dedup.within(lines, ia, ia + 1, edits).tolist() == want
+    monkeypatch.setattr(line_dedup, "CELLS", 500)  # many small slices
+    assert line_dedup.within(lines, ia, ia + 1, edits).tolist() == want
+
+
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_line_dedup_folds_crowded_keys_like_brute_force(spark, edits):
+    rng = random.Random(40 + edits)
+    stem = "the cat sat on one long mat by the river"
+    rows = []
+    for i in range(60):
+        line = list(stem)
+        for _ in range(rng.randrange(0, edits + 3)):
+            at = rng.randrange(len(line))
+            line[at:at + 1] = rng.choice([[], ["x"], [" "], [line[at], "y"], [line[at], " "]])
+        rows.append((i, "".join(line)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    want = slow_line_dedup(rows, edits, 10)
+    for hot, block in ((1, 4), (8, 1000), (1000, 128)):
+        out = line_dedup.line_dedup(frame, edits=edits, min_chars=10, hot=hot, block=block)
+        assert {r["doc_id"]: r["dropped"] for r in out.collect()} == want
+
+
+def test_crowded_keys_give_no_more_links_than_lines_a_chunk_pair(spark):
+    n, block = 600, 128
+    lines = [(i, f"opened on day {i:04d} of the long season by the keeper of the gate") for i in range(n)]
+    docs = spark.createDataFrame(lines, "doc_id long, text string")
+    line = F.col("line")
+    distinct = line_dedup._lines(docs, "doc_id", "text").withColumn("n", F.char_length("line")).select(
+        F.xxhash64(line).alias("h1"), line_dedup.letter_counts(line).alias("sig"),
+        F.array(*line_dedup.index_keys(line, F.col("n"))).alias("ks"),
+        F.array(*line_dedup.probe_keys(line, F.col("n"))).alias("ps"))
+    links = line_dedup.line_links(docs, distinct, "doc_id", "text", 2, 16, block=block).collect()
+    chunks = -(-n // block)
+    # Two shared segments and their shifted twins, n - 1 links a chunk pair at most; all pairs would be 179,700.
+    assert len(links) <= 2 * (chunks + 1) * n
+    out = line_dedup.line_dedup(docs).where("size(dropped) = 0").collect()
+    assert [r["doc_id"] for r in out] == [0]  # numbers one digit apart chain all lines into one class
 
 
 def test_line_dedup_links_two_edits_by_default(spark):
