@@ -192,9 +192,8 @@ def line_links(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str,
     """``(u, v)`` names of lines, which connect them as all links within ``edits`` would.
 
     ``distinct`` has (h1, sig, ks, ps) of the distinct long lines.  A probe meets
-    at most ``hot`` lines on a key.  Keys that more lines have (and what shares
-    their sketch bucket) make no pairs: their lines are cut into chunks, and each
-    pair of chunks is folded to a spanning forest.
+    at most ``hot`` lines on a key.  Keys that more lines have make no pairs: their
+    lines are cut into chunks, and each pair of chunks is folded to a spanning forest.
     """
     index = distinct.select("h1", "sig", F.explode("ks").alias("key"))
     by = [F.col("h1").alias("by"), F.col("sig").alias("by_sig")]
@@ -202,17 +201,19 @@ def line_links(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str,
     asked = distinct.select(*by, F.explode("ks").alias("key"), F.lit(0).alias("less")).unionByName(
         distinct.select(*by, F.posexplode("ps").alias("at", "key")).where("key is not null")
         .withColumn("less", F.get(less, F.col("at"))).drop("at"))
-    crowded = member_sketch(materialize(index.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot)
-                                        .select("key"), "line-hot"), F.col("key"))
-    index, asked = (df.withColumn("bucket", bucket_of(F.col("key"))) for df in (index, asked))
+    counts = index.groupBy("key").agg(F.count("*").alias("n"))
+    crowded = materialize(counts.where(F.col("n") > hot).select("key"), "line-hot")
 
     # Letter counts ride along: a pair they rule out never leaves the join.
-    met = asked.join(crowded, "bucket", "left_anti").join(index.join(crowded, "bucket", "left_anti"), "key") \
-        .where("h1 <> by and (less > 0 or h1 < by)") \
+    few = index.join(counts.where(F.col("n") <= hot), "key", "left_semi")
+    met = asked.join(few, "key").where("h1 <> by and (less > 0 or h1 < by)") \
         .where(_apart(F.col("sig"), F.col("by_sig")) <= 2 * edits).select("h1", "by").distinct()
     met = materialize(met, "line-pairs")
-    members = materialize(index.join(crowded, "bucket", "left_semi").select("key", "h1").unionByName(
-        asked.join(crowded, "bucket", "left_semi").select("key", F.col("by").alias("h1"))).distinct(), "line-members")
+    sketch = member_sketch(crowded, F.col("key"))
+    members = index.select("key", "h1").unionByName(asked.select("key", F.col("by").alias("h1"))) \
+        .withColumn("bucket", bucket_of(F.col("key"))).join(sketch, "bucket", "left_semi") \
+        .join(crowded, "key", "left_semi").select("key", "h1").distinct()
+    members = materialize(members, "line-members")
     sizes = materialize(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "line-sizes")
 
     # The texts of all these lines, from a scan that the sketch of their hashes narrows.
