@@ -35,7 +35,7 @@ from .common import bucket_of, caller_row, components, materialize, member_sketc
 EDITS = 2          #: edit distance up to which lines link: two typos, a changed two-digit number or date
 MIN_CHARS = 16     #: code points below which only equal lines link
 #: Letters whose counts bound the edit distance from below before texts are fetched.
-COUNTED = "etanor"
+COUNTED = "et"
 HOT = 64           #: lines on a key above which it makes no pairs
 BLOCK = 128        #: lines of a chunk of such a key, about
 CELLS = 1 << 21    #: characters of pairs that are verified together
