@@ -1,15 +1,20 @@
-"""Operator 3: document fingerprints by SimHash over weighted terms, searched by multi-index hashing.
+"""Operator 3: document fingerprints by SimHash over weighted terms, searched in permuted block tables.
 
 A fingerprint has 128 bits.  Terms are pairs of neighbouring words (the text's
 start and end count as words); a term votes +w or -w on every bit by its hash,
 w = 1 + ln(occurrences), and a bit is 1 if its votes are above 0.  The share of
 equal bits of two fingerprints estimates how alike the texts are.
 
-Search: 128 bits in ``PARTS`` parts, each with a radius of its own; the radii plus
-one sum to ``RADIUS`` + 1, so fingerprints within ``RADIUS`` are within a part's
-radius in at least one part.  Entries are indexed once per part; the queries, few,
-probe with all values of a part within its radius, and the complete distance is
-verified in the join.  The radius covers copies with about 2 % of their words replaced.
+Search: permuted block tables.  The bits are cut into ``radius`` + ``FRONT`` blocks;
+two fingerprints within ``radius`` differ in at most ``radius`` of them, so at least
+``FRONT`` blocks are equal.  There is a table for every choice of ``FRONT`` blocks,
+keyed by these in front; a query meets the entries of each table that have its
+front, and the complete distance is verified in the join.  At 14 bits blocks are
+bytes and a front has 16 bits in each of 120 tables.  Tables are taken in
+``PASSES`` passes, so the shuffle on disk at a time is that of 30 tables, at most
+about 0.7 KB a distinct fingerprint; entries whose front no query of the pass has are left out
+before it by a bit set of fixed size.  The radius covers copies with about 1 % of
+their words replaced.
 
 The next document in descending id order comes from one range-dealt sort: ids
 are cut at their quantiles into buckets, each bucket is sorted by itself and
@@ -20,6 +25,7 @@ and texts are shuffled once.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -32,8 +38,12 @@ from pyspark.sql import types as T
 from .common import materialize, pick, small_batches, table
 
 BITS = 128
-RADIUS = 18         #: of the search; unrelated texts are about 64 bits apart
-PARTS = 6           #: of a fingerprint in the search, three of 21 or 22 bits in each half
+RADIUS = 14         #: of the search; unrelated texts are about 64 bits apart
+FRONT = 2           #: blocks that make a table's key
+PASSES = 4          #: in which the tables are searched
+BLOCK_BITS = 20     #: of a block that enter a key at most; the rest is compared in the join
+FRONT_BITS = FRONT * BLOCK_BITS
+MARKS = 1 << 23     #: bits of the set of fronts asked for in a pass, 64 to a row: a broadcast of at most 2^17 rows
 QUERY_EVERY = 100   #: rows whose id this divides are the search's queries
 SEED = 3
 CHUNK = 4096        #: terms whose bits are laid out at a time
@@ -159,56 +169,75 @@ def _halves(fp):
     return [F.conv(F.substring(fp, at, 16), 16, -10).cast("long") for at in (1, 17)]
 
 
-def _parts(radius: int) -> list[tuple[int, int, int, int]]:
-    """(half, lowest bit, width, radius) of the parts that are probed: radii plus one sum to ``radius`` + 1."""
-    each, over = divmod(radius + 1, PARTS)
-    per = PARTS // 2
-    edges = [round(i * 64 / per) for i in range(per + 1)]
-    return [(i // per, edges[i % per], edges[i % per + 1] - edges[i % per], each + (i < over) - 1)
-            for i in range(PARTS) if each + (i < over)]
+def _cut(high, low, at: int, width: int):
+    """Bits ``at`` to ``at + width`` of the 128 bits in two longs, from the lowest."""
+    if at >= 64:
+        v = F.shiftrightunsigned(high, at - 64)
+    elif at + width <= 64:
+        v = F.shiftrightunsigned(low, at)
+    else:
+        v = F.shiftrightunsigned(low, at).bitwiseOR(F.shiftleft(high, 64 - at))
+    return v if width >= 64 else v.bitwiseAND(F.lit((1 << width) - 1))
 
 
-def _ball(width: int, radius: int) -> list[int]:
-    """All numbers of ``width`` bits with at most ``radius`` ones."""
-    return [sum(1 << b for b in ones) for r in range(radius + 1) for ones in combinations(range(width), r)]
+def _blocks(radius: int) -> list[tuple[int, int]]:
+    """(lowest bit, width) of the blocks: ``FRONT`` more than can differ."""
+    edges = [round(i * BITS / (radius + FRONT)) for i in range(radius + FRONT + 1)]
+    return [(lo, hi - lo) for lo, hi in zip(edges, edges[1:], strict=False)]
 
 
-def search(queries: DataFrame, entries: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``(q, fp)``: every ``fp`` of ``entries`` within ``radius`` bits of a query fingerprint ``q``, both distinct."""
-    parts = _parts(radius)
+def search(queries: DataFrame, entries: DataFrame, radius: int = RADIUS, passes: int = PASSES) -> DataFrame:
+    """``(q, fp)``: every ``fp`` of ``entries`` within ``radius`` bits (at most 60) of a query fingerprint ``q``, both distinct.
 
-    def value(name, i):
-        half, low, width, _ = parts[i]
-        return F.shiftrightunsigned(F.col(f"{name}{half}"), low).bitwiseAND(F.lit((1 << width) - 1))
+    Every pass reads both frames again, so they should be read from files.  A
+    null fingerprint meets nothing; an empty side gives no rows.
+    """
+    blocks = _blocks(radius)
+    tables = list(combinations(range(len(blocks)), FRONT))
 
     def halves(df, name):
         hi, lo = _halves(F.col(name))
         return df.select(hi.alias(f"{name}0"), lo.alias(f"{name}1"))
 
-    def keys(name, ball):
-        cut = []
-        for i, (_, _, width, r) in enumerate(parts):
-            masks = F.lit(_ball(width, r) if ball else [0]).cast("array<long>")
-            cut.append(F.struct(F.lit(i).alias("i"), value(name, i).alias("v"), masks.alias("masks")))
-        return cut
-
-    index = halves(entries, "fp").withColumn("t", F.explode(F.array(*keys("fp", False)))) \
-        .select("fp0", "fp1", "t.i", F.col("t.v").alias("front"))
-    # A part at a time: the masks of a part are one literal, exploded beside the query's 16 bytes.
-    probes = halves(queries, "q").withColumn("t", F.explode(F.array(*keys("q", True)))) \
-        .select("q0", "q1", "t.i", "t.v", F.explode("t.masks").alias("mask")) \
-        .select("q0", "q1", "i", F.col("v").bitwiseXOR(F.col("mask")).alias("front"))
-    apart = sum((F.bit_count(F.col(f"q{h}").bitwiseXOR(F.col(f"fp{h}"))) for h in (0, 1)), F.lit(0))
-    # A pair that meets in several parts counts in the first of them.
-    least = F.lit(len(parts))
-    for i in reversed(range(len(parts))):
-        least = F.when(F.bit_count(value("q", i).bitwiseXOR(value("fp", i))) <= parts[i][3], i).otherwise(least)
+    def keyed(df, name, chosen):
+        """``df`` once per chosen table, with its key: the table's number, then the blocks in front."""
+        keys = []
+        for t in chosen:
+            key = F.lit(t << FRONT_BITS)
+            for i, b in enumerate(tables[t]):
+                at, width = blocks[b]
+                key = key.bitwiseOR(F.shiftleft(_cut(F.col(f"{name}0"), F.col(f"{name}1"), at, min(width, BLOCK_BITS)), BLOCK_BITS * i))
+            keys.append(key)
+        return df.select(f"{name}0", f"{name}1", F.explode(F.array(*keys)).alias("key"))
+
+    # A pair that meets in several tables counts in the one of its first equal blocks.
+    differ = [F.col(f"q{h}").bitwiseXOR(F.col(f"fp{h}")) for h in (0, 1)]
+    equal = F.lit(0).cast("long")
+    for b, (at, width) in enumerate(blocks):
+        equal = equal.bitwiseOR(F.when(_cut(*differ, at, width) == 0, F.lit(1 << b)).otherwise(F.lit(0)).cast("long"))
+    number = F.shiftrightunsigned("key", FRONT_BITS).cast("int") + 1
+    own = F.element_at(F.lit([sum(1 << b for b in t) for t in tables]).cast("array<long>"), number)
+    upto = F.element_at(F.lit([(2 << t[-1]) - 1 for t in tables]).cast("array<long>"), number)
+    apart = F.bit_count(differ[0]) + F.bit_count(differ[1])
 
     def text(name):
         return F.lower(F.concat(*[F.lpad(F.hex(f"{name}{h}"), 16, "0") for h in (0, 1)])).alias(name)
 
-    # The planner does not see how many rows the masks make: never a broadcast.
-    return probes.hint("merge").join(index, ["i", "front"]).where((apart <= radius) & (least == F.col("i"))).select(text("q"), text("fp"))
+    asked, held = halves(queries, "q"), halves(entries, "fp")
+    mark = F.pmod(F.xxhash64("key"), F.lit(MARKS))
+    parts = []
+    for p in range(min(passes, len(tables))):
+        chosen = range(p, len(tables), passes)
+        probes = keyed(asked, "q", chosen)
+        marks = probes.select(mark.alias("m")).groupBy(F.shiftright("m", 6).alias("word")).agg(
+            F.bit_or(F.expr("shiftleft(1L, cast(m & 63 as int))")).alias("set"))
+        index = keyed(held, "fp", chosen).withColumn("m", mark).withColumn("word", F.shiftright("m", 6)) \
+            .join(F.broadcast(marks), "word").where(F.getbit("set", F.col("m").bitwiseAND(F.lit(63)).cast("int")) == 1) \
+            .select("key", "fp0", "fp1")
+        # The planner does not see how many rows the tables make: never a broadcast.
+        parts.append(materialize(probes.hint("merge").join(index, "key").where(
+            (apart <= radius) & (equal.bitwiseAND(upto) == own)).select(text("q"), text("fp")), "fp-pass"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,7 +246,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialize(edited_fingerprints(table(spark, sf_dir, "documents")), "fingerprints")
     entries = materialize(rows.groupBy(F.col("fingerprint").alias("fp")).agg(F.count("*").alias("n")), "fp-tables")
     asked = F.col("doc_id") % QUERY_EVERY == 0
-    queries = rows.where(asked).select(F.col("fingerprint").alias("q")).distinct()
+    queries = materialize(rows.where(asked).select(F.col("fingerprint").alias("q")).distinct(), "fp-queries")
     near = materialize(search(queries, entries.select("fp")).join(entries, "fp")
                        .groupBy("q").agg((F.sum("n") - 1).alias("n_near")), "fp-near")
     on = (rows["fingerprint"] == near["q"]) & (rows["doc_id"] % QUERY_EVERY == 0)

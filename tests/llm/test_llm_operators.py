@@ -222,7 +222,7 @@ def test_fingerprint_search_finds_edited_copies(spark):
         assert (fps[d - d % 100], fp) in got
 
 
-@pytest.mark.parametrize("radius", [0, 2, 6, 18])
+@pytest.mark.parametrize("radius", [0, 2, 6, 14, 18])
 def test_fingerprint_search_equals_brute_force(spark, radius):
     rng = random.Random(radius)
     fps = {0, (1 << 128) - 1}
