@@ -43,7 +43,7 @@ FRONT = 2           #: blocks that make a table's key
 PASSES = 4          #: in which the tables are searched
 BLOCK_BITS = 20     #: of a block that enter a key at most; the rest is compared in the join
 FRONT_BITS = FRONT * BLOCK_BITS
-MARKS = 1 << 23     #: bits of the set of fronts asked for in a pass, 64 to a row: a broadcast of at most 2^17 rows
+MARKS = 1 << 23     #: bits of the set of fronts asked for in a pass, 64 to a long
 QUERY_EVERY = 100   #: rows whose id this divides are the search's queries
 SEED = 3
 CHUNK = 4096        #: terms whose bits are laid out at a time
@@ -186,6 +186,15 @@ def _blocks(radius: int) -> list[tuple[int, int]]:
     return [(lo, hi - lo) for lo, hi in zip(edges, edges[1:], strict=False)]
 
 
+def asked_fronts(marks: DataFrame):
+    """The set of numbers ``m`` below ``MARKS`` as one array of longs, 64 to each: a scalar of 1 MB whatever the input."""
+    words = marks.groupBy(F.shiftright("m", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(m & 63 as int))")).alias("set"))
+    every = marks.sparkSession.range(MARKS >> 6).withColumnRenamed("id", "word").join(words, "word", "left")
+    whole = every.agg(F.array_sort(F.collect_list(F.struct("word", F.coalesce("set", F.lit(0).cast("long")).alias("set")))).alias("w"))
+    return whole.select(F.transform("w", lambda x: x["set"])).scalar()
+
+
 def search(queries: DataFrame, entries: DataFrame, radius: int = RADIUS, passes: int = PASSES) -> DataFrame:
     """``(q, fp)``: every ``fp`` of ``entries`` within ``radius`` bits (at most 60) of a query fingerprint ``q``, both distinct.
 
@@ -229,10 +238,9 @@ def search(queries: DataFrame, entries: DataFrame, radius: int = RADIUS, passes:
     for p in range(min(passes, len(tables))):
         chosen = range(p, len(tables), passes)
         probes = keyed(asked, "q", chosen)
-        marks = probes.select(mark.alias("m")).groupBy(F.shiftright("m", 6).alias("word")).agg(
-            F.bit_or(F.expr("shiftleft(1L, cast(m & 63 as int))")).alias("set"))
-        index = keyed(held, "fp", chosen).withColumn("m", mark).withColumn("word", F.shiftright("m", 6)) \
-            .join(F.broadcast(marks), "word").where(F.getbit("set", F.col("m").bitwiseAND(F.lit(63)).cast("int")) == 1) \
+        asked_for = asked_fronts(probes.select(mark.alias("m")))
+        index = keyed(held, "fp", chosen).withColumn("m", mark).where(F.getbit(
+            F.element_at(asked_for, (F.shiftright("m", 6) + 1).cast("int")), F.col("m").bitwiseAND(F.lit(63)).cast("int")) == 1) \
             .select("key", "fp0", "fp1")
         # The planner does not see how many rows the tables make: never a broadcast.
         parts.append(materialize(probes.hint("merge").join(index, "key").where(
