@@ -99,6 +99,24 @@ def join_fill(df: DataFrame, panel: DataFrame, df_keys: Sequence[str], panel_key
     return out.drop(*[f"__pk{i}" for i in range(len(panel_keys))])
 
 
+def join_fill_bucketed(df: DataFrame, panel: DataFrame, df_keys: Sequence[str], panel_keys: Sequence[str],
+                       value: str, buckets: int, salts: int, salt: str) -> DataFrame:
+    """``join_fill`` for facts bucketed by ``df_keys`` and ``salt``, with a panel beyond a broadcast.
+
+    The panel, unique on its keys, is repeated once per salt and dealt to the
+    facts' ``buckets``; the facts are not shuffled, however often they are joined.
+    The columns of the keys must have one type on both sides.
+    """
+    names = [f"__pk{i}" for i in range(len(panel_keys))]
+    p = panel.select(*[F.col(k).alias(n) for k, n in zip(panel_keys, names, strict=True)], F.col(value),
+                     F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__ps"))
+    p = p.repartition(buckets, *names, "__ps").hint("merge")
+    cond = df[salt] == p["__ps"]
+    for k, n in zip(df_keys, names, strict=True):
+        cond = cond & (df[k] == p[n])
+    return df.join(p, cond, "left").drop(*names, "__ps", salt)
+
+
 def fill_from(df: DataFrame, target: str, source: str, zero_is_missing: bool = True) -> DataFrame:
     """``target = coalesce(target, source)``; an absent target becomes the source. Drops ``source``.
 

@@ -150,6 +150,35 @@ def derived(spark: SparkSession, sf_dir: str, tag: str, build) -> DataFrame:
     return spark.read.parquet(path)
 
 
+BUCKET_KEYS = ("iso_a3", "year")
+BUCKET_SALTS = 8
+
+
+def bucketed_snapshot(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """(the fact snapshot as a table bucketed by ``BUCKET_KEYS`` and a salt, its buckets), written once per snapshot.
+
+    There are as many buckets as shuffle partitions.
+    """
+    from ..session import scratch_path
+    from ..sources.writers import sink_bucketed
+
+    raw = raw_snapshot(spark, sf_dir)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = (spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", ""), os.path.abspath(sf_dir),
+           f"bucketed-{buckets}", _input_signature(spark, sf_dir))
+    path = _SNAPSHOTS.get(key)
+    if path is not None:
+        name = os.path.basename(path)
+        if _exists(spark, path) and spark.catalog.tableExists(name):
+            return spark.table(name), buckets
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    name = f"facts_{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
+    table_ = sink_bucketed(raw, name, path, BUCKET_KEYS, buckets, BUCKET_SALTS, "obs_id")
+    _SNAPSHOTS[key] = path
+    return table_, buckets
+
+
 def forget_snapshots(spark: SparkSession) -> None:
     """Drop this application's snapshot entries (after ``release_scratch`` deleted the files)."""
     app = spark.sparkContext.applicationId

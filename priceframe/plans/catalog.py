@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
-from ..operators import clean, cube, distribution as D, enrich, link, model, select, summarize as S
+from ..operators import bitmaps, clean, cube, distribution as D, enrich, link, model, select, summarize as S
 from ..schemas import CORR_COLS, DESCRIBE_COLS, MODEL_FEATURES, MODEL_REG_PARAM, PREVIEW_COLS
 from ..sources import readers, writers
 from . import bindings as B
@@ -202,6 +202,11 @@ def q_join_fill(spark, sf):
     return norm(J.enrich_facts(spark, sf).select(*FACT_COLS), FACT_DIGITS)
 
 
+@query("join_fill_bucketed", ORACLE["join_fill"])
+def q_join_fill_bucketed(spark, sf):
+    return norm(J.enrich_bucketed(spark, sf).select(*FACT_COLS), FACT_DIGITS)
+
+
 QUERIES["fill_from"] = q_join_fill
 ORACLE["fill_from"] = ORACLE["join_fill"]
 
@@ -550,6 +555,31 @@ def q_overview(spark, sf):
     return S.overview(B.facts_snapshot(spark, sf))
 
 
+@query("overview_bitmaps", ORACLE["overview"])
+def q_overview_bitmaps(spark, sf):
+    return bitmaps.overview(B.facts_snapshot(spark, sf))
+
+
+@query("distinct_users", """
+SELECT event_type, count(DISTINCT user_id) AS n_users FROM events GROUP BY event_type
+UNION ALL SELECT NULL, count(DISTINCT user_id) FROM events""")
+def q_distinct_users(spark, sf):
+    """Exact distinct users per event type and of all events, both from the bitmaps of (type, day)."""
+    b = J.user_bitmaps(spark, sf)
+    whole = bitmaps.bitmap_counts(b, [], "n_users").select(F.lit(None).cast("string").alias("event_type"), "n_users")
+    return bitmaps.bitmap_counts(b, ["event_type"], "n_users").unionByName(whole)
+
+
+@query("distinct_parts", """
+SELECT l_returnflag, year(l_shipdate) AS year, count(DISTINCT l_partkey) AS n_parts FROM lineitem GROUP BY 1, 2
+UNION ALL SELECT l_returnflag, NULL, count(DISTINCT l_partkey) FROM lineitem GROUP BY 1""")
+def q_distinct_parts(spark, sf):
+    """Exact distinct parts per return flag, by year and of all years, from the bitmaps of (flag, status, year)."""
+    b = J.part_bitmaps(spark, sf)
+    whole = bitmaps.bitmap_counts(b, ["l_returnflag"], "n_parts").withColumn("year", F.lit(None).cast("int"))
+    return bitmaps.bitmap_counts(b, ["l_returnflag", "year"], "n_parts").unionByName(whole)
+
+
 @query("null_counts", W("""
 SELECT * FROM (
   SELECT 'local_price' AS "column", count(*) FILTER (WHERE local_price IS NULL) AS n_null FROM raw_facts

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import clean, cube, enrich, link, reshape, select, sketches, summarize
+from ..operators import bitmaps, clean, cube, enrich, link, reshape, select, sketches, summarize
+from ..operators._util import materialize
 from ..schemas import DEFAULT_REGION, GDP_BIN_EDGES, GDP_BIN_LABELS, NO_DATA_LABEL, key_column, snapshot_columns
 from ..functions.columns import bin_label
 from ..session import scratch_path
@@ -116,6 +117,27 @@ def enrich_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.fill_from(filled, "GDP_dollar", "per_capita", zero_is_missing=True)
 
 
+def enrich_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``enrich_facts`` over the bucketed snapshot: no join with a panel shuffles the facts."""
+    table, buckets = bindings.bucketed_snapshot(spark, sf_dir)
+    panel = materialize(per_capita_panel(spark, sf_dir), "per-capita")
+    filled = enrich.join_fill_bucketed(clean.drop_incomplete(table), panel, bindings.BUCKET_KEYS, ["iso", "year"],
+                                       "per_capita", buckets, bindings.BUCKET_SALTS, writers.SALT)
+    return enrich.fill_from(filled, "GDP_dollar", "per_capita", zero_is_missing=True)
+
+
+def user_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps of the users per (event type, day), written; any group of these merges from them."""
+    ev = bindings.table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"), "user_id")
+    return materialize(bitmaps.distinct_bitmaps(ev, ["event_type", "day"], "user_id"), "user-bitmaps")
+
+
+def part_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps of the parts per (return flag, line status, year), written."""
+    li = bindings.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", F.year("l_shipdate").alias("year"), "l_partkey")
+    return materialize(bitmaps.distinct_bitmaps(li, ["l_returnflag", "l_linestatus", "year"], "l_partkey"), "part-bitmaps")
+
+
 def region_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """code → region label (nation ⋈ region; 25 rows at every scale)."""
     return bindings.nations(spark, sf_dir).select(F.col("n_nationkey").cast("string").alias("code"),

@@ -40,3 +40,23 @@ def sink_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def sink_metrics(metrics: DataFrame, path: str) -> None:
     """The one-row metrics record as JSON (a single small file)."""
     metrics.coalesce(1).write.mode("overwrite").json(path)
+
+
+#: Name of the column that ``sink_bucketed`` adds to the keys.
+SALT = "salt__"
+
+
+def sink_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int, salts: int,
+                  salt_by: str) -> DataFrame:
+    """Write an external table bucketed and sorted by ``keys`` and a salt, and return it.
+
+    Joins on the keys and the salt read the buckets as they lie, without a shuffle
+    of these rows.  The salt (a hash of ``salt_by`` in ``salts`` values) deals a key
+    with most rows to as many buckets, as a bucket cannot be split at run time.  Each
+    bucket is one file, written by one task.
+    """
+    by = [*keys, SALT]
+    rows = df.withColumn(SALT, F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
+    (rows.repartition(buckets, *by).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, *by).sortBy(*by).saveAsTable(table))
+    return df.sparkSession.table(table)
