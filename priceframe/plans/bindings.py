@@ -183,7 +183,9 @@ def forget_snapshots(spark: SparkSession) -> None:
     """Drop this application's snapshot entries (after ``release_scratch`` deleted the files)."""
     app = spark.sparkContext.applicationId
     for k in [k for k in _SNAPSHOTS if k[0] == app]:
-        del _SNAPSHOTS[k]
+        name = os.path.basename(_SNAPSHOTS.pop(k))
+        if k[3].startswith("bucketed-"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def facts_snapshot(spark: SparkSession, sf_dir: str, base: str = BASE_ENTITY) -> DataFrame:

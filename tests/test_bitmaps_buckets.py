@@ -96,3 +96,11 @@ def test_a_hot_key_lies_in_many_buckets(spark):
     got = enrich.join_fill_bucketed(t, panel, ["k"], ["k"], "v", 16, 16, writers.SALT)
     assert got.count() == 4000 and got.where("v = 1.5").count() == df.where("k = 'hot'").count()
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_released_scratch_takes_the_bucketed_table_along(spark):
+    name = B.bucketed_snapshot(spark, SF_SMALL)[0].inputFiles()[0].split("/")[-2]
+    assert spark.catalog.tableExists(name)
+    B.forget_snapshots(spark)
+    assert not spark.catalog.tableExists(name)
+    assert B.bucketed_snapshot(spark, SF_SMALL)[0].count() == B.raw_snapshot(spark, SF_SMALL).count()
