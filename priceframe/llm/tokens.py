@@ -70,29 +70,32 @@ class ChunkEncoder:
         coded = self.tok.encode_batch_fast([lead + c for c in chunks], add_special_tokens=False)
         return [self.pack(e.ids) for e in coded]
 
-    def _look(self, cache: dict, chunks: list[str], lead: str) -> list[bytes] | None:
-        """The ids of each chunk, or None if one is not independent of its neighbours (a chunk in the cache is)."""
-        found = list(map(cache.get, chunks))
-        if None in found:
-            new = list({c for c, f in zip(chunks, found, strict=True) if f is None})
-            if not (self.drops_blanks or all(c and not c[0].isspace() and not c[-1].isspace() for c in new)):
-                return None
-            fresh = dict(zip(new, self._encode(new, lead), strict=True))
-            if len(cache) + len(fresh) <= self.limit:
-                cache.update((c, ids) for c, ids in fresh.items() if len(c) <= LONGEST)
-            found = [fresh[c] if f is None else f for c, f in zip(chunks, found, strict=True)]
-        return found
+    def _look(self, cache: dict, chunks: list[str], lead: str) -> bytes | None:
+        """The ids of the chunks in a row, or None if one is not independent of its neighbours (a chunk in the cache is)."""
+        new = list(set(chunks).difference(cache))
+        if not new:
+            return b"".join(map(cache.__getitem__, chunks))
+        if not (self.drops_blanks or all(c and not c[0].isspace() and not c[-1].isspace() for c in new)):
+            return None
+        room = len(cache) + len(new) <= self.limit
+        # New chunks are looked up like old ones, then those go that are too long or for which there is no room.
+        cache.update(zip(new, self._encode(new, lead), strict=True))
+        out = b"".join(map(cache.__getitem__, chunks))
+        for c in new:
+            if not room or len(c) > LONGEST:
+                del cache[c]
+        return out
 
     def encode(self, text: str | None) -> bytes:
         """The packed ids of one text; null and empty texts have none."""
         if not text:
             return b""
         if self.drops_blanks:
-            return b"".join(self._look(self.later, [c for c in text.replace("\n", " ").split(" ") if c], ""))
+            return self._look(self.later, [c for c in text.replace("\n", " ").split(" ") if c], "")
         chunks = text.split(" ")
         rest = self._look(self.later, chunks[1:], " ")
         first = None if rest is None else self._look(self.first, chunks[:1], "")
-        return self.whole(text) if first is None else b"".join(first + rest)
+        return self.whole(text) if first is None else first + rest
 
 
 @lru_cache(maxsize=1)
