@@ -96,11 +96,11 @@ def write_token_files(docs: DataFrame, uri: str, id_col: str = "doc_id", text_co
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text") \
         .withColumn("doc_id", F.col("doc_id").cast("string"))  # exact through pandas also beside nulls
     spark = docs.sparkSession
-    ordered.mapInPandas(run, "shard int, docs long, tokens long, width int").write.mode("overwrite") \
-        .parquet(f"{uri}/counts")
+    counts = ordered.mapInPandas(run, "shard int, docs long, tokens long, width int")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per shard: the window's single task is as small as the number of writing tasks.
-    spark.read.parquet(f"{uri}/counts").select(
+    # One row per shard: the window's single task is as small as the number of writing tasks.  The counts reach it by
+    # the shuffle, so a shard's task leaves no file but the shard's, and a retried index does not tokenize anew.
+    counts.select(
         "shard", "docs", "tokens", "width",
         F.coalesce(F.sum("docs").over(before), F.lit(0)).cast("long").alias("doc_base"),
         F.coalesce(F.sum("tokens").over(before), F.lit(0)).cast("long").alias("token_base"),
