@@ -35,7 +35,7 @@ from .common import bucket_of, caller_row, components, materialize, member_sketc
 EDITS = 2          #: edit distance up to which lines link: two typos, a changed two-digit number or date
 MIN_CHARS = 16     #: code points below which only equal lines link
 #: Letters whose counts bound the edit distance from below before texts are fetched.
-COUNTED = "et"
+COUNTED = "etaoinshr"
 HOT = 64           #: lines on a key above which it makes no pairs
 BLOCK = 128        #: lines of a chunk of such a key, about
 CELLS = 1 << 21    #: characters of pairs that are verified together
@@ -191,24 +191,27 @@ def line_links(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str,
                hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """``(u, v)`` names of lines, which connect them as all links within ``edits`` would.
 
-    ``distinct`` has (h1, sig, ks, ps) of the distinct long lines.  A probe meets
+    ``distinct`` has (h1, ks, ps) of the distinct long lines.  A probe meets
     at most ``hot`` lines on a key.  Keys that more lines have make no pairs: their
     lines are cut into chunks, and each pair of chunks is folded to a spanning forest.
     """
-    index = distinct.select("h1", "sig", F.explode("ks").alias("key"))
-    by = [F.col("h1").alias("by"), F.col("sig").alias("by_sig")]
+    index = distinct.select("h1", F.explode("ks").alias("key"))
+    by = F.col("h1").alias("by")
     less = F.array(*[F.lit(x) for x, _, _ in probe_places(edits)])
-    asked = distinct.select(*by, F.explode("ks").alias("key"), F.lit(0).alias("less")).unionByName(
-        distinct.select(*by, F.posexplode("ps").alias("at", "key")).where("key is not null")
+    asked = distinct.select(by, F.explode("ks").alias("key"), F.lit(0).alias("less")).unionByName(
+        distinct.select(by, F.posexplode("ps").alias("at", "key")).where("key is not null")
         .withColumn("less", F.get(less, F.col("at"))).drop("at"))
     counts = index.groupBy("key").agg(F.count("*").alias("n"))
     crowded = materialize(counts.where(F.col("n") > hot).select("key"), "line-hot")
 
-    # Letter counts ride along: a pair they rule out never leaves the join.
+    # First the probes that meet any line, without forming pairs: most lines meet none and are left behind here.
     few = index.join(counts.where(F.col("n") <= hot), "key", "left_semi")
-    met = asked.join(few, "key").where("h1 <> by and (less > 0 or h1 < by)") \
-        .where(_apart(F.col("sig"), F.col("by_sig")) <= 2 * edits).select("h1", "by").distinct()
-    met = materialize(met, "line-pairs")
+    meets = F.col("h1").isNotNull() & (F.col("h1") != F.col("by")) & ((F.col("less") > 0) | (F.col("h1") < F.col("by")))
+    live = materialize(asked.join(few.withColumnRenamed("key", "own"), (F.col("key") == F.col("own")) & meets, "left_semi"),
+                       "line-live")
+    sketch = member_sketch(live, F.col("key"))
+    found = materialize(index.withColumn("bucket", bucket_of(F.col("key"))).join(sketch, "bucket", "left_semi")
+                        .join(live.select("key").distinct(), "key", "left_semi").select("key", "h1"), "line-found")
     sketch = member_sketch(crowded, F.col("key"))
     members = index.select("key", "h1").unionByName(asked.select("key", F.col("by").alias("h1"))) \
         .withColumn("bucket", bucket_of(F.col("key"))).join(sketch, "bucket", "left_semi") \
@@ -217,12 +220,18 @@ def line_links(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str,
     sizes = materialize(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "line-sizes")
 
     # The texts of all these lines, from a scan that the sketch of their hashes narrows.
-    wanted = member_sketch(met.select("h1").union(met.select("by")).union(members.select("h1")), F.col("h1"))
+    wanted = member_sketch(live.select(F.col("by").alias("h1")).union(found.select("h1")).union(members.select("h1")), F.col("h1"))
     texts = (_lines(docs, id_col, text_col).where(F.char_length("line") >= min_chars)
              .withColumn("h1", F.xxhash64("line")).withColumn("bucket", bucket_of(F.col("h1")))
              .join(wanted, "bucket", "left_semi").withColumn("h2", F.xxhash64(F.lit(11), "line"))
              .groupBy("h1", "h2").agg(F.first("line").alias("line")))
-    texts = materialize(texts.select("h1", _name("h1", "h2").alias("name"), "line"), "line-texts")
+    texts = materialize(texts.select("h1", _name("h1", "h2").alias("name"), letter_counts(F.col("line")).alias("sig"), "line"),
+                        "line-texts")
+    # Letter counts ride along: a pair they rule out never leaves the join.
+    signed = texts.select("h1", "sig").distinct()
+    met = live.join(signed.select(by, F.col("sig").alias("by_sig")), "by").join(found.join(signed, "h1"), "key") \
+        .where(meets & (_apart(F.col("sig"), F.col("by_sig")) <= 2 * edits)).select("h1", "by").distinct()
+    met = materialize(met, "line-pairs")
     left = texts.select("h1", F.col("name").alias("u"), F.col("line").alias("a"))
     right = texts.select(F.col("h1").alias("by"), F.col("name").alias("v"), F.col("line").alias("b"))
 
@@ -253,6 +262,11 @@ def _name(a: str, b: str):
     return F.concat(F.lpad(F.hex(a), 16, "0"), F.lpad(F.hex(b), 16, "0"))
 
 
+def _half(name: str, at: int):
+    """The hash whose sixteen digits begin at ``at`` of a ``_name``."""
+    return F.conv(F.substring(name, at, 16), 16, -10).cast("long")
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS,
                min_chars: int = MIN_CHARS, hot: int = HOT, block: int = BLOCK) -> DataFrame:
     """The columns of ``docs`` with repeated lines cut from the text, and ``dropped``, the positions cut (from 0).
@@ -273,19 +287,21 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # get keys, too, which nobody reads: under a condition the keys' common parts would be computed again and again.
     rows = materialize(_lines(docs, id_col, text_col).withColumn("n", F.char_length("line")).select(
         F.struct(F.col("id").isNull().alias("none"), "id", "tk", "pos").alias("o"),
-        F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(11), line).alias("h2"),
-        F.when(long, letter_counts(line)).alias("sig"), F.array(*index_keys(line, n, edits)).alias("ks"),
+        F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(11), line).alias("h2"), long.alias("long"), F.array(*index_keys(line, n, edits)).alias("ks"),
         F.array(*probe_keys(line, n, edits)).alias("ps")), "line-rows")
     occurrences = rows.select("h1", "h2", "o")
     classes = materialize(rows.groupBy("h1", "h2").agg(
-        F.min("o").alias("first"), F.count("*").alias("n"), F.first("sig").alias("sig"), F.first("ks").alias("ks"),
+        F.min("o").alias("first"), F.count("*").alias("n"), F.first("long").alias("long"), F.first("ks").alias("ks"),
         F.first("ps").alias("ps")), "lines")
-    links = materialize(line_links(docs, classes.where("sig is not null"), id_col, text_col, edits, min_chars, hot, block),
+    links = materialize(line_links(docs, classes.where("long"), id_col, text_col, edits, min_chars, hot, block),
                         "line-links")
     star = materialize(components(links), "line-star")
     named = star.select(F.col("u").alias("name"), "root").unionByName(
         star.select(F.col("root").alias("name"), "root").distinct())
-    linked = materialize(classes.withColumn("name", _name("h1", "h2")).join(named, "name")
+    named = materialize(named.withColumn("h1", _half("name", 1)).withColumn("h2", _half("name", 17)).select("h1", "h2", "root"),
+                        "line-named")
+    linked = materialize(classes.select("h1", "h2", "first").withColumn("bucket", bucket_of(F.col("h1")))
+                         .join(member_sketch(named, F.col("h1")), "bucket", "left_semi").join(named, ["h1", "h2"])
                          .select("h1", "h2", "first", "root"), "line-linked")
     firsts = materialize(linked.groupBy("root").agg(F.min("first").alias("least")), "line-firsts")
     alike = linked.join(firsts, "root").select("h1", "h2", F.col("least").alias("first"))
