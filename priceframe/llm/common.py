@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ..operators._util import in_order, materialize, positions
 
-__all__ = ["WORD", "caller_row", "components", "in_order", "materialize", "member_sketch", "only_caches_of", "pick",
-           "positions", "rows_per_task", "small_batches", "sorted_groups", "table"]
+__all__ = ["WORD", "bit_sketch", "caller_row", "components", "in_order", "materialize", "maybe_in", "member_sketch", "only_caches_of",
+           "pick", "positions", "rows_per_task", "small_batches", "sorted_groups", "table"]
 
 #: A word: a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -70,6 +70,25 @@ def bucket_of(key, buckets: int = 1 << 18):
     return F.pmod(F.xxhash64(F.lit(5), key), F.lit(buckets))
 
 
+def bit_sketch(df: DataFrame, key, bits: int = 1 << 26) -> DataFrame:
+    """``member_sketch`` in a bit a bucket: a broadcast of at most ``bits`` / 8 bytes, sharp up to millions of keys.
+
+    One row per page of 4 KB that has a key; ``maybe_in`` asks it.
+    """
+    at = df.select(bucket_of(key, bits).alias("at"))
+    return F.broadcast(at.select(F.bitmap_bucket_number("at").alias("page"), F.bitmap_bit_position("at").alias("bit"))
+                       .repartition("page").groupBy("page").agg(F.bitmap_construct_agg("bit").alias("bits")))
+
+
+def maybe_in(df: DataFrame, sketch: DataFrame, key, bits: int = 1 << 26) -> DataFrame:
+    """``df`` with ``maybe``: false if certainly no equal key is in what ``bit_sketch`` was made of (same ``bits``)."""
+    bit = F.bitmap_bit_position("at")
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (bit % 8).cast("int"))) > 0
+    asked = df.withColumn("at", bucket_of(key, bits)).withColumn("page", F.bitmap_bucket_number("at"))
+    return asked.join(sketch, "page", "left").withColumn("maybe", F.coalesce(hit, F.lit(False))).drop("at", "page", "bits")
+
+
 def sorted_groups(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
     """Groups of equal ``keys`` from batches sorted by them; a group may span batches.
 

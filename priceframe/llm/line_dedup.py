@@ -20,7 +20,7 @@ line that a third of all documents repeat is one row, and letter counts that rid
 along rule out most pairs inside it.  A segment that very many lines share makes
 no pairs: its lines are folded chunk by chunk to spanning forests.  Text of
 lines is moved only for candidates, texts of documents only where lines are cut; both are found
-at the scan by sketches of bounded size (``member_sketch``).
+at the scan by bit sets of bounded size (``bit_sketch``).
 """
 
 from __future__ import annotations
@@ -30,7 +30,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucket_of, caller_row, components, materialize, member_sketch, pick, sorted_groups, table
+from .common import (bit_sketch, bucket_of, caller_row, components, materialize, maybe_in, member_sketch, pick,
+                     sorted_groups, table)
 
 EDITS = 2          #: edit distance up to which lines link: two typos, a changed two-digit number or date
 MIN_CHARS = 16     #: code points below which only equal lines link
@@ -43,9 +44,11 @@ CELLS = 1 << 21    #: characters of pairs that are verified together
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per non-blank line: ``(id, tk, pos, line)``; tk tells apart texts that share an id."""
-    text = pick(text_col).cast("string")
-    return docs.select(pick(id_col).alias("id"), F.xxhash64(text).alias("tk"),
-                       F.posexplode(F.split(text, "\n", -1)).alias("pos", "line")).where(F.col("line").rlike("[^\\s]"))
+    # A text is hashed below the split: beside it, it would be hashed for every line.
+    rows = docs.select(pick(id_col).alias("id"), pick(text_col).cast("string").alias("text"))
+    rows = rows.withColumn("tk", F.xxhash64("text"))
+    return rows.select("id", "tk", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line")) \
+        .where(F.col("line").rlike("[^\\s]"))
 
 
 def _segments(length, edits: int):
@@ -220,11 +223,11 @@ def line_links(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str,
     sizes = materialize(members.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "line-sizes")
 
     # The texts of all these lines, from a scan that the sketch of their hashes narrows.
-    wanted = member_sketch(live.select(F.col("by").alias("h1")).union(found.select("h1")).union(members.select("h1")), F.col("h1"))
-    texts = (_lines(docs, id_col, text_col).where(F.char_length("line") >= min_chars)
-             .withColumn("h1", F.xxhash64("line")).withColumn("bucket", bucket_of(F.col("h1")))
-             .join(wanted, "bucket", "left_semi").withColumn("h2", F.xxhash64(F.lit(11), "line"))
-             .groupBy("h1", "h2").agg(F.first("line").alias("line")))
+    hashes = live.select(F.col("by").alias("h1")).union(found.select("h1")).union(members.select("h1"))
+    wanted = bit_sketch(hashes, F.col("h1"))
+    long = _lines(docs, id_col, text_col).where(F.char_length("line") >= min_chars).withColumn("h1", F.xxhash64("line"))
+    texts = (maybe_in(long.select("h1", "line"), wanted, F.col("h1")).where("maybe")
+             .withColumn("h2", F.xxhash64(F.lit(11), "line")).groupBy("h1", "h2").agg(F.first("line").alias("line")))
     texts = materialize(texts.select("h1", _name("h1", "h2").alias("name"), letter_counts(F.col("line")).alias("sig"), "line"),
                         "line-texts")
     # Letter counts ride along: a pair they rule out never leaves the join.
@@ -300,15 +303,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         star.select(F.col("root").alias("name"), "root").distinct())
     named = materialize(named.withColumn("h1", _half("name", 1)).withColumn("h2", _half("name", 17)).select("h1", "h2", "root"),
                         "line-named")
-    linked = materialize(classes.select("h1", "h2", "first").withColumn("bucket", bucket_of(F.col("h1")))
-                         .join(member_sketch(named, F.col("h1")), "bucket", "left_semi").join(named, ["h1", "h2"])
-                         .select("h1", "h2", "first", "root"), "line-linked")
+    linked = materialize(maybe_in(classes.select("h1", "h2", "first"), bit_sketch(named, F.col("h1")), F.col("h1"))
+                         .where("maybe").join(named, ["h1", "h2"]).select("h1", "h2", "first", "root"), "line-linked")
     firsts = materialize(linked.groupBy("root").agg(F.min("first").alias("least")), "line-firsts")
     alike = linked.join(firsts, "root").select("h1", "h2", F.col("least").alias("first"))
     multi = materialize(classes.where("n > 1").join(linked, ["h1", "h2"], "left_anti").select("h1", "h2", "first")
                         .unionByName(alike), "line-multi")
     both = F.xxhash64("h1", "h2")
-    cut = (occurrences.withColumn("bucket", bucket_of(both)).join(member_sketch(multi, both), "bucket", "left_semi")
+    cut = (maybe_in(occurrences, bit_sketch(multi, both), both).where("maybe").drop("maybe")
            .join(multi, ["h1", "h2"]).where("o <> first")
            .groupBy(F.col("o.id").alias("__id"), F.col("o.tk").alias("__tk"))
            .agg(F.array_sort(F.collect_set("o.pos")).alias("__dropped")))
@@ -317,11 +319,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = F.xxhash64(F.col("__id"), F.col("__tk"))
     rest = docs.select(*[pick(c) for c in docs.columns if c != "dropped"])
     text = F.xxhash64(pick(text_col).cast("string"))
-    rows = rest.select(pick(id_col).alias("id"), text.alias("tk"), bucket_of(F.xxhash64(pick(id_col), text)).alias("bucket"),
-                       caller_row(rest))
-    sketch = member_sketch(cut, key)
-    same = rows.join(sketch, "bucket", "left_anti").select("row", F.lit(None).cast("array<int>").alias("cut"))
-    maybe = rows.join(sketch, "bucket", "left_semi")
+    rows = rest.select(pick(id_col).alias("id"), text.alias("tk"), caller_row(rest))
+    rows = maybe_in(rows, bit_sketch(cut, key), F.xxhash64(F.col("id"), F.col("tk")))
+    same = rows.where("not maybe").select("row", F.lit(None).cast("array<int>").alias("cut"))
+    maybe = rows.where("maybe")
     on = maybe["id"].eqNullSafe(cut["__id"]) & (maybe["tk"] == cut["__tk"])
     changed = maybe.join(cut, on, "left").select("row", F.col("__dropped").alias("cut"))
     kept = F.array_join(F.filter(F.split(F.col("row")[text_col].cast("string"), "\n", -1),
