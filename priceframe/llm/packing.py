@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, pick, rows_per_task, sorted_groups, table
+from .common import materialize, pick, rows_per_task, small_batches, sorted_groups, table
 from .tokens import encoder
 
 LENGTH = 2048                      #: tokens a sequence holds
@@ -29,13 +29,14 @@ VOCABULARY = "byte_bpe_50k.json"
 END_ID = 1                         #: appended to each document
 GROUP = 2048                       #: pieces of a group, on average
 SEED = 8
+CACHE = 1 << 18                    #: chunks remembered by one Python worker; more of them take memory and save little
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = VOCABULARY,
            end_id: int = END_ID, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
     """The cut documents: ``(doc_id, start, length, ids_crc32, doc_tokens[, ids])``, ids as packed unsigned integers."""
     def run(batches):
-        enc = encoder(vocabulary)
+        enc = encoder(vocabulary, CACHE)
         end, width = enc.pack([end_id]), enc.dtype.itemsize
         for pdf in batches:
             out = []
@@ -103,6 +104,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     1; a null id stays null; repeated rows are packed each; an empty table gives
     no rows; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     cut = materialize(pieces(docs, id_col, text_col, vocabulary, end_id, length, with_ids), "pieces")
     groups = rows_per_task(cut.count(), group)
     keyed = cut.withColumn("g", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "start", "ids_crc32", "doc_tokens"),

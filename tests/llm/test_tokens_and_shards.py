@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from priceframe.llm import token_files
+from priceframe.llm import packing, token_files
 from priceframe.llm.tokens import LONGEST, ChunkEncoder
 
 
@@ -38,3 +38,22 @@ def test_known_chunks_are_joined_without_a_list_of_finds():
     text = "one two three two one"
     enc.encode(text)
     assert isinstance(enc._look(enc.later, text.split(" ")[1:], " "), bytes)
+
+
+def test_packing_bounds_what_a_worker_holds(spark, monkeypatch):
+    """Few rows a batch and a cache of a quarter of the tokenizers' largest: else two workers filled an executor."""
+    real = packing.encoder
+
+    def bounded(name, cache=1 << 20):
+        assert cache <= 1 << 18
+        return real(name, cache)
+    monkeypatch.setattr(packing, "encoder", bounded)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    try:
+        docs = spark.createDataFrame([(i, f"text {i} of many") for i in range(1200)], "doc_id long, text string")
+        assert packing.pack(docs, with_ids=True).select("doc_id").distinct().count() == 1200
+        assert int(spark.conf.get(key)) <= 500
+    finally:
+        spark.conf.set(key, before)
