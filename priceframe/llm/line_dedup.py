@@ -9,10 +9,10 @@ Join: a line of length l is split into EDITS + 1 segments as equal as can be, ea
 an index row (segment number, l, its characters).  A line probes, for every
 length from its own to EDITS shorter and every segment, the substrings that a
 segment left whole can stand at (the multi-match-aware window), so two lines
-within EDITS meet on at least one key.  Pairs that meet are verified by an edit
-distance that carries, per number of edits, the reachable diagonals of the
-band as bits of one word and takes a character a step, many pairs together (numpy
-inside Arrow batches; all else is DataFrame functions).
+within EDITS meet on at least one key.  Pairs that meet are verified by cheap
+bounds (letter counts, then the share of equal pieces) and by ``levenshtein`` where
+these leave it open.  All is DataFrame functions; ``within`` is a second distance
+in numpy, which the tests hold the columns against.
 
 Scale: one scan turns lines into hashes and keys, which are written once; all
 that follows is over these narrow rows.  The join is over distinct lines, so a
@@ -26,12 +26,11 @@ at the scan by bit sets of bounded size (``bit_sketch``).
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import (bit_sketch, bucket_of, caller_row, components, materialize, maybe_in, member_sketch, pick,
-                     sorted_groups, table)
+                     table)
 
 EDITS = 2          #: edit distance up to which lines link: two typos, a changed two-digit number or date
 MIN_CHARS = 16     #: code points below which only equal lines link
@@ -39,7 +38,9 @@ MIN_CHARS = 16     #: code points below which only equal lines link
 COUNTED = "etaoinshr"
 HOT = 64           #: lines on a key above which it makes no pairs
 BLOCK = 128        #: lines of a chunk of such a key, about
-CELLS = 1 << 21    #: characters of pairs that are verified together
+PIECES = 5         #: pieces of a line that two lines within the edits share, of EDITS more
+FINE = 4           #: code points of the pieces that are asked next
+CELLS = 1 << 21    #: characters of pairs that ``within`` takes together
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -153,41 +154,63 @@ def _steps(lines: list[str], ia: np.ndarray, ib: np.ndarray, size: np.ndarray, e
     return out
 
 
-def forest(names: list[str], lines: list[str], edits: int) -> list[tuple[str, str]]:
-    """A spanning forest of the links among some lines: at most one link less than lines."""
-    ia, ib = np.triu_indices(len(lines), 1)
-    near = within(lines, ia, ib, edits)
-    root, out = list(range(len(lines))), []
-
-    def top(x):
-        while root[x] != x:
-            root[x] = x = root[root[x]]
-        return x
-
-    for x, y in zip(ia[near].tolist(), ib[near].tolist(), strict=True):
-        rx, ry = top(x), top(y)
-        if rx != ry:
-            root[ry] = rx
-            out.append((names[x], names[y]))
-    return out
+#: Seven bits for a count modulo 14, ones that fill up and empty again: neighbours differ in one bit.
+_STEPS = [(1 << r) - 1 if r <= 7 else 127 & -(1 << (r - 7)) for r in range(14)]
 
 
 def letter_counts(line):
-    """The counts, modulo 64, of some letters in six bits each."""
+    """The counts, modulo 14, of some letters in seven bits each (``_STEPS``)."""
     sig = F.lit(0).cast("long")
     for i, letter in enumerate(COUNTED):
         times = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
-        sig = sig + F.shiftleft(times.bitwiseAND(F.lit(63)).cast("long"), 6 * i)
+        code = F.get(F.array(*[F.lit(x).cast("long") for x in _STEPS]), F.pmod(times, F.lit(14)).cast("int"))
+        sig = sig + F.shiftleft(code, 7 * i)
     return sig
 
 
 def _apart(a, b):
-    """A lower bound of twice the edit distance: an edit changes at most two letter counts by one."""
-    total = F.lit(0).cast("long")
-    for i in range(len(COUNTED)):
-        d = F.abs(F.shiftright(a, 6 * i).bitwiseAND(F.lit(63)) - F.shiftright(b, 6 * i).bitwiseAND(F.lit(63)))
-        total = total + F.least(d, F.lit(64) - d)
-    return total
+    """A lower bound of twice the edit distance: an edit changes at most two letter counts by one, a bit each."""
+    return F.bit_count(a.bitwiseXOR(b))
+
+
+def alike(a, b, edits: int = EDITS):
+    """Whether the lines of two structs (sig, n, line) are at most ``edits`` apart; the cheap bounds come first.
+
+    Of ``edits`` + PIECES equal pieces of a line, each edit breaks one at most: the
+    others stand in the other line, shifted by ``edits`` places at most.  So it is
+    with pieces of FINE code points, which are asked of what is left.
+    """
+    parts, x, y = edits + PIECES, a["line"], b["line"]
+    shifts = F.array(*[F.lit(s) for s in sorted(range(-edits, edits + 1), key=abs)])
+    broken = F.filter(F.sequence(F.lit(1), a["n"], F.lit(FINE)), lambda at: ~F.exists(
+        shifts, lambda s: F.substring(x, at, F.lit(FINE)) == F.substring(y, F.greatest(at + s, F.lit(1)), F.least(
+            F.lit(FINE), a["n"] - at + 1))))
+    whole = F.lit(0)
+    for i in range(parts):
+        start, end = [F.floor(a["n"] * F.lit(k) / F.lit(parts)).cast("int") for k in (i, i + 1)]
+        piece, found = F.substring(x, start + 1, end - start), F.lit(False)
+        for shift in sorted(range(-edits, edits + 1), key=abs):
+            found = found | (piece == F.substring(y, start + 1 + shift, end - start))
+        whole = whole + found.cast("int")
+    return (F.abs(a["n"] - b["n"]) <= edits) & (_apart(a["sig"], b["sig"]) <= 2 * edits) & (whole >= PIECES) \
+        & (F.size(broken) <= edits) & (F.levenshtein(x, y, edits) >= 0)
+
+
+def forest(lines, edits: int = EDITS):
+    """The classes of two lines and more among an array of them, each an array of places (from 0).
+
+    Line by line: the classes so far in which it meets a line become one with it;
+    of a class, lines are compared until one meets.
+    """
+    def join(trees, x):
+        seen = F.transform(trees, lambda t: F.struct(
+            t.alias("t"), F.exists(t, lambda y: alike(F.get(lines, x), F.get(lines, y), edits)).alias("hit")))
+        return F.get(F.transform(F.array(seen), lambda s: F.concat(
+            F.transform(F.filter(s, lambda z: ~z["hit"]), lambda z: z["t"]),
+            F.array(F.concat(F.flatten(F.transform(F.filter(s, lambda z: z["hit"]), lambda z: z["t"])), F.array(x))))), F.lit(0))
+
+    trees = F.aggregate(F.sequence(F.lit(0), F.size(lines) - 1), F.array().cast("array<array<int>>"), join)
+    return F.filter(trees, lambda t: F.size(t) > 1)
 
 
 def line_links(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str, edits: int, min_chars: int,
@@ -235,29 +258,20 @@ def line_links(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str,
     met = live.join(signed.select(by, F.col("sig").alias("by_sig")), "by").join(found.join(signed, "h1"), "key") \
         .where(meets & (_apart(F.col("sig"), F.col("by_sig")) <= 2 * edits)).select("h1", "by").distinct()
     met = materialize(met, "line-pairs")
-    left = texts.select("h1", F.col("name").alias("u"), F.col("line").alias("a"))
-    right = texts.select(F.col("h1").alias("by"), F.col("name").alias("v"), F.col("line").alias("b"))
-
-    def verify(batches):
-        for pdf in batches:
-            k = np.arange(len(pdf))
-            yield pdf.loc[within([*pdf["a"], *pdf["b"]], k, k + len(pdf), edits), ["u", "v"]]
-
-    pairs = met.join(left, "h1").join(right, "by").select("u", "v", "a", "b").mapInPandas(verify, "u string, v string")
+    line = F.struct("name", "sig", F.char_length("line").alias("n"), "line")
+    sides = texts.select("h1", line.alias("a"))
+    pairs = met.join(sides, "h1").join(sides.select(by, F.col("a").alias("b")), "by") \
+        .where(alike(F.col("a"), F.col("b"), edits)).select(F.col("a.name").alias("u"), F.col("b.name").alias("v"))
 
     chunks = F.ceil(F.col("n") / F.lit(block)).cast("int")
-    group = ["key", "i", "j"]
-    rows = (members.join(sizes, "key").join(texts, "h1")
+    rows = (members.join(sizes, "key").join(sides, "h1")
             .withColumn("g", F.pmod(F.xxhash64(F.lit(7), "h1"), chunks.cast("long")).cast("int"))
             .withColumn("o", F.explode(F.sequence(F.lit(0), chunks - 1)))
-            .select("key", F.least("g", "o").alias("i"), F.greatest("g", "o").alias("j"), "name", "line"))
-
-    def fold(batches):
-        for _, g in sorted_groups(batches, group):
-            if len(g) > 1:
-                yield pd.DataFrame(forest(g["name"].tolist(), g["line"].tolist(), edits), columns=["u", "v"], dtype="object")
-
-    folded = rows.repartition(*group).sortWithinPartitions(*group).mapInPandas(fold, "u string, v string")
+            .select("key", F.least("g", "o").alias("i"), F.greatest("g", "o").alias("j"), "a"))
+    folded = rows.groupBy("key", "i", "j").agg(F.collect_list("a").alias("lines")).where(F.size("lines") > 1) \
+        .select("lines", F.explode(forest(F.col("lines"), edits)).alias("tree")) \
+        .select(F.col("lines")[F.col("tree")[0]]["name"].alias("u"),
+                F.explode(F.transform(F.slice("tree", 2, F.size("tree")), lambda y: F.col("lines")[y]["name"])).alias("v"))
     return pairs.unionByName(folded)
 
 
